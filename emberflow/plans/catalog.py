@@ -457,7 +457,7 @@ def q_gmv_by_brand(spark, d):
 def q_gmv_by_brand_series(spark, d):
     s = report.gmv_by_brand_series(report.gmv_by_brand_daily(product_stats_rows(spark, d)))
     return s.select("dt", F.array_join("categories", "|").alias("categories"),
-                    F.array_join(F.transform("data", lambda x: F.format_string("%.2f", x)), "|")
+                    F.array_join(F.transform("data", lambda x: F.format_string("%.2f", x.cast("double"))), "|")
                     .alias("data"))
 
 
