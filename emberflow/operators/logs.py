@@ -32,7 +32,10 @@ def parse_log(raw: DataFrame, value_col: str = "value") -> DataFrame:
     parsed = F.from_json(v, _PARSE_SCHEMA, {"mode": "PERMISSIVE",
                                             "columnNameOfCorruptRecord": _CORRUPT})
     keep = [c for c in raw.columns if c != value_col]
-    df = raw.select(*keep, v.alias("_line"), parsed.alias("_p"))
+    # ``inline`` of a one-row array is a plan barrier: predicates on the parse
+    # result (the dirty split) stay above it, so each line is parsed once
+    # instead of once per filter that Catalyst would push below the parse.
+    df = raw.select(*keep, F.inline(F.array(F.struct(v.alias("_line"), parsed.alias("_p")))))
     bad_text = F.expr("try_parse_json(_line)").isNull() | ~F.ltrim("_line").startswith("{")
     dirty = (F.col("_line").isNull()
              | F.when(F.col(f"_p.{_CORRUPT}").isNotNull(), bad_text).otherwise(F.lit(False)))

@@ -198,16 +198,17 @@ def product_stats_core(metric_rows: DataFrame, delay: str | None = "2 seconds")
 
 
 def product_dims(core: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    """SKU, SPU, category3 and trademark lookups after the window."""
-    out = enrich(core, dims["sku"], "sku_id",
+    """SKU, SPU, category3 and trademark lookups after the window, as one
+    lookup of the pre-joined product dimension."""
+    from emberflow.operators.wide import dim_product
+    product = dims.get("product")
+    if product is None:
+        product = dim_product(dims["sku"], dims["spu"], dims["tm"], dims["category3"])
+    out = enrich(core, product, "sku_id",
                  {"sku_name": "SKU_NAME", "sku_price": F.col("PRICE").cast(S.MONEY),
-                  "spu_id": F.col("SPU_ID").cast("bigint"),
-                  "tm_id": F.col("TM_ID").cast("bigint"),
-                  "category3_id": F.col("CATEGORY3_ID").cast("bigint")}, key_type="bigint")
-    out = enrich(out, dims["spu"], "spu_id", {"spu_name": "SPU_NAME"}, key_type="bigint")
-    out = enrich(out, dims["category3"], "category3_id", {"category3_name": "NAME"},
-                 key_type="bigint")
-    out = enrich(out, dims["tm"], "tm_id", {"tm_name": "TM_NAME"}, key_type="bigint")
+                  "spu_id": "SPU_KEY", "tm_id": "TM_KEY", "category3_id": "CAT_KEY",
+                  "spu_name": "SPU_NAME", "category3_name": "CATEGORY3_NAME",
+                  "tm_name": "TM_NAME"}, dim_key="sku_key")
     return out.select(*S.PRODUCT_STATS_COLUMNS)
 
 

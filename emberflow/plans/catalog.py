@@ -42,6 +42,44 @@ def comparable(df: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------
 # shared inputs
 # --------------------------------------------------------------------------
+class Inputs:
+    """Shared inputs of one query, each built once (same DataFrame object
+    wherever a query uses it twice)."""
+
+    def __init__(self, spark: SparkSession, d: str):
+        self.spark, self.d = spark, d
+        self._memo: dict = {}
+
+    def _get(self, key, build):
+        if key not in self._memo:
+            self._memo[key] = build()
+        return self._memo[key]
+
+    def dims(self):
+        def build():
+            s, d = self.spark, self.d
+            out = {"user": FX.dim_user_info(s, d), "province": FX.dim_base_province(s, d),
+                   "sku": FX.dim_sku_info(s, d), "spu": FX.dim_spu_info(s, d),
+                   "tm": FX.dim_base_trademark(s, d), "category3": FX.dim_base_category3(s, d)}
+            out["product"] = wide.dim_product(out["sku"], out["spu"], out["tm"],
+                                              out["category3"])
+            return out
+        return self._get("dims", build)
+
+    def order_wide(self):
+        return self._get("order_wide", lambda: wide.order_wide(
+            FX.order_info(self.spark, self.d), FX.order_detail(self.spark, self.d),
+            self.dims(), -ORDER_BAND_MS, ORDER_BAND_MS, as_of()))
+
+    def payment_wide(self):
+        return self._get("payment_wide", lambda: wide.payment_wide(
+            FX.payment_info(self.spark, self.d), self.order_wide(), PAYMENT_LOWER_MS,
+            PAYMENT_UPPER_MS))
+
+    def page_rows_fixture(self):
+        return self._get("pages", lambda: page_rows_fixture(self.spark, self.d))
+
+
 def parsed_log(spark, d):
     return logs.parse_log(FX.raw_log_lines(spark, d))
 
@@ -60,9 +98,7 @@ def page_rows_fixture(spark, d):
 
 
 def dims(spark, d):
-    return {"user": FX.dim_user_info(spark, d), "province": FX.dim_base_province(spark, d),
-            "sku": FX.dim_sku_info(spark, d), "spu": FX.dim_spu_info(spark, d),
-            "tm": FX.dim_base_trademark(spark, d), "category3": FX.dim_base_category3(spark, d)}
+    return Inputs(spark, d).dims()
 
 
 def as_of():
@@ -76,32 +112,32 @@ def merged_orders(spark, d):
 
 
 def order_wide_rows(spark, d):
-    return wide.order_wide(FX.order_info(spark, d), FX.order_detail(spark, d), dims(spark, d),
-                           -ORDER_BAND_MS, ORDER_BAND_MS, as_of())
+    return Inputs(spark, d).order_wide()
 
 
 def payment_wide_rows(spark, d):
-    return wide.payment_wide(FX.payment_info(spark, d), order_wide_rows(spark, d),
-                             PAYMENT_LOWER_MS, PAYMENT_UPPER_MS)
+    return Inputs(spark, d).payment_wide()
 
 
 def envelopes(spark, d):
     return cdc.cdc_normalize(FX.change_records(spark, d))
 
 
-def product_metric_frames(spark, d):
-    pr = page_rows_fixture(spark, d)
+def product_metric_frames(spark, d, inp: Inputs | None = None):
+    inp = inp or Inputs(spark, d)
+    pr = inp.page_rows_fixture()
     return [stats.page_click_metric(pr), stats.page_display_metric(pr),
             stats.favor_metric(FX.favor_info(spark, d)), stats.cart_metric(FX.cart_info(spark, d)),
-            stats.order_metric(order_wide_rows(spark, d)),
-            stats.payment_metric(payment_wide_rows(spark, d)),
+            stats.order_metric(inp.order_wide()),
+            stats.payment_metric(inp.payment_wide()),
             stats.refund_metric(FX.order_refund_info(spark, d)),
             stats.comment_metric(FX.comment_info(spark, d))]
 
 
 def product_stats_rows(spark, d):
-    return stats.product_stats(stats.union_product(*product_metric_frames(spark, d)),
-                               dims(spark, d))
+    inp = Inputs(spark, d)
+    return stats.product_stats(stats.union_product(*product_metric_frames(spark, d, inp)),
+                               inp.dims())
 
 
 # --------------------------------------------------------------------------

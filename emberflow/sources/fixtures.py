@@ -48,8 +48,19 @@ PAGE_OF_TYPE = {"view": "home", "signup": "login", "click": "good_detail",
 SEARCH_EPOCH = "2024-01-01 00:00:00"
 
 
+_RELATIONS: dict[tuple[int, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One relation per (session, file): the schema is read and the files are
+    listed once, and every use of a table in a plan is the same scan (so the
+    planner can reuse its exchanges)."""
+    path = f"{sf_dir}/{name}.parquet"
+    key = (id(spark), path)
+    df = _RELATIONS.get(key)
+    if df is None:
+        df = _RELATIONS[key] = spark.read.parquet(path)
+    return df
 
 
 def _pick(values: list[str], key: Column) -> Column:
