@@ -660,3 +660,40 @@ SELECT id, CASE WHEN value >= 20 THEN '1201' WHEN value >= 5 THEN '1202' ELSE '1
     AS appraise_name
 FROM comment_info""",
 }
+
+SEGMENT_RE = r"\p{Han}+|(?:[^\P{L}\p{Han}]|[^\P{N}\p{Han}])+"
+
+RAW_LOG = LOG_Q + """
+SELECT seq,
+  '{"common":{"ar":"' || ar || '","ba":"Xiaomi","ch":"' || ch || '","is_new":"' || is_new_raw
+  || '","md":"Xiaomi 9","mid":"' || mid || '","os":"Android 11.0","uid":"' || uid
+  || '","vc":"' || vc || '"}'
+  || CASE WHEN event_type <> 'error' THEN
+       ',"page":{"during_time":' || CAST(during_time AS VARCHAR)
+       || coalesce(',"item":"' || item || '"', '')
+       || coalesce(',"item_type":"' || item_type || '"', '')
+       || coalesce(',"last_page_id":"' || last_page_id || '"', '')
+       || ',"page_id":"' || page_id || '"}' ELSE '' END
+  || CASE WHEN event_type = 'view' THEN
+       ',"displays":[{"display_type":"promotion","item":"' || CAST(k AS VARCHAR)
+       || '","item_type":"sku_id","order":1,"pos_id":' || CAST(k % 5 + 1 AS VARCHAR)
+       || '},{"display_type":"activity","item":"' || CAST(user_id % 3 + 1 AS VARCHAR)
+       || '","item_type":"activity_id","order":2,"pos_id":1}]' ELSE '' END
+  || CASE WHEN event_type = 'error' THEN
+       ',"start":{"entry":"icon","loading_time":' || CAST(during_time AS VARCHAR)
+       || ',"open_ad_id":' || CAST(k AS VARCHAR) || ',"open_ad_ms":0,"open_ad_skip_ms":0}'
+     ELSE '' END
+  || ',"ts":' || CAST(ts AS VARCHAR) || '}' AS value
+FROM logs
+UNION ALL
+SELECT 1000000000000 + page_id, html FROM pages"""
+
+SQL["src_raw_log"] = RAW_LOG
+SQL["word_segments"] = f"""
+SELECT word, count(*) AS n FROM (
+  SELECT unnest(CASE WHEN regexp_full_match(run, '\\p{{Han}}+') AND length(run) > 1
+                     THEN [substr(run, i, 2) for i in range(1, length(run))]
+                     ELSE [run] END) AS word
+  FROM (SELECT unnest(regexp_extract_all(lower(text), '{SEGMENT_RE}')) AS run
+        FROM documents))
+GROUP BY word"""
