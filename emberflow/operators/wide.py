@@ -195,3 +195,25 @@ def payment_wide(payment_info: DataFrame, order_wide_rows: DataFrame,
                  watermark: str | None = None) -> DataFrame:
     return payment_wide_merge(payment_wide_join(payment_info, order_wide_rows, lower_ms,
                                                 upper_ms, watermark))
+
+
+def payment_wide_from_orders(payment_info: DataFrame, order_info: DataFrame,
+                             order_detail: DataFrame, dims: dict[str, DataFrame],
+                             order_lower_ms: int = -5_000, order_upper_ms: int = 5_000,
+                             lower_ms: int = -15 * 60_000, upper_ms: int = 5_000,
+                             as_of: Column | None = None) -> DataFrame:
+    """``payment_wide`` with the payment join moved before the dimension
+    lookups. Both joins key on the order id, so at scale the payment side is
+    the only one shuffled for it (the order/detail join output is already
+    partitioned by order id), and only paid lines are enriched. The lookups
+    are left joins on unique dimension keys, so the rows are the same.
+    """
+    merged = order_wide_merge(order_detail_join(order_info, order_detail, order_lower_ms,
+                                                order_upper_ms))
+    j = payment_wide_join(payment_info, merged, lower_ms, upper_ms)
+    j = enrich_user(j, dims["user"], as_of)
+    j = enrich_province(j, dims["province"])
+    product = dims.get("product")
+    if product is None:
+        product = dim_product(dims["sku"], dims["spu"], dims["tm"], dims["category3"])
+    return payment_wide_merge(enrich_product(j, product))

@@ -72,9 +72,30 @@ class Inputs:
             self.dims(), -ORDER_BAND_MS, ORDER_BAND_MS, as_of()))
 
     def payment_wide(self):
-        return self._get("payment_wide", lambda: wide.payment_wide(
-            FX.payment_info(self.spark, self.d), self.order_wide(), PAYMENT_LOWER_MS,
-            PAYMENT_UPPER_MS))
+        return self._get("payment_wide", lambda: wide.payment_wide_from_orders(
+            FX.payment_info(self.spark, self.d), FX.order_info(self.spark, self.d),
+            FX.order_detail(self.spark, self.d), self.dims(), -ORDER_BAND_MS, ORDER_BAND_MS,
+            PAYMENT_LOWER_MS, PAYMENT_UPPER_MS, as_of()))
+
+    def merged_orders(self):
+        """Order x detail rows before the dimension lookups (one object, so
+        every branch of a query shares it)."""
+        return self._get("merged", lambda: merged_orders(self.spark, self.d))
+
+    def order_lines(self):
+        """The columns the order metric and the payment join read, as one
+        projection, so the two branches are the same subtree (reused
+        exchanges)."""
+        return self._get("lines", lambda: self.merged_orders().select(
+            "order_id", "sku_id", "sku_num", "split_total_amount", "create_time"))
+
+    def paid_lines(self):
+        def build():
+            j = wide.payment_wide_join(FX.payment_info(self.spark, self.d), self.order_lines(),
+                                       PAYMENT_LOWER_MS, PAYMENT_UPPER_MS)
+            return j.select("sku_id", F.col("p_create_time").alias("payment_create_time"),
+                            "split_total_amount", F.col("p_order_id").alias("order_id"))
+        return self._get("paid", build)
 
     def page_rows_fixture(self):
         return self._get("pages", lambda: page_rows_fixture(self.spark, self.d))
@@ -125,11 +146,15 @@ def envelopes(spark, d):
 
 def product_metric_frames(spark, d, inp: Inputs | None = None):
     inp = inp or Inputs(spark, d)
-    pr = inp.page_rows_fixture()
+    # click / display counts read no visitor flag: the page split alone is
+    # enough (the repaired and unrepaired page rows give the same metrics)
+    pr = logs.split_page(FX.page_log_rows(spark, d))
     return [stats.page_click_metric(pr), stats.page_display_metric(pr),
             stats.favor_metric(FX.favor_info(spark, d)), stats.cart_metric(FX.cart_info(spark, d)),
-            stats.order_metric(inp.order_wide()),
-            stats.payment_metric(inp.payment_wide()),
+            # metrics read no dimension column; the lookups are left joins on
+            # unique keys, so the un-enriched lines give the same rows
+            stats.order_metric(inp.order_lines()),
+            stats.payment_metric(inp.paid_lines()),
             stats.refund_metric(FX.order_refund_info(spark, d)),
             stats.comment_metric(FX.comment_info(spark, d))]
 
@@ -407,11 +432,11 @@ def q_sink_dim_upsert(spark, d):
 
 
 def q_page_click_metric(spark, d):
-    return comparable(stats.page_click_metric(page_rows_fixture(spark, d)))
+    return comparable(stats.page_click_metric(logs.split_page(FX.page_log_rows(spark, d))))
 
 
 def q_page_display_metric(spark, d):
-    return comparable(stats.page_display_metric(page_rows_fixture(spark, d)))
+    return comparable(stats.page_display_metric(logs.split_page(FX.page_log_rows(spark, d))))
 
 
 def q_favor_metric(spark, d):
@@ -423,11 +448,11 @@ def q_cart_metric(spark, d):
 
 
 def q_order_metric(spark, d):
-    return comparable(stats.order_metric(order_wide_rows(spark, d)))
+    return comparable(stats.order_metric(Inputs(spark, d).order_lines()))
 
 
 def q_payment_metric(spark, d):
-    return comparable(stats.payment_metric(payment_wide_rows(spark, d)))
+    return comparable(stats.payment_metric(Inputs(spark, d).paid_lines()))
 
 
 def q_refund_metric(spark, d):
@@ -451,7 +476,9 @@ def q_province_from_order(spark, d):
 
 
 def q_province_stats(spark, d):
-    return comparable(stats.province_stats(order_wide_rows(spark, d), stamp="window_end"))
+    # only the province lookup feeds this report (left joins on unique keys)
+    rows = wide.enrich_province(merged_orders(spark, d), FX.dim_base_province(spark, d))
+    return comparable(stats.province_stats(rows, stamp="window_end"))
 
 
 def q_search_term_filter(spark, d):
