@@ -21,14 +21,15 @@ def order_time_parts(order_info: DataFrame, col: str = "create_time") -> DataFra
     return (order_info
             .withColumn("create_date", F.split(t, " ").getItem(0))
             .withColumn("create_hour", F.split(F.split(t, " ").getItem(1), ":").getItem(0))
-            .withColumn("create_ts", F.unix_millis(F.to_timestamp(t, S.TIME_FORMAT))))
+            .withColumn("create_ts",
+                        F.unix_millis(F.try_to_timestamp(t, F.lit(S.TIME_FORMAT)))))
 
 
 def user_age(birthday: str | Column, as_of: Column | None = None) -> Column:
     """Whole 365-day years between ``birthday`` (``yyyy-MM-dd``) and ``as_of``
     (default: today)."""
     as_of = as_of if as_of is not None else F.current_date()
-    days = F.datediff(as_of, F.to_date(_c(birthday), "yyyy-MM-dd"))
+    days = F.datediff(as_of, F.try_to_date(_c(birthday), "yyyy-MM-dd"))
     return F.floor(days / 365).cast("int")
 
 
@@ -47,7 +48,8 @@ def fmt(ts: str | Column) -> Column:
 
 def to_yyyymmdd(ts_text: str | Column) -> Column:
     """``toYYYYMMDD(stt)``: the date of a time text as an int like 20240101."""
-    return F.date_format(F.to_timestamp(_c(ts_text), S.TIME_FORMAT), "yyyyMMdd").cast("int")
+    return F.date_format(F.try_to_timestamp(_c(ts_text), F.lit(S.TIME_FORMAT)),
+                         "yyyyMMdd").cast("int")
 
 
 def now_millis() -> Column:

@@ -44,7 +44,7 @@ def enrich(facts: DataFrame, dim: DataFrame, fact_key: str | Column,
     a broadcast at run time when the built side is below the threshold.
     """
     fk = F.col(fact_key) if isinstance(fact_key, str) else fact_key
-    sel = [F.col(dim_key).cast(key_type).alias("_dk") if key_type else
+    sel = [F.col(dim_key).try_cast(key_type).alias("_dk") if key_type else
            F.col(dim_key).alias("_dk")]
     for name, expr in columns.items():
         sel.append((F.col(expr) if isinstance(expr, str) else expr).alias(f"_dim_{name}"))

@@ -35,7 +35,7 @@ def _zero_m() -> Column:
 
 
 def _ts_of_time_text(col: str) -> Column:
-    return F.unix_millis(F.to_timestamp(F.col(col), S.TIME_FORMAT))
+    return F.unix_millis(F.try_to_timestamp(F.col(col), F.lit(S.TIME_FORMAT)))
 
 
 def _windowed(df: DataFrame, ts_ms: str, delay: str | None) -> tuple[DataFrame, Column]:
@@ -106,7 +106,7 @@ _ORDER_IDS = ["order_oid", "paid_oid", "refund_oid"]
 
 
 def _product_row(df: DataFrame, sku: Column, ts: Column, **metrics: Column) -> DataFrame:
-    cols = [sku.cast("bigint").alias("sku_id")]
+    cols = [sku.try_cast("bigint").alias("sku_id")]
     for c in _COUNTS:
         cols.append(metrics.get(c, _zero_l()).cast("bigint").alias(c))
     for c in _AMOUNTS:
@@ -205,7 +205,7 @@ def product_dims(core: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     if product is None:
         product = dim_product(dims["sku"], dims["spu"], dims["tm"], dims["category3"])
     out = enrich(core, product, "sku_id",
-                 {"sku_name": "SKU_NAME", "sku_price": F.col("PRICE").cast(S.MONEY),
+                 {"sku_name": "SKU_NAME", "sku_price": F.col("PRICE").try_cast(S.MONEY),
                   "spu_id": "SPU_KEY", "tm_id": "TM_KEY", "category3_id": "CAT_KEY",
                   "spu_name": "SPU_NAME", "category3_name": "CATEGORY3_NAME",
                   "tm_name": "TM_NAME"}, dim_key="sku_key")
@@ -236,7 +236,7 @@ def province_stats(order_wide_rows: DataFrame, delay: str | None = "1 second",
     """Per (10 s window on ``create_time``, province): distinct orders and
     amount. ``stamp='wall'`` sets ``ts`` to the wall clock as the SQL job
     does; ``'window_end'`` makes it repeatable."""
-    df = order_wide_rows.withColumn("rt", F.to_timestamp("create_time", S.TIME_FORMAT))
+    df = order_wide_rows.withColumn("rt", F.try_to_timestamp("create_time", F.lit(S.TIME_FORMAT)))
     if df.isStreaming and delay is not None:
         df = df.withWatermark("rt", delay)
     w = F.window("rt", WINDOW).alias("w")

@@ -10,22 +10,27 @@ from emberflow.functions.scalars import order_time_parts, user_age
 from emberflow.operators.joins import enrich, interval_join
 
 
-def _time(col: str) -> Column:
-    return F.to_timestamp(F.col(col), S.TIME_FORMAT)
+def _time(col: str, fallback: str | None = None) -> Column:
+    """Event time of a ``yyyy-MM-dd HH:mm:ss`` text; a text that does not
+    parse gives null, or the ``fallback`` column (e.g. the topic record's
+    own timestamp) when one is named."""
+    t = F.try_to_timestamp(F.col(col), F.lit(S.TIME_FORMAT))
+    return F.coalesce(t, F.col(fallback)) if fallback else t
 
 
 def order_detail_join(order_info: DataFrame, order_detail: DataFrame,
                       lower_ms: int = -5_000, upper_ms: int = 5_000,
-                      watermark: str | None = None) -> DataFrame:
+                      watermark: str | None = None, record_time: str | None = None) -> DataFrame:
     """Interval join of orders and their detail lines on the order id.
 
     Detail time must lie in ``[order time + lower, order time + upper]``
     (both ends included). ``watermark`` (e.g. ``"0 seconds"``) is applied to
     both sides when they are streams.
     """
-    o = order_time_parts(order_info).withColumn("_ort", _time("create_time"))
+    o = order_time_parts(order_info).withColumn("_ort", _time("create_time", record_time))
     d = order_detail.select(*[F.col(c).alias(f"d_{c}") for c in order_detail.columns]) \
-        .withColumn("_drt", _time("d_create_time"))
+        .withColumn("_drt", _time("d_create_time",
+                                  f"d_{record_time}" if record_time else None))
     if watermark and o.isStreaming:
         o = o.withWatermark("_ort", watermark)
     if watermark and d.isStreaming:
@@ -89,9 +94,9 @@ def enrich_sku(wide: DataFrame, dim_sku: DataFrame) -> DataFrame:
     """SKU name (dim wins where the dim row exists), spu / tm / category3 ids."""
     out = enrich(wide, dim_sku, "sku_id",
                  {"_dim_sku_name": "SKU_NAME",
-                  "category3_id": F.col("CATEGORY3_ID").cast("bigint"),
-                  "spu_id": F.col("SPU_ID").cast("bigint"),
-                  "tm_id": F.col("TM_ID").cast("bigint"),
+                  "category3_id": F.col("CATEGORY3_ID").try_cast("bigint"),
+                  "spu_id": F.col("SPU_ID").try_cast("bigint"),
+                  "tm_id": F.col("TM_ID").try_cast("bigint"),
                   "_dim_hit": F.lit(True)},
                  key_type="bigint")
     return out.withColumn("sku_name", F.when(F.col("_dim_hit"), F.col("_dim_sku_name"))
@@ -119,13 +124,13 @@ def dim_product(dim_sku: DataFrame, dim_spu: DataFrame, dim_tm: DataFrame,
     of four: at scale that is one pass (one shuffle, if the product dim is
     too large to broadcast) over the facts instead of four.
     """
-    sku = dim_sku.select(F.col("ID").cast("bigint").alias("sku_key"), "SKU_NAME", "PRICE",
-                         F.col("SPU_ID").cast("bigint").alias("SPU_KEY"),
-                         F.col("TM_ID").cast("bigint").alias("TM_KEY"),
-                         F.col("CATEGORY3_ID").cast("bigint").alias("CAT_KEY"))
-    spu = dim_spu.select(F.col("ID").cast("bigint").alias("SPU_KEY"), "SPU_NAME")
-    tm = dim_tm.select(F.col("ID").cast("bigint").alias("TM_KEY"), "TM_NAME")
-    cat = dim_cat.select(F.col("ID").cast("bigint").alias("CAT_KEY"),
+    sku = dim_sku.select(F.col("ID").try_cast("bigint").alias("sku_key"), "SKU_NAME", "PRICE",
+                         F.col("SPU_ID").try_cast("bigint").alias("SPU_KEY"),
+                         F.col("TM_ID").try_cast("bigint").alias("TM_KEY"),
+                         F.col("CATEGORY3_ID").try_cast("bigint").alias("CAT_KEY"))
+    spu = dim_spu.select(F.col("ID").try_cast("bigint").alias("SPU_KEY"), "SPU_NAME")
+    tm = dim_tm.select(F.col("ID").try_cast("bigint").alias("TM_KEY"), "TM_NAME")
+    cat = dim_cat.select(F.col("ID").try_cast("bigint").alias("CAT_KEY"),
                          F.col("NAME").alias("CATEGORY3_NAME"))
     return (sku.join(spu, "SPU_KEY", "left").join(tm, "TM_KEY", "left")
             .join(cat, "CAT_KEY", "left"))
@@ -165,12 +170,14 @@ def order_wide(order_info: DataFrame, order_detail: DataFrame, dims: dict[str, D
 
 def payment_wide_join(payment_info: DataFrame, order_wide_rows: DataFrame,
                       lower_ms: int = -15 * 60_000, upper_ms: int = 5_000,
-                      watermark: str | None = None) -> DataFrame:
+                      watermark: str | None = None, record_time: str | None = None) -> DataFrame:
     """Payments joined to order wide rows whose time lies in
-    ``[payment time + lower, payment time + upper]``."""
+    ``[payment time + lower, payment time + upper]``. With ``record_time``
+    (a timestamp column on both inputs, e.g. the topic record time), a
+    ``create_time`` that does not parse falls back to it."""
     p = payment_info.select(*[F.col(c).alias(f"p_{c}") for c in payment_info.columns]) \
-        .withColumn("_prt", _time("p_create_time"))
-    ow = order_wide_rows.withColumn("_owrt", _time("create_time"))
+        .withColumn("_prt", _time("p_create_time", f"p_{record_time}" if record_time else None))
+    ow = order_wide_rows.withColumn("_owrt", _time("create_time", record_time))
     if watermark and p.isStreaming:
         p = p.withWatermark("_prt", watermark)
     if watermark and ow.isStreaming:
