@@ -19,7 +19,7 @@ def _flat_rows(spark):
     return jobs.flat_page_rows(FX.page_log_rows(spark, SF_SMALL))
 
 
-def _write_split(df, path, n=4):
+def _write_split(df, path, n=3):
     """Write rows as ``n`` JSON files, each a time range (arrival order)."""
     df.repartitionByRange(n, "ts", "seq").sortWithinPartitions("ts", "seq").write.json(path)
     return sorted(os.path.join(path, f) for f in os.listdir(path)
