@@ -35,6 +35,10 @@ def order_detail_join(order_info: DataFrame, order_detail: DataFrame,
         o = o.withWatermark("_ort", watermark)
     if watermark and d.isStreaming:
         d = d.withWatermark("_drt", watermark)
+    if not d.isStreaming:
+        # both sides are facts that grow together: a sort-merge join on the
+        # order id (spills, AQE splits hot ids), never a broadcast of lines
+        d = d.hint("merge")
     return interval_join(o, d, "id", "d_order_id", "_ort", "_drt", lower_ms, upper_ms)
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from emberflow.functions import scalars as SC
 from emberflow.functions.words import split_words, word_segments
 from emberflow.operators import cdc, joins, logs, report, stats, visits, wide
+from emberflow.plans import sql_jobs
 from emberflow.sources import fixtures as FX
 from emberflow.sources import topics
 
@@ -533,6 +534,15 @@ def q_snake_to_camel(spark, d):
     return SC.snake_to_camel(FX.dim_sku_info(spark, d))
 
 
+def q_keyword_stats_sql(spark, d):
+    return sql_jobs.keyword_stats_sql(spark, FX.search_page_rows(spark, d), stamp="window_end")
+
+
+def q_province_stats_sql(spark, d):
+    rows = wide.enrich_province(merged_orders(spark, d), FX.dim_base_province(spark, d))
+    return comparable(sql_jobs.province_stats_sql(spark, rows, stamp="window_end"))
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items())
     if name.startswith("q_") and callable(fn)

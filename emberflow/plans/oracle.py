@@ -697,3 +697,6 @@ SELECT word, count(*) AS n FROM (
   FROM (SELECT unnest(regexp_extract_all(lower(text), '{SEGMENT_RE}')) AS run
         FROM documents))
 GROUP BY word"""
+
+SQL["keyword_stats_sql"] = SQL["keyword_stats"]
+SQL["province_stats_sql"] = SQL["province_stats"]

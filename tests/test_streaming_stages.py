@@ -153,3 +153,20 @@ def test_restart_from_checkpoint_same_output(spark, tmpdir_path):
     got = spark.read.parquet(out)
     want = stats.keyword_stats(rows, stamp="window_end")
     assert _same(got, want, ["keyword", "ct", "stt", "edt"]) > 0
+
+
+def test_keyword_stats_sql_on_stream_and_lateral_udtf(spark, tmpdir_path):
+    from emberflow.plans import sql_jobs
+    rows = FX.search_page_rows(spark, SF_SMALL)
+    closer = spark.createDataFrame(
+        [({"mid": "x"}, {"last_page_id": "search", "item": "zzcloser"}, 4_102_444_800_000)],
+        rows.schema)
+    p = _to_files(rows, os.path.join(tmpdir_path, "kw"), "ts", extra=closer)
+    got = _drain(sql_jobs.keyword_stats_sql(spark, _stream(spark, p, rows.schema),
+                                            stamp="window_end"),
+                 "kw_sql_s", os.path.join(tmpdir_path, "ck"))
+    want = stats.keyword_stats(rows, stamp="window_end")
+    cols = ["keyword", "ct", "source", "stt", "edt", "ts"]
+    assert _same(got, want, cols) > 0
+    lateral = sql_jobs.keyword_stats_lateral_sql(spark, rows, stamp="window_end")
+    assert _same(lateral, want, cols) > 0
