@@ -34,7 +34,7 @@ def interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: s
 
 def enrich(facts: DataFrame, dim: DataFrame, fact_key: str | Column,
            columns: dict[str, Column | str], dim_key: str = "ID",
-           key_type: str | None = None) -> DataFrame:
+           key_type: str | None = None, fixed_size: bool = False) -> DataFrame:
     """Left-join dimension columns onto facts (missing dim row -> nulls).
 
     ``columns`` maps output name -> dim column (or expression over dim
@@ -42,6 +42,8 @@ def enrich(facts: DataFrame, dim: DataFrame, fact_key: str | Column,
     join hashes on a long, not a string. No broadcast hint: dims grow with the
     business, so the planner decides from size statistics and AQE switches to
     a broadcast at run time when the built side is below the threshold.
+    ``fixed_size=True`` marks reference data whose size does not grow with
+    the business (e.g. provinces); only those are broadcast explicitly.
     """
     fk = F.col(fact_key) if isinstance(fact_key, str) else fact_key
     sel = [F.col(dim_key).try_cast(key_type).alias("_dk") if key_type else
@@ -49,6 +51,8 @@ def enrich(facts: DataFrame, dim: DataFrame, fact_key: str | Column,
     for name, expr in columns.items():
         sel.append((F.col(expr) if isinstance(expr, str) else expr).alias(f"_dim_{name}"))
     d = dim.select(*sel)
+    if fixed_size:
+        d = F.broadcast(d)
     out = facts.withColumn("_fk", fk).join(d, F.col("_fk") == F.col("_dk"), "left")
     for name in columns:
         out = out.withColumn(name, F.col(f"_dim_{name}"))
