@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -103,6 +101,3 @@ def snake_to_camel(df: DataFrame) -> DataFrame:
     """Rename columns ``ORDER_ID``/``order_id`` -> ``orderId`` (names only)."""
     return df.toDF(*[snake_to_camel_name(c) for c in df.columns])
 
-
-def is_valid_name(name: str) -> bool:
-    return re.fullmatch(r"[A-Za-z_][A-Za-z0-9_]*", name) is not None

@@ -3,7 +3,7 @@ derive current images / retract rows / dimension upserts."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emberflow import schemas as S
@@ -138,8 +138,7 @@ def dim_upsert(current: DataFrame | None, changes: DataFrame, columns: list[str]
     cells = (changes.select(F.col("after")[pk].alias("_pk"), seq.alias("_seq"),
                             F.explode("after").alias("_col", "_val"))
              .filter(F.col("_col").isin(columns) & F.col("_pk").isNotNull()))
-    newest = cells.groupBy("_pk", "_col").agg(F.max_by("_val", "_seq").alias("_val"),
-                                              F.lit(True).alias("_has"))
+    newest = cells.groupBy("_pk", "_col").agg(F.max_by("_val", "_seq").alias("_val"))
     # pivot the few configured columns back into a row per key
     wide = newest.groupBy("_pk").agg(*[
         F.max(F.when(F.col("_col") == c, F.struct(F.lit(True).alias("has"),
@@ -162,6 +161,3 @@ def dim_upsert(current: DataFrame | None, changes: DataFrame, columns: list[str]
                    .cast("string").alias(upper[c]))
     return joined.select(*out)
 
-
-def map_key(m: str | Column, key: str) -> Column:
-    return (F.col(m) if isinstance(m, str) else m)[key]

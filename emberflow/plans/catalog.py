@@ -171,7 +171,6 @@ def product_stats_rows(spark, d):
 # --------------------------------------------------------------------------
 PAGE_FLAT = ["seq", "ar", "ba", "ch", "is_new", "md", "mid", "os", "uid", "vc", "during_time",
              "item", "item_type", "last_page_id", "page_id", "source_type", "ts"]
-VISIT_COLS = ["seq", "mid", "is_new", "page_id", "last_page_id", "ts"]
 
 
 def _visit_proj(df):
