@@ -8,12 +8,15 @@ through ``sinks`` so a replayed micro-batch overwrites its own output.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from emberflow import schemas as S
 from emberflow.operators import logs, stats
-from emberflow.streaming.processors import (COLS, STREAM_PAGE, IsNewRepair, JumpDetail,
-                                            UniqueVisit)
+from emberflow.streaming.processors import (COLS, PAYLOAD_ROW, STREAM_PAGE, IsNewRepair,
+                                            JumpDetail, UniqueVisit)
 
 
 def flat_page_rows(page_logs: DataFrame) -> DataFrame:
@@ -45,8 +48,10 @@ def repair_is_new_stream(flat: DataFrame) -> DataFrame:
         IsNewRepair(), STREAM_PAGE, "append", "None")
 
 
-def unique_visit_stream(flat_pages: DataFrame, tz: str = "UTC") -> DataFrame:
-    """Stream form of ``visits.unique_visit`` (last emitted date, 24 h TTL)."""
+def unique_visit_stream(flat_pages: DataFrame, tz: str | None = None) -> DataFrame:
+    """Stream form of ``visits.unique_visit`` (last emitted date, 24 h TTL).
+    Days are local to ``tz`` (default: the session time zone)."""
+    tz = tz or flat_pages.sparkSession.conf.get("spark.sql.session.timeZone")
     return flat_pages.select(*COLS).groupBy("mid").transformWithStateInPandas(
         UniqueVisit(tz), STREAM_PAGE, "append", "ProcessingTime")
 
@@ -76,3 +81,51 @@ def visitor_stats_stream(uv_flat: DataFrame, uj_flat: DataFrame, page_flat: Data
     return stats.visitor_stats(stats.union_visitor(struct_page_rows(uv_flat),
                                                    struct_page_rows(uj_flat),
                                                    struct_page_rows(page_flat)), delay)
+
+
+def repair_log_rows_stream(clean_rows: DataFrame) -> DataFrame:
+    """``is_new`` repair over whole log rows (start rows, displays and all):
+    the row travels through the keyed state as JSON text and is rebuilt."""
+    payload = clean_rows.select(
+        F.col("common.mid").alias("mid"), "seq", "ts", F.col("common.is_new").alias("is_new"),
+        F.to_json(F.struct("common", "page", "displays", "start", "ts")).alias("payload"))
+    fixed = payload.groupBy("mid").transformWithStateInPandas(
+        IsNewRepair([f.name for f in PAYLOAD_ROW.fields]), PAYLOAD_ROW, "append", "None")
+    r = F.from_json("payload", S.PAGE_LOG)
+    return fixed.select("seq", "is_new", r.alias("r")).select(
+        "seq", F.col("r.common").withField("is_new", F.col("is_new")).alias("common"),
+        "r.page", "r.displays", "r.start", "r.ts")
+
+
+def write_log_split(batch: DataFrame, out_root: str, batch_id: int) -> None:
+    """One micro-batch of repaired rows -> start / page / display outputs.
+    The batch is persisted because three writes read it."""
+    batch.persist()
+    try:
+        part = f"batch_id={batch_id}"
+        logs.split_start(batch).write.mode("overwrite").json(
+            os.path.join(out_root, "dwd_start_log", part))
+        pages = logs.split_page(batch)
+        pages.write.mode("overwrite").json(os.path.join(out_root, "dwd_page_log", part))
+        logs.split_display(pages).write.mode("overwrite").json(
+            os.path.join(out_root, "dwd_display_log", part))
+    finally:
+        batch.unpersist()
+
+
+def log_stage_stream(raw: DataFrame, out_root: str, checkpoint_root: str,
+                     trigger: dict | None = None) -> list:
+    """The whole log stage on a stream of ``(seq, value)`` lines: dirty lines
+    to their own output, the rest repaired (keyed state) and split three ways.
+    Returns the two running queries."""
+    parsed = logs.parse_log(raw)
+    dw = (logs.dirty_lines(parsed).writeStream.format("json")
+          .option("path", os.path.join(out_root, "dirty"))
+          .option("checkpointLocation", os.path.join(checkpoint_root, "dirty")))
+    repaired = repair_log_rows_stream(logs.clean_rows(parsed))
+    sw = (repaired.writeStream.option("checkpointLocation",
+                                      os.path.join(checkpoint_root, "split"))
+          .foreachBatch(lambda b, i: write_log_split(b, out_root, i)))
+    if trigger:
+        dw, sw = dw.trigger(**trigger), sw.trigger(**trigger)
+    return [dw.start(), sw.start()]

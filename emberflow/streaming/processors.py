@@ -47,12 +47,24 @@ def _is_entry(last_page_id: pd.Series) -> pd.Series:
     return last_page_id.isna() | (last_page_id.fillna("").str.len() == 0)
 
 
+# A whole log row carried through the repair as JSON text.
+PAYLOAD_ROW = T.StructType([
+    T.StructField("mid", S_), T.StructField("seq", L_), T.StructField("ts", L_),
+    T.StructField("is_new", S_), T.StructField("payload", S_),
+])
+
+
 class IsNewRepair(StatefulProcessor):
     """First ``is_new='1'`` row per visitor keeps the flag; later ones get '0'.
-    State: one boolean per visitor, no expiry (as in the original)."""
+    State: one boolean per visitor, no expiry by default (as in the
+    original); ``ttl_ms`` bounds it (processing-time mode)."""
+
+    def __init__(self, columns: list[str] | None = None, ttl_ms: int | None = None):
+        self.columns = columns or COLS
+        self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", "flag boolean")
+        self.seen = handle.getValueState("seen", "flag boolean", self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _rows(rows)
@@ -63,7 +75,7 @@ class IsNewRepair(StatefulProcessor):
             pdf.loc[later, "is_new"] = "0"
             if not already:
                 self.seen.update((True,))
-        yield pdf[COLS]
+        yield pdf[self.columns]
 
     def close(self) -> None:
         pass

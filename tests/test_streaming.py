@@ -106,3 +106,31 @@ def test_visitor_stats_stream_equals_batch(spark, tmpdir_path):
     batch = stats.visitor_stats(stats.visitor_pv_metric(pages))
     cols = ["stt", "vc", "ch", "ar", "is_new", "pv_ct", "sv_ct", "dur_sum", "ts"]
     assert _rows(got.filter(F.col("vc") != "v"), cols) == _rows(batch, cols)
+
+
+def test_log_stage_stream_equals_batch(spark, tmpdir_path):
+    raw = FX.raw_log_lines(spark, SF_SMALL)
+    parts = os.path.join(tmpdir_path, "raw_parts")
+    raw.repartitionByRange(2, "seq").sortWithinPartitions("seq").write.json(parts)
+    src = os.path.join(tmpdir_path, "raw")
+    os.makedirs(src)
+    import shutil
+    for i, f in enumerate(sorted(x for x in os.listdir(parts) if x.endswith(".json"))):
+        shutil.copy(os.path.join(parts, f), os.path.join(src, f"{i:03d}.json"))
+        os.utime(os.path.join(src, f"{i:03d}.json"), (1_000_000 + i * 10,) * 2)
+    stream = (spark.readStream.schema("seq long, value string")
+              .option("maxFilesPerTrigger", 1).json(src))
+    out, ck = os.path.join(tmpdir_path, "out"), os.path.join(tmpdir_path, "ck")
+    for q in jobs.log_stage_stream(stream, out, ck, trigger={"availableNow": True}):
+        q.awaitTermination(600)
+    parsed = logs.parse_log(raw)
+    clean = logs.repair_is_new(logs.clean_rows(parsed))
+    pages = spark.read.json(os.path.join(out, "dwd_page_log"))
+    assert _rows(pages, ["seq", "common.is_new"]) == \
+        _rows(logs.split_page(clean), ["seq", "common.is_new"])
+    assert spark.read.json(os.path.join(out, "dwd_start_log")).count() == \
+        logs.split_start(clean).count()
+    assert spark.read.json(os.path.join(out, "dwd_display_log")).count() == \
+        logs.split_display(logs.split_page(clean)).count()
+    assert spark.read.json(os.path.join(out, "dirty")).count() == \
+        logs.dirty_lines(parsed).count()
