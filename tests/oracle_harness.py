@@ -85,8 +85,14 @@ def main(argv):
     from emberflow.session import build_session
     from emberflow.plans.catalog import QUERIES
     from emberflow.plans.oracle import SQL
-    spark = build_session("local[8]", 8)
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    if os.environ.get("PLAIN_SESSION"):
+        # what a driver does: a stock session with only the partition count set
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[*]")
+                 .config("spark.sql.shuffle.partitions", "8").getOrCreate())
+    else:
+        spark = build_session("local[8]", 8)
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     con = duck(sf_dir)
     bad = 0
     for name in sorted(SQL):
