@@ -170,3 +170,31 @@ def test_keyword_stats_sql_on_stream_and_lateral_udtf(spark, tmpdir_path):
     assert _same(got, want, cols) > 0
     lateral = sql_jobs.keyword_stats_lateral_sql(spark, rows, stamp="window_end")
     assert _same(lateral, want, cols) > 0
+
+
+def test_payment_wide_stream_join_equals_batch(spark, tmpdir_path):
+    inp = catalog.Inputs(spark, SF_SMALL)
+    ow = inp.order_wide()
+    pay = FX.payment_info(spark, SF_SMALL)
+    pw = _to_files(ow, os.path.join(tmpdir_path, "ow"), "create_time")
+    pp = _to_files(pay, os.path.join(tmpdir_path, "pay"), "create_time")
+    got = _drain(wide.payment_wide(_stream(spark, pp, pay.schema), _stream(spark, pw, ow.schema),
+                                   catalog.PAYMENT_LOWER_MS, catalog.PAYMENT_UPPER_MS,
+                                   watermark="0 seconds"),
+                 "pw_s", os.path.join(tmpdir_path, "ck"))
+    want = wide.payment_wide(pay, ow, catalog.PAYMENT_LOWER_MS, catalog.PAYMENT_UPPER_MS)
+    assert _same(got, want, ["payment_id", "detail_id", "order_id", "payment_create_time",
+                             "order_create_time", "tm_name", "split_total_amount"]) > 0
+
+
+def test_unparsable_time_falls_back_to_record_time(spark):
+    pay = spark.createDataFrame(
+        [(1, 1, "not a time", "2024-01-01 00:10:00")],
+        "id long, order_id long, create_time string, rec string").withColumn(
+        "rec", F.to_timestamp("rec"))
+    ow = spark.createDataFrame([(1, "2024-01-01 00:00:00", "2024-01-01 00:00:00")],
+                               "order_id long, create_time string, rec string").withColumn(
+        "rec", F.to_timestamp("rec"))
+    j = wide.payment_wide_join(pay, ow, record_time="rec")
+    assert j.count() == 1          # 00:10 payment, order 10 min before: inside -15 min
+    assert wide.payment_wide_join(pay, ow).count() == 0   # no fallback: no event time
