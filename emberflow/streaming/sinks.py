@@ -45,34 +45,26 @@ def write_topic_per_row(df: DataFrame, path: str, batch_id: int | None = None) -
     out.write.mode("overwrite").partitionBy("sink_table").text(target)
 
 
-def latest_version(spark: SparkSession, root: str) -> str | None:
-    """Newest complete version folder ``v<N>`` of a dimension table."""
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(root)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(p):
+def read_latest(spark: SparkSession, root: str) -> DataFrame | None:
+    """Newest committed version of a versioned dimension table (``version``
+    partitions; a version becomes visible only when its write job commits)."""
+    try:
+        table = spark.read.parquet(root)
+    except Exception:  # nothing written yet
         return None
-    best = None
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("v") and name[1:].isdigit() and \
-                fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            if best is None or int(name[1:]) > int(best[1:]):
-                best = name
-    return os.path.join(root, best) if best else None
+    newest = table.agg(F.max("version")).first()[0]   # partition values only
+    return table.filter(F.col("version") == newest).drop("version")
 
 
 def upsert_dim_table(spark: SparkSession, changes: DataFrame, root: str, columns: list[str],
-                     version: int, pk: str = "id") -> str:
+                     version: int, pk: str = "id") -> None:
     """Merge routed changes into the dimension table at ``root``; the result
-    is written as a new version folder (readers take the newest complete
-    one, so a failed write never leaves a half table)."""
-    cur_path = latest_version(spark, root)
-    current = spark.read.parquet(cur_path) if cur_path else None
-    merged = cdc.dim_upsert(current, changes, columns, pk)
-    target = os.path.join(root, f"v{version}")
-    merged.write.mode("overwrite").parquet(target)
-    return target
+    is written as a new ``version`` partition (readers take the newest
+    committed one, so a failed or replayed write never shows a half table)."""
+    merged = cdc.dim_upsert(read_latest(spark, root), changes, columns, pk)
+    (merged.withColumn("version", F.lit(version))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("version").parquet(root))
 
 
 def route_batch(spark: SparkSession, envelopes: DataFrame, config: DataFrame, out_root: str,

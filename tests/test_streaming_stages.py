@@ -116,8 +116,7 @@ def test_route_stream_writes_topics_and_versioned_dims(spark, tmpdir_path):
     q = sinks.route_stream(envs, cfg_path, out, os.path.join(tmpdir_path, "ck"),
                            trigger={"availableNow": True})
     q.awaitTermination(600)
-    latest = sinks.latest_version(spark, os.path.join(out, "dims", "dim_user_info"))
-    got = spark.read.parquet(latest)
+    got = sinks.read_latest(spark, os.path.join(out, "dims", "dim_user_info"))
     want = catalog.q_sink_dim_upsert(spark, SF_SMALL)
     assert _same(got, want, ["ID", "NAME", "GENDER", "BIRTHDAY"]) > 0
     facts = spark.read.text(os.path.join(out, "topics", "*", "sink_table=*"))
