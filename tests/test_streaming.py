@@ -134,3 +134,34 @@ def test_log_stage_stream_equals_batch(spark, tmpdir_path):
         logs.split_display(logs.split_page(clean)).count()
     assert spark.read.json(os.path.join(out, "dirty")).count() == \
         logs.dirty_lines(parsed).count()
+
+
+def test_visitor_stats_from_three_streams(spark, tmpdir_path):
+    """uv / uj / pv land as three topics; the stats query unions them with
+    an 11 s watermark (the jump rows' 10 s wait + 1 s bound)."""
+    import shutil
+    within = 3_600_000
+    pages = logs.split_page(logs.repair_is_new(FX.page_log_rows(spark, SF_SMALL)))
+    closer = spark.createDataFrame(
+        [("zz_closer", -1, FAR_FUTURE_MS, "0", "v", "c", "a", "home", "home", None, None, 0)],
+        STREAM_PAGE)
+    srcs = {}
+    for name, df in {"uv": visits.unique_visit(pages),
+                     "uj": visits.jump_detail(pages, within),
+                     "pv": pages}.items():
+        flat = jobs.flat_page_rows(df)
+        tmp = os.path.join(tmpdir_path, name)
+        os.makedirs(tmp)
+        srcs[name] = _stage_files(spark, flat, tmp, extra=closer)
+    streams = {n: spark.readStream.schema(STREAM_PAGE).option("maxFilesPerTrigger", 1).json(p)
+               for n, p in srcs.items()}
+    out = jobs.visitor_stats_stream(streams["uv"], streams["uj"], streams["pv"])
+    q = (out.writeStream.format("memory").queryName("vs3").outputMode("append")
+         .option("checkpointLocation", os.path.join(tmpdir_path, "ck"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination(600)
+    want = stats.visitor_stats(stats.union_visitor(
+        visits.unique_visit(pages), visits.jump_detail(pages, within), pages))
+    cols = ["stt", "vc", "ch", "ar", "is_new", "uv_ct", "pv_ct", "sv_ct", "uj_ct", "dur_sum",
+            "ts"]
+    assert _rows(spark.table("vs3").filter(F.col("vc") != "v"), cols) == _rows(want, cols)
