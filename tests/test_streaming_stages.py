@@ -197,3 +197,32 @@ def test_unparsable_time_falls_back_to_record_time(spark):
     j = wide.payment_wide_join(pay, ow, record_time="rec")
     assert j.count() == 1          # 00:10 payment, order 10 min before: inside -15 min
     assert wide.payment_wide_join(pay, ow).count() == 0   # no fallback: no event time
+
+
+def test_late_rows_dropped_across_batches(spark, tmpdir_path):
+    """No allowed lateness anywhere: a row older than the watermark that
+    arrives in a later micro-batch is dropped from its window."""
+    schema = FX.search_page_rows(spark, SF_SMALL).schema
+    src = os.path.join(tmpdir_path, "src")
+    os.makedirs(src)
+
+    def put(i, rows):
+        d = os.path.join(tmpdir_path, f"f{i}")
+        spark.createDataFrame(rows, schema).coalesce(1).write.json(d)
+        f = glob.glob(os.path.join(d, "part-*.json"))[0]
+        shutil.copy(f, os.path.join(src, f"{i}.json"))
+        os.utime(os.path.join(src, f"{i}.json"), (1_000_000 + i,) * 2)
+
+    def row(word, ts):
+        return ({"mid": "m"}, {"last_page_id": "search", "item": word}, ts)
+
+    # Spark filters late input with the previous batch's watermark, so the
+    # late row comes two batches after the rows that moved the watermark.
+    put(0, [row("early", 100_000), row("early", 101_000)])
+    put(1, [row("ontime", 120_000)])
+    put(2, [row("late", 5_000)])                    # 5 s << watermark 100 s
+    put(3, [row("closer", 4_102_444_800_000)])
+    got = _drain(stats.keyword_stats(_stream(spark, src, schema), stamp="window_end"),
+                 "late_s", os.path.join(tmpdir_path, "ck"))
+    words = sorted((r.keyword, r.ct) for r in got.collect())
+    assert words == [("early", 2), ("ontime", 1)]
