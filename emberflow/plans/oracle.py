@@ -647,7 +647,7 @@ SELECT CAST(strftime(CAST(stt AS TIMESTAMP), '%Y%m%d') AS INTEGER) AS dt,
   CAST(CAST(sum(order_amount) AS DECIMAL(16,2)) AS DOUBLE) AS order_amount
 FROM product_stats GROUP BY 1""",
     "gmv_by_brand": _with(PRODUCT_Q[5:], GMV_BRAND) + """
-SELECT dt, tm_name, CAST(order_amount AS DOUBLE) AS order_amount, rk
+SELECT dt, tm_name, CAST(order_amount AS DOUBLE) AS order_amount, CAST(rk AS INTEGER) AS rk
 FROM gmv_ranked WHERE rk <= 5""",
     "gmv_by_brand_series": _with(PRODUCT_Q[5:], GMV_BRAND) + """
 SELECT dt, string_agg(coalesce(tm_name, ''), '|' ORDER BY rk) AS categories,
