@@ -53,10 +53,19 @@ def rows_of(cols, rows):
     return [tuple(_norm(r[i]) for i in order) for r in rows]
 
 
+def _spark_type(t) -> str:
+    from pyspark.sql import types as T
+    return {T.IntegerType: "INTEGER", T.LongType: "BIGINT", T.DoubleType: "DOUBLE",
+            T.StringType: "VARCHAR", T.BooleanType: "BOOLEAN"}.get(type(t), t.simpleString())
+
+
 def compare(spark, con, name, fn, sql, sf_dir):
     t0 = time.time()
     sdf = fn(spark, sf_dir)
     s_cols = sdf.columns
+    s_types = {f.name: _spark_type(f.dataType) for f in sdf.schema.fields}
+    rel = con.sql(sql)
+    d_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
     s_rows = [tuple(r) for r in sdf.collect()]
     t1 = time.time()
     res = con.execute(sql)
@@ -69,6 +78,10 @@ def compare(spark, con, name, fn, sql, sf_dir):
         out["ok"] = False
         out["why"] = f"columns differ: {sorted(s_cols)} vs {sorted(d_cols)}"
         return out
+    if s_types != d_types:
+        out["ok"] = False
+        out["why"] = f"types differ: {s_types} vs {d_types}"
+        return out
     a = collections.Counter(rows_of(s_cols, s_rows))
     b = collections.Counter(rows_of(d_cols, d_rows))
     out["ok"] = a == b
