@@ -14,15 +14,19 @@ def cdc_normalize(raw: DataFrame, topic: str = "topic", value: str = "value") ->
 
     Database and table come from the topic ``server.database.table``; a
     missing image becomes an empty map; op ``c`` is ``insert``, ``u``
-    ``update``, ``d`` ``delete``, ``r`` ``read``. Other input columns are kept.
+    ``update``, ``d`` ``delete``, ``r`` ``read``, ``t`` ``truncate``, ``m``
+    ``message``. Other input columns are kept.
     """
     parts = F.split(F.col(topic), r"\.")
     rec = F.from_json(F.col(value), S.CHANGE_VALUE)
     empty = F.create_map().cast(S.STR_MAP)
     keep = [c for c in raw.columns if c not in (topic, value)]
     op = F.col("_r.op")
+    # op letters of the change connector (fixed values): c create (named
+    # insert), u update, d delete, r read (snapshot), t truncate, m message
     kind = (F.when(op == "c", "insert").when(op == "u", "update").when(op == "d", "delete")
-            .when(op == "r", "read").otherwise(F.lower(op)))
+            .when(op == "r", "read").when(op == "t", "truncate").when(op == "m", "message")
+            .otherwise(F.lower(op)))
     return raw.select(*keep, parts.getItem(1).alias("database"),
                       parts.getItem(2).alias("tableName"), rec.alias("_r")).select(
         *keep, "database", "tableName",
