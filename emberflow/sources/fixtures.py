@@ -80,7 +80,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir}/{name}.parquet"
     key = (id(spark), path)
     df = _RELATIONS.get(key)
-    if df is None:
+    if df is None or df.sparkSession is not spark:   # new or restarted session
         df = spark.read.parquet(path)
         if name in FACT_TABLES:
             df = _spread(spark, df)
