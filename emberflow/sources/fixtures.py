@@ -48,7 +48,7 @@ PAGE_OF_TYPE = {"view": "home", "signup": "login", "click": "good_detail",
 SEARCH_EPOCH = "2024-01-01 00:00:00"
 
 
-_RELATIONS: dict[tuple[int, str], DataFrame] = {}
+_RELATIONS: dict[tuple[int, str, bool], DataFrame] = {}
 # Tables that grow with the business and feed per-row work (JSON, regex,
 # joins). Dimension-sized tables are read as they are.
 FACT_TABLES = set("events,lineitem,orders,documents,pages,conversations".split(","))
@@ -73,16 +73,18 @@ def _spread(spark: SparkSession, df: DataFrame) -> DataFrame:
     return df.repartition(target, df.columns[0])
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
     """One relation per (session, file): the schema is read and the files are
     listed once, and every use of a table in a plan is the same scan (so the
-    planner can reuse its exchanges)."""
+    planner can reuse its exchanges). ``spread=False`` for uses that only
+    filter and project (no per-row work worth a fan-out exchange)."""
     path = f"{sf_dir}/{name}.parquet"
-    key = (id(spark), path)
+    spread = spread and name in FACT_TABLES
+    key = (id(spark), path, spread)
     df = _RELATIONS.get(key)
     if df is None or df.sparkSession is not spark:   # new or restarted session
         df = spark.read.parquet(path)
-        if name in FACT_TABLES:
+        if spread:
             df = _spread(spark, df)
         df = _RELATIONS[key] = df
     return df
@@ -248,7 +250,8 @@ def payment_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _event_fact(spark: SparkSession, sf_dir: str, event_type: str) -> DataFrame:
-    ev = read_table(spark, sf_dir, "events").filter(F.col("event_type") == event_type)
+    ev = read_table(spark, sf_dir, "events", spread=False).filter(
+        F.col("event_type") == event_type)
     return ev.select(F.col("event_id").alias("id"), _event_k().alias("sku_id"),
                      F.col("user_id"), F.col("value"), fmt_time("ts").alias("create_time"))
 
@@ -426,14 +429,16 @@ def routing_config(spark: SparkSession) -> DataFrame:
 # Comma lines for the interval-join demo: "id,name,ts" and "id,sex,ts" (ts in s)
 # --------------------------------------------------------------------------
 def csv_name_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = read_table(spark, sf_dir, "events").filter(F.col("event_type") == "click")
+    ev = read_table(spark, sf_dir, "events", spread=False).filter(
+        F.col("event_type") == "click")
     return ev.select(F.concat_ws(",", F.col("user_id").cast("string"), F.col("event_type"),
                                  F.unix_seconds(F.col("ts").cast("timestamp")).cast("string"))
                      .alias("value"))
 
 
 def csv_sex_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = read_table(spark, sf_dir, "events").filter(F.col("event_type") == "purchase")
+    ev = read_table(spark, sf_dir, "events", spread=False).filter(
+        F.col("event_type") == "purchase")
     sex = F.when(F.pmod("user_id", F.lit(2)) == 0, "F").otherwise("M")
     return ev.select(F.concat_ws(",", F.col("user_id").cast("string"), sex,
                                  F.unix_seconds(F.col("ts").cast("timestamp")).cast("string"))
