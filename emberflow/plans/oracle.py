@@ -299,27 +299,27 @@ user_changes AS (
     1700000000000 + c_custkey * 10 AS base
   FROM customer),
 env AS (
-  SELECT base AS seq, 'gmall' AS database, 'user_info' AS table_name, 'insert' AS type,
+  SELECT base AS seq, 'shop' AS database, 'user_info' AS table_name, 'insert' AS type,
     CAST(NULL AS VARCHAR) AS before_id, CAST(c_custkey AS VARCHAR) AS after_id,
     0 AS before_n, 5 AS after_n, CAST(NULL AS VARCHAR) AS after_status, base AS ts_ms,
     c_name AS after_name, gender, birthday
   FROM user_changes
   UNION ALL
-  SELECT base + 5, 'gmall', 'user_info', 'update', CAST(c_custkey AS VARCHAR),
+  SELECT base + 5, 'shop', 'user_info', 'update', CAST(c_custkey AS VARCHAR),
     CAST(c_custkey AS VARCHAR), 5, 5, NULL, base + 5, upper(c_name), gender, birthday
   FROM user_changes WHERE c_acctbal < 0
   UNION ALL
-  SELECT base + 7, 'gmall', 'user_info', 'delete', CAST(c_custkey AS VARCHAR), NULL, 5, 0,
+  SELECT base + 7, 'shop', 'user_info', 'delete', CAST(c_custkey AS VARCHAR), NULL, 5, 0,
     NULL, base + 7, NULL, gender, birthday
   FROM user_changes WHERE c_acctbal < -500
   UNION ALL
-  SELECT epoch_ms(o_orderdate) + o_orderkey, 'gmall', 'order_info', 'insert', NULL,
+  SELECT epoch_ms(o_orderdate) + o_orderkey, 'shop', 'order_info', 'insert', NULL,
     CAST(o_orderkey AS VARCHAR), 0, 5,
     CASE WHEN o_orderstatus = 'F' THEN 'O' ELSE o_orderstatus END,
     epoch_ms(o_orderdate) + o_orderkey, NULL, NULL, NULL
   FROM orders
   UNION ALL
-  SELECT epoch_ms(o_orderdate) + o_orderkey + 60000, 'gmall', 'order_info', 'update',
+  SELECT epoch_ms(o_orderdate) + o_orderkey + 60000, 'shop', 'order_info', 'update',
     CAST(o_orderkey AS VARCHAR), CAST(o_orderkey AS VARCHAR), 5, 5, o_orderstatus,
     epoch_ms(o_orderdate) + o_orderkey + 60000, NULL, NULL, NULL
   FROM orders WHERE o_orderstatus = 'F'),

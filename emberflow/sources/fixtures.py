@@ -339,7 +339,7 @@ def dim_base_category3(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Change records and routing config
 # --------------------------------------------------------------------------
 CHANGE_SERVER = "mysql_binlog"
-CHANGE_DATABASE = "gmall"
+CHANGE_DATABASE = "shop"
 
 
 def _str_map(**cols: Column) -> Column:

@@ -160,7 +160,7 @@ def test_enrich_left_join_keeps_missing(spark):
 
 # ---------------------------------------------------------------- cdc
 def _change(topic, op, before, after, ts):
-    v = {"op": op, "ts_ms": ts, "source": {"db": "gmall"}}
+    v = {"op": op, "ts_ms": ts, "source": {"db": "shop"}}
     if before is not None:
         v["before"] = before
     if after is not None:
@@ -173,23 +173,23 @@ def _env(spark, rows):
 
 
 def test_cdc_normalize_and_drop_deletes(spark):
-    t = "srv.gmall.base_trademark"
+    t = "srv.shop.base_trademark"
     e = _env(spark, [_change(t, "c", None, {"id": "11", "tm_name": "x"}, 1),
                      _change(t, "u", {"id": "11"}, {"id": "11", "tm_name": "y"}, 2),
                      _change(t, "d", {"id": "11"}, None, 3),
                      _change(t, "r", None, {"id": "12"}, 4)])
     got = [(r.database, r.tableName, r.type, len(r.before), len(r.after))
            for r in e.orderBy("seq").collect()]
-    assert got == [("gmall", "base_trademark", "insert", 0, 2),
-                   ("gmall", "base_trademark", "update", 1, 2),
-                   ("gmall", "base_trademark", "delete", 1, 0),
-                   ("gmall", "base_trademark", "read", 0, 1)]
+    assert got == [("shop", "base_trademark", "insert", 0, 2),
+                   ("shop", "base_trademark", "update", 1, 2),
+                   ("shop", "base_trademark", "delete", 1, 0),
+                   ("shop", "base_trademark", "read", 0, 1)]
     assert [r.type for r in cdc.cdc_drop_deletes(e).orderBy("seq").collect()] == \
         ["insert", "update", "read"]
 
 
 def test_current_image_and_retract(spark):
-    t = "srv.gmall.t"
+    t = "srv.shop.t"
     e = _env(spark, [_change(t, "c", None, {"id": "1", "v": "a"}, 1),
                      _change(t, "u", {"id": "1", "v": "a"}, {"id": "1", "v": "b"}, 2),
                      _change(t, "c", None, {"id": "2", "v": "c"}, 3),
