@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job wants regardless of data size. Shuffle width is sized by
 # the caller: ~cores locally, ~(input bytes / 128 MiB) on a cluster.
@@ -41,11 +40,13 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the operator sets this to shared storage; we only pick a
-    local folder when nothing is set (tests and single-machine runs).
+    A cluster must name one on shared storage; where it is unset, only a local
+    master (tests, single-machine runs) gets a folder of its own.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
         current = tempfile.mkdtemp(prefix="emberflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -53,6 +54,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
-def checkpoint_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder (stream state, cut lineage)."""
-    return os.path.join(ensure_checkpoint_dir(spark), name)
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder once; later reads start there."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
