@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import common, ngram_join
+from . import common, ngram_join, suffix_dedup
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -12,6 +13,14 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(common.table(spark, sf_dir, "documents"), shingle=3, percent=90)
 
 
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of all documents in 400-byte strings that start more than once, removed."""
+    cut = suffix_dedup.remove_repeats(common.table(spark, sf_dir, "documents"), length=400)
+    return cut.select("doc_id", F.col("__n_bytes").alias("n_bytes"), F.col("__n_removed").alias("n_removed"),
+                      F.col("__n_spans").alias("n_spans"), F.sha2("__kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op10_suffix_array_dedup": op10_suffix_array_dedup,
 }
