@@ -12,11 +12,13 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
 #: Bits of a bitmap sent to tasks (2 MB); further keys only weaken its pruning.
 BITMAP_BITS = 1 << 24
@@ -67,6 +69,14 @@ def in_bitmap(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return (bits[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
 
+def passes(bits: np.ndarray) -> Callable[[Column], Column]:
+    """Column function: is the bit of a long key set?"""
+    @pandas_udf("boolean")
+    def check(h: pd.Series) -> pd.Series:
+        return pd.Series(in_bitmap(h.to_numpy(), bits))
+    return check
+
+
 def key_runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Tables of the rows of one key, from batches sorted by ``keys``."""
     held: list[pa.RecordBatch] = []

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, ngram_join, suffix_dedup
+from . import common, line_dedup, ngram_join, suffix_dedup
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,6 +13,13 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(common.table(spark, sf_dir, "documents"), shingle=3, percent=90)
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of all documents without those similar (0.8) to an earlier line."""
+    cut = line_dedup.remove_lines(common.table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_removed").alias("n_removed"),
+                      F.sha2(common.text_or_empty(), 256).alias("kept_sha256"))
+
+
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of all documents in 400-byte strings that start more than once, removed."""
     cut = suffix_dedup.remove_repeats(common.table(spark, sf_dir, "documents"), length=400)
@@ -22,5 +29,6 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op9_line_dedup": op9_line_dedup,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
 }

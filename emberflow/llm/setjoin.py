@@ -46,6 +46,33 @@ def ordered(tokens: np.ndarray, levels: np.ndarray) -> np.ndarray:
     return tokens[np.lexsort((tokens, levels[slots(tokens)]))]
 
 
+def ordered_sets(tokens: np.ndarray, offsets: np.ndarray, levels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct tokens of every owner in the global order, and the owners' offsets."""
+    owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    level = levels[slots(tokens)]
+    key = (owner.astype(np.uint64) << np.uint64(44)) | (level.astype(np.uint64) << np.uint64(36)) | (tokens >> np.uint64(28))
+    order = np.argsort(key)
+    key = key[order]
+    sorted_tokens = tokens[order]
+    if len(offsets) > 1 << 20 or np.any((key[1:] == key[:-1]) & (sorted_tokens[1:] != sorted_tokens[:-1])):
+        order = np.lexsort((tokens, level, owner))  # the short keys do not tell all tokens apart
+        sorted_tokens = tokens[order]
+    owner = owner[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (sorted_tokens[1:] != sorted_tokens[:-1]) | (owner[1:] != owner[:-1])
+    return sorted_tokens[new], np.searchsorted(owner[new], np.arange(len(offsets)), side="left")
+
+
+def class_keys(tokens: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """``class_key`` of every owner's distinct tokens, as rows of two words."""
+    sums = np.zeros((len(offsets) - 1, 2), np.uint64)
+    full = np.flatnonzero(np.diff(offsets))
+    if len(full):
+        sums[full, 0] = np.add.reduceat(tokens, offsets[full])
+        sums[full, 1] = np.add.reduceat(textbytes.mix(tokens * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(1)), offsets[full])
+    return textbytes.mix(sums * np.uint64(0x9E3779B97F4A7C15) + np.diff(offsets).astype(np.uint64)[:, None])
+
+
 def prefix_length(n: int, percent: int) -> int:
     return n - (-(-percent * n // 100)) + 1
 

@@ -32,11 +32,9 @@ table gives an empty result.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 
 from ..session import cut_lineage, ensure_checkpoint_dir
 from . import common, textbytes
@@ -163,13 +161,6 @@ def _closer_rows(held: DataFrame, length: int, step: int) -> DataFrame:
     return held.mapInArrow(emit, "t binary, a long, b long, at long, rank long, whole long")
 
 
-def _passes(bits: np.ndarray):
-    @pandas_udf("boolean")
-    def check(h: pd.Series) -> pd.Series:
-        return pd.Series(common.in_bitmap(h.to_numpy(), bits))
-    return check
-
-
 def repeated_spans(docs: DataFrame, length: int = 400, seed: int = 128) -> tuple[DataFrame, DataFrame]:
     """(text key t, copies) of every text, and (t, spans) of the texts with repeated strings.
 
@@ -191,7 +182,7 @@ def repeated_spans(docs: DataFrame, length: int = 400, seed: int = 128) -> tuple
         lists = cut_lineage(lists)
         asked = common.bitmap(lists.select(F.xxhash64("t", "holder").alias("h")), "h")
         holders = docs.select(_text_key().alias("t"), F.col("doc_id").cast("long").alias("doc_id"), common.text_or_empty().alias("text"))
-        holders = holders.where(_passes(asked)(F.xxhash64("t", "doc_id")))
+        holders = holders.where(common.passes(asked)(F.xxhash64("t", "doc_id")))
         held = (holders.join(lists, (holders.t == lists.t) & holders.doc_id.eqNullSafe(lists.holder))
                 .select(holders.t, "text", "runs"))
         rows = cut_lineage(_closer_rows(held, length, step).distinct())
@@ -220,7 +211,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, seed: int = 128) -> DataF
               .where(wide | F.col("spans").isNotNull())
               .select("t", wide.alias("__all"), F.when(~wide, F.col("spans")).alias("__spans")))
     marked = cut_lineage(marked)
-    touched = _passes(common.bitmap(marked.select(F.xxhash64("t").alias("h")), "h"))
+    touched = common.passes(common.bitmap(marked.select(F.xxhash64("t").alias("h")), "h"))
     based = docs.withColumn("__t", _text_key()).withColumn("__touched", touched(F.xxhash64("__t")))
     size = F.octet_length(common.text_or_empty()).cast("long")
     columns = docs.columns
