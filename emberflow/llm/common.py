@@ -20,8 +20,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-#: Bits of a bitmap sent to tasks (2 MB); further keys only weaken its pruning.
-BITMAP_BITS = 1 << 24
+#: Bits of a bitmap sent to tasks (4 MB); further keys only weaken its pruning.
+BITMAP_BITS = 1 << 25
 _PAGE_BITS = 32768
 
 
@@ -140,5 +140,10 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def row_hash() -> Column:
+    """Hash of a row's doc_id and text."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text"))
+
+
 def long_array(values: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(values).view(np.int64), pa.int64())

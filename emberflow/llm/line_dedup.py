@@ -42,25 +42,16 @@ def _lines(data: np.ndarray, offs: np.ndarray):
     return np.append(start, offs[-1]), owner, number
 
 
-def _line_sets(data: np.ndarray, offs: np.ndarray, k: int, min_words: int, levels: np.ndarray | None):
-    """Tokens of every line (in global order, distinct, if ``levels`` are given)."""
+def _line_sets(data: np.ndarray, offs: np.ndarray, k: int, min_words: int, levels: np.ndarray):
+    """Tokens of every line (distinct, in the global order), line offsets, and each line's text and number."""
     lines, owner, number = _lines(data, offs)
     words, at, _ = textbytes.word_hashes(data, lines)
-    tokens, cuts = textbytes.shingle_hashes(words, at, k)
+    found, cuts = setjoin.tokens(words, at, k, levels)
     if min_words > 1:
         long = np.diff(at) >= min_words
-        tokens = tokens[np.repeat(long, np.diff(cuts))]
+        found = found[np.repeat(long, np.diff(cuts))]
         cuts = np.concatenate([[0], np.cumsum(np.where(long, np.diff(cuts), 0))])
-    if levels is not None:
-        tokens, cuts = setjoin.ordered_sets(tokens, cuts, levels)
-    return tokens, cuts, owner, number
-
-
-def _prefixes(cuts: np.ndarray, percent: int) -> np.ndarray:
-    """Which tokens are in their line's prefix."""
-    n = np.diff(cuts)
-    place = np.arange(cuts[-1]) - np.repeat(cuts[:-1], n)
-    return place < np.repeat(n - (-(-percent * n // 100)) + 1, n)
+    return *setjoin.distinct_tokens(found, cuts), owner, number
 
 
 def _prefix_rows(docs: DataFrame, k: int, percent: int, min_words: int, levels: np.ndarray) -> DataFrame:
@@ -70,7 +61,7 @@ def _prefix_rows(docs: DataFrame, k: int, percent: int, min_words: int, levels:
             data, offs = textbytes.text_buffer(batch.column(0))
             for i, j in textbytes.chunks(offs):
                 tokens, cuts, owner, number = _line_sets(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i], k, min_words, levels)
-                pick = _prefixes(cuts, percent)
+                pick = setjoin.in_prefix(cuts, percent)
                 line = textbytes.mix(rows[i + owner] + textbytes.mix(number.astype(np.uint64) + np.uint64(1)))
                 yield pa.RecordBatch.from_arrays([common.long_array(tokens[pick]), common.long_array(np.repeat(line, np.diff(cuts))[pick])], names=["token", "c"])
     return docs.select("text", "row").mapInArrow(emit, "token long, c long")
@@ -83,7 +74,7 @@ def _line_rows(docs: DataFrame, k: int, percent: int, min_words: int, levels: np
             data, offs = textbytes.text_buffer(batch.column(0))
             for i, j in textbytes.chunks(offs):
                 tokens, cuts, owner, number = _line_sets(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i], k, min_words, levels)
-                alive = _prefixes(cuts, percent) & common.in_bitmap(tokens, live)
+                alive = setjoin.in_prefix(cuts, percent) & common.in_bitmap(tokens, live)
                 line_of = np.repeat(np.arange(len(owner)), np.diff(cuts))[alive]
                 use, first = np.unique(line_of, return_index=True)
                 if not len(use):
@@ -117,29 +108,24 @@ def _line_blobs(docs: DataFrame, k: int, percent: int, min_words: int, levels: n
     return docs.select("text", "row").mapInArrow(emit, "cls binary, tokens binary")
 
 
-def _later_matches(sets: list[np.ndarray], side: np.ndarray, alone: bool, levels: np.ndarray, percent: int):
+def _later_matches(sets: list[np.ndarray], side: np.ndarray, alone: bool, percent: int):
     """Places of the sets (given in their order of first lines) that match an earlier one."""
-    joined = np.concatenate(sets)
-    distinct, inverse = np.unique(joined, return_inverse=True)
-    rank = np.empty(len(distinct), np.int64)
-    rank[np.lexsort((distinct, levels[setjoin.slots(distinct)]))] = np.arange(len(distinct))
-    ranked = [np.sort(r) for r in np.split(rank[inverse], np.cumsum([len(s) for s in sets])[:-1])]
     index = defaultdict(list)  # prefix token -> (set, position)
-    for x, tokens in enumerate(ranked):
+    for x, tokens in enumerate(sets):
         n = len(tokens)
         prefix = tokens[:setjoin.prefix_length(n, percent)].tolist()
         tried = set()
         matched = False
         for i, token in enumerate(prefix):
             for y, j in index[token]:
-                m = len(ranked[y])
+                m = len(sets[y])
                 if y in tried or not (alone or side[x] != side[y]) or 100 * min(n, m) < percent * max(n, m):
                     continue
                 tried.add(y)
                 # the first common token: no more than the rest of either set can follow
-                if (100 + percent) * (1 + min(n - i, m - j) - 1) < percent * (n + m):
+                if (100 + percent) * min(n - i, m - j) < percent * (n + m):
                     continue
-                shared = len(np.intersect1d(tokens, ranked[y], assume_unique=True))
+                shared = len(np.intersect1d(tokens, sets[y], assume_unique=True))
                 if (100 + percent) * shared >= percent * (n + m):
                     matched = True
                     break
@@ -154,12 +140,9 @@ def _later_matches(sets: list[np.ndarray], side: np.ndarray, alone: bool, levels
 def removed_lines(docs: DataFrame, shingle: int = 5, percent: int = 80, min_words: int = 1) -> DataFrame:
     """(doc_id, row, line): the lines to remove; ``row`` is a hash of doc_id and text."""
     ensure_checkpoint_dir(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("row", F.xxhash64("doc_id", "text"))
-
-    def all_tokens(data, offs):
-        return _line_sets(data, offs, shingle, min_words, None)[0]
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("row", common.row_hash())
 
-    levels = setjoin.count_levels(docs.select("text"), all_tokens)
+    levels = setjoin.word_levels(docs)
     live = common.bitmap(setjoin.repeated(_prefix_rows(docs, shingle, percent, min_words, levels)), "token")
     lines = cut_lineage(_line_rows(docs, shingle, percent, min_words, levels, live))
     lowest = F.coalesce("doc_id", F.lit(-(2**63)))  # null first
@@ -180,7 +163,7 @@ def removed_lines(docs: DataFrame, shingle: int = 5, percent: int = 80, min_word
                 continue
             keys = t["cls"].to_pylist()
             found = [keys[x] for x in _later_matches([np.frombuffer(b, np.uint64) for b in t["tokens"].to_pylist()],
-                                                    t["side"].to_numpy(), t["bi"][0] == t["bj"][0], levels, percent)]
+                                                    t["side"].to_numpy(), t["bi"][0] == t["bj"][0], percent)]
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], names=["cls"])
 
@@ -202,9 +185,8 @@ def remove_lines(docs: DataFrame, shingle: int = 5, percent: int = 80, min_words
             .agg(F.collect_set("line").alias("__lines")).withColumnsRenamed({"doc_id": "__doc", "row": "__row"}))
     gone = cut_lineage(gone)
     touched = common.passes(common.bitmap(gone, "__row"))
-    row = F.xxhash64(F.col("doc_id").cast("long"), F.col("text"))
     columns = docs.columns
-    based = docs.withColumn("__r", row).withColumn("__touched", touched(F.col("__r")))
+    based = docs.withColumn("__r", common.row_hash()).withColumn("__touched", touched(F.col("__r")))
     n_lines = F.size(F.split(common.text_or_empty(), "\n", -1)).cast("long")
     still = based.where("not __touched").select(*[F.col(f"`{c}`") for c in columns], n_lines.alias("__n_lines"), F.lit(0).cast("long").alias("__n_removed"))
     joined = (based.where("__touched")

@@ -7,7 +7,7 @@ with nothing. Two documents link when 100 * |A & B| >= percent * |A | B|.
 
 Steps, all over the whole table:
 
-1. count shingles in a fixed table of slots: the global token order, rarest first;
+1. count words in a fixed table of slots: the global token order, rarest first;
 2. collapse equal sets to classes; find the prefix tokens that two classes share;
 3. gather the classes that share a token around the token's first class; a
    class stays in a group only if some partner there is within the allowed
@@ -39,55 +39,49 @@ from .components import connected
 SKETCH = 128
 
 
-def _shingles(k: int):
-    def tokens_of(data, offs):
-        words, at, _ = textbytes.word_hashes(data, offs)
-        return textbytes.shingle_hashes(words, at, k)[0]
-    return tokens_of
-
-
-def _sets(column: pa.Array, k: int):
-    """Position and distinct shingles of every text of a batch."""
+def _sets(column: pa.Array, k: int, levels: np.ndarray):
+    """Ranges of a batch with the tokens of their texts (distinct, in the global order) and text offsets."""
     data, offs = textbytes.text_buffer(column)
     for i, j in textbytes.chunks(offs):
         words, at, _ = textbytes.word_hashes(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i])
-        tokens, cuts = textbytes.shingle_hashes(words, at, k)
-        for q in range(j - i):
-            yield i + q, np.unique(tokens[cuts[q]:cuts[q + 1]])
+        yield i, *setjoin.distinct_tokens(*setjoin.tokens(words, at, k, levels))
 
 
 def _prefix_rows(docs: DataFrame, k: int, percent: int, levels: np.ndarray) -> DataFrame:
     def emit(batches):
         for batch in batches:
-            tokens, owners = [], []
-            for _, s in _sets(batch.column(0), k):
-                if len(s):
-                    p = setjoin.ordered(s, levels)[:setjoin.prefix_length(len(s), percent)]
-                    tokens.append(p)
-                    owners.append(np.full(len(p), np.frombuffer(setjoin.class_key(s)[:8], np.int64)[0]))
-            if tokens:
-                yield pa.RecordBatch.from_arrays([common.long_array(np.concatenate(tokens)), pa.array(np.concatenate(owners))], names=["token", "c"])
+            for _, found, cuts in _sets(batch.column(0), k, levels):
+                pick = setjoin.in_prefix(cuts, percent)
+                owner = np.repeat(setjoin.class_keys(found, cuts)[:, 0], np.diff(cuts))
+                yield pa.RecordBatch.from_arrays([common.long_array(found[pick]), common.long_array(owner[pick])], names=["token", "c"])
     return docs.select("text").mapInArrow(emit, "token long, c long")
 
 
+def _sketches(found: np.ndarray, cuts: np.ndarray, use: np.ndarray) -> list[bytes]:
+    slot = (textbytes.mix(found) >> np.uint64(40)).astype(np.int64) % SKETCH
+    return [np.minimum(np.bincount(slot[cuts[x]:cuts[x + 1]], minlength=SKETCH), 255).astype(np.uint8).tobytes() for x in use]
+
+
 def _document_rows(docs: DataFrame, k: int, percent: int, levels: np.ndarray, live: np.ndarray) -> DataFrame:
-    """(doc_id, n, cls, live prefix tokens, sketch) of every document."""
+    """(doc_id, row, n, cls, live prefix tokens, sketch) of every document; row is a hash of doc_id and text."""
     def emit(batches):
         for batch in batches:
-            n, keys, tokens, sketches = [], [], [], []
-            for _, s in _sets(batch.column(1), k):
-                p = setjoin.ordered(s, levels)[:setjoin.prefix_length(len(s), percent)] if len(s) else s
-                p = p[common.in_bitmap(p, live)]
-                n.append(len(s))
-                keys.append(setjoin.class_key(s) if len(s) else None)
-                tokens.append(p.view(np.int64) if len(p) else None)
-                sketches.append(np.minimum(np.bincount((s >> np.uint64(40)).astype(np.int64) % SKETCH, minlength=SKETCH), 255)
-                                .astype(np.uint8).tobytes() if len(p) else None)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(keys, pa.binary()),
-                 pa.array(tokens, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
-                names=["doc_id", "n", "cls", "tokens", "sketch"])
-    return docs.select("doc_id", "text").mapInArrow(emit, "doc_id long, n long, cls binary, tokens array<long>, sketch binary")
+            ids, rows = batch.column(1), batch.column(2)
+            for i, found, cuts in _sets(batch.column(0), k, levels):
+                n = np.diff(cuts)
+                alive = setjoin.in_prefix(cuts, percent) & common.in_bitmap(found, live)
+                lists = np.concatenate([[0], np.cumsum(alive)])[cuts]
+                use = np.flatnonzero(np.diff(lists))
+                sketch = dict(zip(use.tolist(), _sketches(found, cuts, use)))
+                keys = setjoin.class_keys(found, cuts)
+                yield pa.RecordBatch.from_arrays(
+                    [ids.slice(i, len(n)), rows.slice(i, len(n)), pa.array(n, pa.int64()),
+                     pa.array([keys[x].tobytes() if n[x] else None for x in range(len(n))], pa.binary()),
+                     pa.ListArray.from_arrays(pa.array(lists, pa.int32()), common.long_array(found[alive])),
+                     pa.array([sketch.get(x) for x in range(len(n))], pa.binary())],
+                    names=["doc_id", "row", "n", "cls", "tokens", "sketch"])
+    return (docs.select("text", F.col("doc_id").cast("long").alias("doc_id"), common.row_hash().alias("row"))
+            .mapInArrow(emit, "doc_id long, row long, n long, cls binary, tokens array<long>, sketch binary"))
 
 
 def _near(n: np.ndarray, sketch: np.ndarray, side: np.ndarray, bj_is_bi: bool, percent: int) -> np.ndarray:
@@ -160,14 +154,10 @@ class PrefixTree:
             stack.extend((c, shared) for c in children)
 
 
-def _tree_links(sets: list[np.ndarray], side: np.ndarray, alone: bool, levels: np.ndarray, percent: int):
+def _tree_links(sets: list[np.ndarray], side: np.ndarray, alone: bool, percent: int):
     """Links that connect all similar members of a piece (no more than a forest)."""
-    joined = np.concatenate(sets)
-    distinct, inverse = np.unique(joined, return_inverse=True)
-    rank = np.empty(len(distinct), np.int64)
-    rank[np.lexsort((distinct, levels[setjoin.slots(distinct)]))] = np.arange(len(distinct))
-    cuts = np.cumsum([len(s) for s in sets])[:-1]
-    ranked = [np.sort(r) for r in np.split(rank[inverse], cuts)]
+    distinct, rank = np.unique(np.concatenate(sets), return_inverse=True)
+    ranked = np.split(rank, np.cumsum([len(s) for s in sets])[:-1])
     parent = list(range(len(sets)))
 
     def root(i):
@@ -191,19 +181,18 @@ def _tree_links(sets: list[np.ndarray], side: np.ndarray, alone: bool, levels: n
 
 
 def jaccard_links(docs: DataFrame, shingle: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
-    """(documents as rows (doc_id, n, cls), links between classes as rows (a, b)).
+    """(documents as rows (doc_id, row, n, cls), links between classes as rows (a, b)).
 
     The links connect exactly the classes that chains of similar pairs connect;
     pairs already connected inside one piece are not listed again.
     """
     ensure_checkpoint_dir(docs.sparkSession)
-    texts = docs.select("text")
-    levels = setjoin.count_levels(texts, _shingles(shingle))
+    levels = setjoin.word_levels(docs)
     live = common.bitmap(setjoin.repeated(_prefix_rows(docs, shingle, percent, levels)), "token")
     rows = cut_lineage(_document_rows(docs, shingle, percent, levels, live))
-    found = (rows.where("tokens is not null").groupBy("cls")
+    found = cut_lineage(rows.where("sketch is not null").groupBy("cls")
              .agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"), F.first("sketch").alias("sketch")))
-    members = found.select("cls", "n", F.explode("tokens").alias("token"))
+    members = found.select("cls", F.explode("tokens").alias("token"))
     pieces = setjoin.dealt(setjoin.groups(members.select("token", "cls"), []))
     piece_key = ["pivot", "bi", "bj"]
 
@@ -232,10 +221,11 @@ def jaccard_links(docs: DataFrame, shingle: int = 5, percent: int = 80) -> tuple
             if not batch.num_rows:
                 continue
             keys, blobs = [], []
-            for _, s in _sets(batch.column(0), shingle):
-                if len(s):
-                    keys.append(setjoin.class_key(s))
-                    blobs.append(s.tobytes())
+            for _, found, cuts in _sets(batch.column(0), shingle, levels):
+                names = setjoin.class_keys(found, cuts)
+                for x in np.flatnonzero(np.diff(cuts)):
+                    keys.append(names[x].tobytes())
+                    blobs.append(found[cuts[x]:cuts[x + 1]].tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(blobs, pa.binary())], names=["cls", "tokens"])
 
     stored = (docs.select("text", F.xxhash64(F.col("doc_id").cast("long")).alias("h"))
@@ -248,21 +238,42 @@ def jaccard_links(docs: DataFrame, shingle: int = 5, percent: int = 80) -> tuple
                 continue
             keys = t["cls"].to_pylist()
             found = list(_tree_links([np.frombuffer(b, np.uint64) for b in t["tokens"].to_pylist()], t["side"].to_numpy(),
-                                     t["bi"][0] == t["bj"][0], levels, percent))
+                                     t["bi"][0] == t["bj"][0], percent))
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array([keys[i] for i, _ in found], pa.binary()), pa.array([keys[j] for _, j in found], pa.binary())], names=["a", "b"])
 
     links = cut_lineage(close.join(stored, "cls").select(*piece_key, "side", "cls", "tokens")
                         .repartition(*piece_key).sortWithinPartitions(*piece_key)
                         .mapInArrow(search, "a binary, b binary").distinct())
-    return rows.select("doc_id", "n", "cls"), links
+    return rows.select("doc_id", "row", "n", "cls"), links
 
 
 def jaccard_components(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id reachable) of every document."""
+    """doc_id, row, n_shingles, component_id (smallest doc_id reachable) of every document."""
     rows, links = jaccard_links(docs, shingle, percent)
     names = connected(links)
-    labelled = rows.join(names.select(F.col("v").alias("cls"), "label"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
-    smallest = labelled.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("component"))
-    return (labelled.join(smallest, "label", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")))
+    classes = (rows.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("least"))
+               .join(names.select(F.col("v").alias("cls"), "label"), "cls", "left").withColumn("label", F.coalesce("label", "cls")))
+    smallest = classes.groupBy("label").agg(F.min("least").alias("component_id"))
+    of_class = classes.join(smallest, "label").select(F.col("cls").alias("of"), "component_id")
+    return (rows.join(of_class, F.col("cls") == F.col("of"), "left")
+            .select("doc_id", "row", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")))
+
+
+def drop_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one document of each component: the smallest doc_id, once.
+
+    A row without doc_id goes if its component has a doc_id, else it stays.
+    """
+    found = jaccard_components(docs, shingle, percent)
+    found = cut_lineage(found.groupBy("doc_id", "row").agg(F.count(F.lit(1)).alias("copies"), F.min("component_id").alias("component"), F.max("n_shingles").alias("n"))
+                        .withColumn("gone", F.col("component").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("component")))
+                        .where("gone or (copies > 1 and n > 0)").select(F.col("doc_id").alias("__doc"), F.col("row").alias("__row"), "gone"))
+    touched = common.passes(common.bitmap(found, "__row"))
+    based = docs.withColumn("__r", common.row_hash()).withColumn("__touched", touched(F.col("__r")))
+    same = (F.col("__r") == F.col("__row")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__doc"))
+    some = based.where("__touched").join(found.withColumnRenamed("gone", "__gone"), same, "left").where("__gone is null or not __gone")
+    once = some.where("__gone is not null").dropDuplicates(["doc_id", "__r"])
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return (based.where("not __touched").select(*columns)
+            .unionByName(some.where("__gone is null").select(*columns)).unionByName(once.select(*columns)))

@@ -1,23 +1,24 @@
 """Parts common to the two exact set joins: token order, prefixes, candidate groups.
 
-Sets hold 64-bit shingle hashes. One global order sorts the tokens, rarest
-first: by the level of a fixed table of corpus counts, then by hash. Any order
-gives right results; the counts only keep frequent tokens out of the prefixes.
-With similarity >= t, two sets share a token in the first n - ceil(t n) + 1
-tokens of each.
+A token is a k-word shingle as a 64-bit number: its rarity in the upper 16 bits,
+its hash below, so numbers in ascending order are tokens in the global order,
+rarest first. The rarity is the logarithmic count of the shingle's rarest word
+(no shingle is more frequent than that), then of all its words, by a fixed table
+of word counts over the whole corpus. Any order gives right results; this one
+keeps frequent tokens out of the prefixes. With similarity >= t, two sets share
+a token in the first n - ceil(t n) + 1 tokens of each.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from . import common, textbytes
 
-#: Slots of the table of token counts (one byte each when sent to tasks).
+#: Slots of the table of word counts (one byte each when sent to tasks).
 COUNT_SLOTS = 1 << 20
 #: Members of a candidate group that one task holds; larger groups are dealt out as pairs of chunks.
 CHUNK_MEMBERS = 1024
@@ -27,62 +28,70 @@ def slots(tokens: np.ndarray) -> np.ndarray:
     return (tokens & np.uint64(COUNT_SLOTS - 1)).astype(np.int64)
 
 
-def count_levels(docs: DataFrame, tokens_of: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
-    """Level (0-255, logarithmic) of every slot's count over all texts of ``docs``."""
+def word_levels(docs: DataFrame) -> np.ndarray:
+    """Level (0-255, logarithmic) of every slot's word count over all texts of ``docs``."""
 
     def count(batch):
         data, offs = textbytes.text_buffer(batch.column(0))
         out = np.zeros(COUNT_SLOTS, np.int64)
-        for i, j in textbytes.chunks(offs):
-            t = tokens_of(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i])
-            np.add.at(out, slots(t), 1) if len(t) < 1000 else out.__iadd__(np.bincount(slots(t), minlength=COUNT_SLOTS))
+        for i, j in textbytes.chunks(offs, 8 * textbytes.CHUNK_BYTES):
+            words = textbytes.word_hashes(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i])[0]
+            out += np.bincount(slots(words), minlength=COUNT_SLOTS)
         return out
 
-    total = common.sum_slots(docs, count, COUNT_SLOTS)
-    return np.minimum(255, np.floor(8 * np.log2(1 + total))).astype(np.uint8)
+    total = common.sum_slots(docs.select("text"), count, COUNT_SLOTS)
+    return np.minimum(255, np.floor(6 * np.log2(1 + total))).astype(np.uint8)
 
 
-def ordered(tokens: np.ndarray, levels: np.ndarray) -> np.ndarray:
-    return tokens[np.lexsort((tokens, levels[slots(tokens)]))]
+def tokens(words: np.ndarray, offsets: np.ndarray, k: int, levels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All tokens of every owner's words, and the owners' token offsets."""
+    hashes, out = textbytes.shingle_hashes(words, offsets, k)
+    sizes = np.diff(out)
+    first = np.repeat(offsets[:-1] - out[:-1], sizes) + np.arange(out[-1])
+    left = np.minimum(np.repeat(offsets[1:], sizes) - first, k)
+    level = np.concatenate([levels[slots(words)], np.zeros(k, np.uint8)]).astype(np.uint64)
+    low, total = np.full(len(first), 255, np.uint64), np.zeros(len(first), np.uint64)
+    for j in range(k):
+        here = level[first + j]
+        low = np.minimum(low, np.where(left > j, here, np.uint64(255)))
+        total += np.where(left > j, here, np.uint64(0))
+    return low << np.uint64(56) | (total // left.astype(np.uint64)) << np.uint64(48) | hashes >> np.uint64(16), out
 
 
-def ordered_sets(tokens: np.ndarray, offsets: np.ndarray, levels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def distinct_tokens(found: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct tokens of every owner in the global order, and the owners' offsets."""
     owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    level = levels[slots(tokens)]
-    key = (owner.astype(np.uint64) << np.uint64(44)) | (level.astype(np.uint64) << np.uint64(36)) | (tokens >> np.uint64(28))
+    key = (owner.astype(np.uint64) << np.uint64(44)) | (found >> np.uint64(20))
     order = np.argsort(key)
-    key = key[order]
-    sorted_tokens = tokens[order]
-    if len(offsets) > 1 << 20 or np.any((key[1:] == key[:-1]) & (sorted_tokens[1:] != sorted_tokens[:-1])):
-        order = np.lexsort((tokens, level, owner))  # the short keys do not tell all tokens apart
-        sorted_tokens = tokens[order]
+    key, ordered = key[order], found[order]
+    if len(offsets) > 1 << 20 or np.any((key[1:] == key[:-1]) & (ordered[1:] != ordered[:-1])):
+        order = np.lexsort((found, owner))  # the short keys do not tell all tokens apart
+        ordered = found[order]
     owner = owner[order]
     new = np.ones(len(order), bool)
-    new[1:] = (sorted_tokens[1:] != sorted_tokens[:-1]) | (owner[1:] != owner[:-1])
-    return sorted_tokens[new], np.searchsorted(owner[new], np.arange(len(offsets)), side="left")
+    new[1:] = (ordered[1:] != ordered[:-1]) | (owner[1:] != owner[:-1])
+    return ordered[new], np.searchsorted(owner[new], np.arange(len(offsets)), side="left")
 
 
-def class_keys(tokens: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """``class_key`` of every owner's distinct tokens, as rows of two words."""
+def class_keys(found: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """128 bits (two words) naming every owner's set of distinct tokens."""
     sums = np.zeros((len(offsets) - 1, 2), np.uint64)
     full = np.flatnonzero(np.diff(offsets))
     if len(full):
-        sums[full, 0] = np.add.reduceat(tokens, offsets[full])
-        sums[full, 1] = np.add.reduceat(textbytes.mix(tokens * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(1)), offsets[full])
+        sums[full, 0] = np.add.reduceat(textbytes.mix(found), offsets[full])
+        sums[full, 1] = np.add.reduceat(textbytes.mix(found * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(1)), offsets[full])
     return textbytes.mix(sums * np.uint64(0x9E3779B97F4A7C15) + np.diff(offsets).astype(np.uint64)[:, None])
 
 
-def prefix_length(n: int, percent: int) -> int:
-    return n - (-(-percent * n // 100)) + 1
+def in_prefix(offsets: np.ndarray, percent: int) -> np.ndarray:
+    """Which tokens are in their owner's prefix."""
+    n = np.diff(offsets)
+    place = np.arange(offsets[-1]) - np.repeat(offsets[:-1], n)
+    return place < np.repeat(n - (-(-percent * n // 100)) + 1, n)
 
 
-def class_key(tokens: np.ndarray) -> bytes:
-    """16 bytes naming a set of distinct tokens, whatever their order."""
-    if not len(tokens):
-        return b"\0" * 16
-    sums = np.array([tokens.sum(dtype=np.uint64), textbytes.mix(tokens * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(1)).sum(dtype=np.uint64)])
-    return textbytes.mix(sums * np.uint64(0x9E3779B97F4A7C15) + np.uint64(len(tokens))).tobytes()
+def prefix_length(n: int, percent: int) -> int:
+    return n - (-(-percent * n // 100)) + 1
 
 
 def repeated(tokens: DataFrame) -> DataFrame:
@@ -99,9 +108,10 @@ def groups(members: DataFrame, order: list[str]) -> DataFrame:
     pairs meet in a group; a class comes once into each group.
     """
     rank = F.struct(*order, "cls")
+    members = cut_lineage(members)
     first = members.groupBy("token").agg(F.min(rank).alias("first"), F.max(rank).alias("last"))
     first = first.where("first.cls != last.cls").select("token", F.col("first.cls").alias("pivot"))
-    return members.join(first, "token").select("pivot", "cls").distinct()
+    return cut_lineage(members.join(first, "token").select("pivot", "cls").distinct())
 
 
 def dealt(grouped: DataFrame, chunk: int = CHUNK_MEMBERS) -> DataFrame:

@@ -203,8 +203,12 @@ def _cut(size: int, spans, length: int) -> list[tuple[int, int]]:
     return out
 
 
-def remove_repeats(docs: DataFrame, length: int = 400, seed: int = 128) -> DataFrame:
-    """``docs`` with __kept (remaining bytes), __n_bytes, __n_removed and __n_spans added."""
+def remove_repeats(docs: DataFrame, length: int = 400, seed: int = 128, characters: bool = False) -> DataFrame:
+    """``docs`` with __kept (remaining bytes), __n_bytes, __n_removed and __n_spans added.
+
+    With ``characters``, characters of which a byte was removed go whole from
+    __kept, so that it is valid UTF-8; the counts stay those of the bytes.
+    """
     copies, spans = repeated_spans(docs, length, seed)
     wide = F.col("copies").cast("long") > 1
     marked = (copies.where("size >= %d" % length).join(spans, "t", "left")
@@ -231,13 +235,11 @@ def remove_repeats(docs: DataFrame, length: int = 400, seed: int = 128) -> DataF
             for text, some, full in zip(texts, spans, alls):
                 raw = (text.as_py() or "").encode()
                 cuts = [(0, len(raw))] if full.as_py() else _cut(len(raw), some.as_py() or [], length)
-                parts, at = [], 0
-                for s, e in cuts:
-                    parts.append(raw[at:s])
-                    at = e
-                kept.append(b"".join([*parts, raw[at:]]))
+                edges = [0, *(x for cut_ in cuts for x in cut_), len(raw)]
+                parts = [raw[a:b] for a, b in zip(edges[::2], edges[1::2])]
                 sizes.append(len(raw))
-                gone.append(len(raw) - len(kept[-1]))
+                gone.append(len(raw) - sum(map(len, parts)))
+                kept.append(b"".join(p.decode("utf-8", "ignore").encode() for p in parts) if characters else b"".join(parts))
                 runs.append(len(cuts))
             keep = [names.index(c) for c in columns]
             yield pa.RecordBatch.from_arrays(
