@@ -2,15 +2,41 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, line_dedup, ngram_join, suffix_dedup
+from . import bpe, common, line_dedup, ngram_join, packing, quality, suffix_dedup
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three-word shingles of all documents, Jaccard of 0.9 or more."""
-    return ngram_join.jaccard_components(common.table(spark, sf_dir, "documents"), shingle=3, percent=90)
+    found = ngram_join.jaccard_components(common.table(spark, sf_dir, "documents"), shingle=3, percent=90)
+    return found.drop("row")
+
+
+def op2_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents, and the bytes they decode to."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = bpe.decode(bpe.encode(docs, path, public_tokenizers.PATTERN, offsets=False), path, public_tokenizers.PATTERN, text=False)
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token pieces of all documents in sequences of 1024."""
+    pieces = packing.token_pieces(common.table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), length=1024)
+    return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), length=1024)
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, common.table(spark, sf_dir, "labels"))
+    return quality.score(docs, model).select("doc_id", quality.held_out().alias("held_out"), F.col("__score").alias("score"),
+                                             F.col("__predicted").alias("predicted"))
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +55,9 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op2_byte_level_bpe": op2_byte_level_bpe,
+    "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_quality_classifier": op7_quality_classifier,
     "op9_line_dedup": op9_line_dedup,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
 }
