@@ -1,5 +1,39 @@
-"""DuckDB SQL for the queries of this subpackage that SQL can express."""
+"""DuckDB SQL for the queries of this subpackage that SQL can express on whole tables."""
 
 from __future__ import annotations
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op4_tool_call_linking": """
+WITH RECURSIVE calls AS (
+    SELECT conv_id, turn, conv_id || ':' || turn AS call_id, conv_id || ':' || (turn - 2) AS after, text
+    FROM conversations WHERE role = 'user'),
+results AS (
+    SELECT conv_id, turn, conv_id || ':' || (turn - 1) AS call_id, text AS content
+    FROM conversations WHERE role = 'assistant'),
+levels AS (
+    SELECT call_id, 0::BIGINT AS level FROM calls WHERE after NOT IN (SELECT call_id FROM calls)
+    UNION ALL
+    SELECT c.call_id, l.level + 1 FROM levels l JOIN calls c ON c.after = l.call_id),
+checked AS (
+    SELECT c.*, l.level, r.call_id IS NOT NULL AS answered,
+           concat_ws('; ', CASE WHEN length(text) < 20 THEN 'text: below 20' END,
+                     CASE WHEN length(text) > 300 THEN 'text: above 300' END) AS errors
+    FROM calls c JOIN levels l USING (call_id) LEFT JOIN results r USING (call_id))
+SELECT conv_id, turn, 'call' AS kind, call_id, 2 * level AS step,
+       CASE WHEN answered THEN 'linked' ELSE 'unanswered' END AS status, errors = '' AS valid, errors,
+       '{"arguments":{"text":' || CAST(to_json(text) AS VARCHAR) || ',"turn":' || turn || '},"id":"' || call_id || '","name":"reply","role":"call"}' AS json
+FROM checked
+UNION ALL
+SELECT r.conv_id, r.turn, 'result', r.call_id, 2 * c.level + 1,
+       CASE WHEN c.call_id IS NULL THEN 'orphan' ELSE 'linked' END, TRUE, '',
+       '{"content":' || CAST(to_json(content) AS VARCHAR) || ',"id":"' || r.call_id || '","role":"result"}'
+FROM results r LEFT JOIN checked c USING (call_id)
+""",
+    "op5_exact_dedup": """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC) = 1 AS kept,
+       sha256(coalesce(text, '')) AS text_sha256
+FROM documents
+WINDOW same AS (PARTITION BY coalesce(text, ''))
+""",
+}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, line_dedup, ngram_join, packing, quality, suffix_dedup
+from . import bpe, chat_format, common, exact_dedup, line_dedup, ngram_join, packing, quality, suffix_dedup
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +25,31 @@ def op2_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+#: What a user's turn asks for, as a call of the tool "reply".
+REPLY = {"reply": [chat_format.Field("text", "string", least=20, most=300), chat_format.Field("turn", "integer", least=0)]}
+
+
+def op4_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All turns of users as calls, and of assistants as results, linked and serialised.
+
+    A user's turn t calls "reply" with identifier conv_id:t, after the call of
+    turn t - 2; an assistant's turn t answers conv_id:(t - 1).
+    """
+    turns = common.table(spark, sf_dir, "conversations")
+    name = lambda back: F.concat_ws(":", F.col("conv_id").cast("string"), (F.col("turn") - back).cast("string"))
+    calls = turns.where("role = 'user'").select(
+        "conv_id", "turn", name(0).alias("call_id"), F.lit("reply").alias("name"),
+        F.to_json(F.struct("turn", "text")).alias("arguments"), name(2).alias("after"))
+    results = turns.where("role = 'assistant'").select("conv_id", "turn", name(1).alias("call_id"), F.col("text").alias("content"))
+    lines = chat_format.link_tool_calls(calls, results, REPLY)
+    return lines.select("conv_id", "turn", "kind", "call_id", "step", "status", "valid", F.concat_ws("; ", "errors").alias("errors"), "json")
+
+
+def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Equal texts of all documents; the largest doc_id stays."""
+    return exact_dedup.exact_duplicates(common.table(spark, sf_dir, "documents"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token pieces of all documents in sequences of 1024."""
     pieces = packing.token_pieces(common.table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), length=1024)
@@ -56,6 +81,8 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_byte_level_bpe": op2_byte_level_bpe,
+    "op4_tool_call_linking": op4_tool_call_linking,
+    "op5_exact_dedup": op5_exact_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_quality_classifier": op7_quality_classifier,
     "op9_line_dedup": op9_line_dedup,
