@@ -55,6 +55,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder once; later reads start there."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` to the shared checkpoint folder once; later reads start there.
+
+    The shuffle files behind it are of no more use. Spark deletes them once the
+    driver's JVM has collected their owners, which is asked for here: a job of
+    many steps would else hold the shuffles of all of them on disk.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    cut = df.checkpoint(eager=True)
+    spark.sparkContext._jvm.System.gc()
+    return cut
