@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_format, common, exact_dedup, line_dedup, ngram_join, packing, quality, suffix_dedup
+from . import bpe, chat_format, common, exact_dedup, html_text, line_dedup, neighbours, ngram_join, packing, quality, suffix_dedup
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +25,11 @@ def op2_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_approximate_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every vector whose vec_id is divisible by 20."""
+    return neighbours.nearest(common.table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 #: What a user's turn asks for, as a call of the tool "reply".
 REPLY = {"reply": [chat_format.Field("text", "string", least=20, most=300), chat_format.Field("turn", "integer", least=0)]}
 
@@ -64,6 +69,12 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
                                              F.col("__predicted").alias("predicted"))
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    pages = html_text.extract(common.table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", F.col("__text").alias("text"), F.length("__text").cast("long").alias("n_chars"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of all documents without those similar (0.8) to an earlier line."""
     cut = line_dedup.remove_lines(common.table(spark, sf_dir, "documents"))
@@ -81,10 +92,12 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_byte_level_bpe": op2_byte_level_bpe,
+    "op3_approximate_nearest_neighbours": op3_approximate_nearest_neighbours,
     "op4_tool_call_linking": op4_tool_call_linking,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_quality_classifier": op7_quality_classifier,
+    "op8_html_extraction": op8_html_extraction,
     "op9_line_dedup": op9_line_dedup,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
 }
