@@ -15,13 +15,13 @@ shorter string, hash of the longer one around it):
 2. equal whole runs (first to last string): past the threshold at once, all
    their strings are repeats; one run of each class goes on as a witness where
    its gram has other classes;
-3. the rest is cut into steps of ``STEP`` offsets: the bytes common to a step's
-   strings are ranked (unique: gone), then the whole step (equal: repeats);
-4. what is left is ranked string by string at the full length.
+3. the rest is cut into steps of ``STEPS[0]`` offsets, then ``STEPS[1]`` ..: the
+   bytes common to a step's strings are ranked (unique: gone), then the whole
+   step (equal: repeats); the last step is one string at its full length.
 
 Copies of a text stand for one text: all their bytes repeat if it is long
 enough. Ranks are 64-bit hashes within the rank of the round before, texts are
-named by 128 bits of SHA-256. Equal keys are counted by Spark aggregates; no
+named by 78 bits of two hashes. Equal keys are found by Spark aggregates; no
 list of equal strings is ever gathered, only lists within one text.
 
 Defined cases: null text = empty; texts shorter than ``length`` are kept whole;
@@ -39,7 +39,8 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage, ensure_checkpoint_dir
 from . import common, textbytes
 
-STEP = 16
+#: Offsets looked at together, round by round.
+STEPS = (48, 8, 1)
 
 
 def _sliding_min(values: np.ndarray, w: int) -> np.ndarray:
@@ -76,23 +77,31 @@ def _runs(data: np.ndarray, offs: np.ndarray, length: int, seed: int):
     return text[first], start[first], start[last], anchor[first], grams[anchor[first]], total
 
 
-def _text_key() -> Column:
-    return F.unhex(F.substring(F.sha2(common.text_or_empty().cast("binary"), 256), 1, 32))
+def _text_key() -> list[Column]:
+    text = common.text_or_empty()
+    return [F.xxhash64(text).alias("t"), F.pmod(F.xxhash64(F.lit(7), text), F.lit(1 << 14)).alias("m")]
 
 
 def _name(keys: np.ndarray, place: np.ndarray) -> np.ndarray:
     return textbytes.mix(keys ^ textbytes.mix(place.astype(np.uint64) + np.uint64(1)))
 
 
-def _key_words(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, 2)[:, 0]
+# A run's place in one long: first string (31 bits and sign), m (14), strings after the first (9), gram after the first (9).
+
+def _packed(a: np.ndarray, b: np.ndarray, at: np.ndarray, m: np.ndarray) -> pa.Array:
+    return pa.array(a << 32 | m << 18 | (b - a) << 9 | (at - a))
+
+
+def _unpacked(packed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    a = packed >> 32
+    return a, a + (packed >> 9 & 511), a + (packed & 511), packed >> 18 & 16383
 
 
 def _gram_rows(texts: DataFrame, length: int, seed: int) -> DataFrame:
     def emit(batches):
         for batch in batches:
-            keys = _key_words(batch.column(0))
-            data, offs = textbytes.text_buffer(batch.column(1))
+            keys = batch.column(0).to_numpy().view(np.uint64)
+            data, offs = textbytes.text_buffer(batch.column(2))
             for i, j in textbytes.chunks(offs):
                 base = offs[i]
                 text, _, _, at, gram, _ = _runs(data[base:offs[j]], offs[i:j + 1] - base, length, seed)
@@ -104,7 +113,8 @@ def _gram_rows(texts: DataFrame, length: int, seed: int) -> DataFrame:
 def _run_rows(texts: DataFrame, length: int, seed: int, live: np.ndarray) -> DataFrame:
     def emit(batches):
         for batch in batches:
-            data, offs = textbytes.text_buffer(batch.column(1))
+            keys, more = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            data, offs = textbytes.text_buffer(batch.column(2))
             for i, j in textbytes.chunks(offs):
                 base = offs[i]
                 text, a, b, at, gram, total = _runs(data[base:offs[j]], offs[i:j + 1] - base, length, seed)
@@ -115,87 +125,95 @@ def _run_rows(texts: DataFrame, length: int, seed: int, live: np.ndarray) -> Dat
                 whole = textbytes.span_hashes(total, a, b + length) + (at - a).astype(np.uint64) * np.uint64(0x9FB21C651E98DF25)
                 own = offs[i + text] - base
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(i + text)), pa.array(a - own), pa.array(b - own), pa.array(at - own), common.long_array(gram), common.long_array(whole)],
-                    names=["t", "a", "b", "at", "rank", "whole"])
-    return texts.mapInArrow(emit, "t binary, a long, b long, at long, rank long, whole long")
+                    [pa.array(keys[i + text]), _packed(a - own, b - own, at - own, more[i + text]), common.long_array(gram), common.long_array(whole)],
+                    names=["t", "packed", "rank", "whole"])
+    return texts.mapInArrow(emit, "t long, packed long, rank long, whole long")
 
 
-def _split(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(repeats, rows to look at more closely) of one round.
+def _split(rows: DataFrame) -> DataFrame:
+    """One round: (t, m, spans, closer) of every text with repeats or runs to look at more closely.
 
     ``rank`` is the round's rank of the common part, ``whole`` the hash of the
-    row's strings together.
+    row's strings together. ``spans`` lists (s, e): the strings from s to e are
+    repeats; ``closer`` lists (packed, rank). Rows of copies of a text are equal.
     """
-    classes = rows.groupBy("rank", "whole").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("t", "a")).alias("witness"))
-    ranks = classes.groupBy("rank").agg(F.count(F.lit(1)).alias("classes"), F.max("n").alias("most"))
-    ranks = ranks.where("classes > 1 or most > 1").select("rank", "classes")
+    place = F.xxhash64("t", "packed")
+    classes = (rows.groupBy("rank", "whole").agg(F.min(place).alias("witness"), F.max(place).alias("other")))
+    ranks = (classes.groupBy("rank").agg((F.min("whole") != F.max("whole")).alias("more"), F.max(F.col("witness") != F.col("other")).alias("some"))
+             .where("more or some").select("rank", "more"))
     seen = rows.join(classes.join(ranks, "rank"), ["rank", "whole"])
-    repeats = seen.where("n > 1").select("t", F.col("a").alias("s"), F.col("b").alias("e"))
-    closer = seen.where("classes > 1 and (n = 1 or witness = struct(t, a))").select("t", "a", "b", "at", "rank")
-    return repeats, closer
+    repeat = F.col("witness") != F.col("other")
+    span = F.struct(F.shiftright("packed", 32).alias("s"), (F.shiftright("packed", 32) + F.expr("shiftright(packed, 9) & 511")).alias("e"))
+    return (seen.groupBy("t", F.expr("shiftright(packed, 18) & 16383").alias("m"))
+            .agg(F.collect_set(F.when(repeat, span)).alias("spans"),
+                 F.collect_set(F.when(F.col("more") & (~repeat | (place == F.col("witness"))), F.struct("packed", "rank"))).alias("closer")))
 
 
 def _closer_rows(held: DataFrame, length: int, step: int) -> DataFrame:
-    """The next round's rows, from rows (text, list of runs); ``step`` offsets at a time."""
+    """The next round's rows, from rows (t, text, list of runs); ``step`` offsets at a time."""
     def emit(batches):
         for batch in batches:
             lists = batch.column(2)
             data, offs = textbytes.text_buffer(batch.column(1))
             flat, cuts = lists.flatten(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
-            field = {n: flat.field(n).to_numpy() for n in ("a", "b", "at", "rank")}
+            packed, ranks = flat.field("packed").to_numpy(), flat.field("rank").to_numpy().view(np.uint64)
             for i in range(batch.num_rows):
-                f = {n: v[cuts[i]:cuts[i + 1]] for n, v in field.items()}
+                first, last, gram, m = _unpacked(packed[cuts[i]:cuts[i + 1]])
                 total = textbytes.prefix_hashes(data[offs[i]:offs[i + 1]])
-                low, high = (f["at"] - f["b"]) // step, (f["at"] - f["a"]) // step  # steps of offsets at - start
+                low, high = (gram - last) // step, (gram - first) // step  # steps of offsets gram - start
                 count = high - low + 1
                 row = np.repeat(np.arange(len(count)), count)
                 g = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + low[row]
-                at = f["at"][row]
-                a, b = np.maximum(f["a"][row], at - g * step - step + 1), np.minimum(f["b"][row], at - g * step)
+                at = gram[row]
+                a, b = np.maximum(first[row], at - g * step - step + 1), np.minimum(last[row], at - g * step)
                 core = textbytes.span_hashes(total, at - g * step, at - g * step - step + 1 + length)
-                rank = textbytes.mix(f["rank"][row].view(np.uint64) + textbytes.mix(g.astype(np.uint64) + np.uint64(7)) + core)
+                rank = textbytes.mix(ranks[cuts[i]:cuts[i + 1]][row] + textbytes.mix(g.astype(np.uint64) + np.uint64(7)) + core)
                 whole = textbytes.span_hashes(total, a, b + length) + textbytes.mix((at - a).astype(np.uint64))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([batch.column(0)[i].as_py()] * len(row), pa.binary()), pa.array(a), pa.array(b), pa.array(at), common.long_array(rank), common.long_array(whole)],
-                    names=["t", "a", "b", "at", "rank", "whole"])
-    return held.mapInArrow(emit, "t binary, a long, b long, at long, rank long, whole long")
+                    [pa.array(np.full(len(row), batch.column(0)[i].as_py())), _packed(a, b, at, m[row]), common.long_array(rank), common.long_array(whole)],
+                    names=["t", "packed", "rank", "whole"])
+    return held.mapInArrow(emit, "t long, packed long, rank long, whole long")
 
 
 def repeated_spans(docs: DataFrame, length: int = 400, seed: int = 128) -> tuple[DataFrame, DataFrame]:
-    """(text key t, copies) of every text, and (t, spans) of the texts with repeated strings.
+    """(t, m, holder, copies, size) of every text, and (t, m, spans) of the texts with repeated strings.
 
-    ``spans`` lists (s, e): the strings that start at s .. e occur elsewhere.
+    ``spans`` lists lists of (s, e): the strings that start at s .. e occur elsewhere.
     """
+    if not 0 <= length - seed < 512:
+        raise ValueError("length may exceed seed by 0 to 511")
     ensure_checkpoint_dir(docs.sparkSession)
-    texts = docs.select(_text_key().alias("t"), common.text_or_empty().alias("text"))
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text_key().alias("t"), F.octet_length(common.text_or_empty()).alias("size"))
-    copies = cut_lineage(keyed.groupBy("t").agg(F.min("doc_id").alias("holder"), F.count(F.lit(1)).alias("copies"), F.first("size").alias("size")))
+    doc_id = F.col("doc_id").cast("long").alias("doc_id")
+    texts = docs.select(*_text_key(), common.text_or_empty().alias("text"))
+    copies = cut_lineage(docs.select(doc_id, *_text_key(), F.octet_length(common.text_or_empty()).alias("size"))
+                         .groupBy("t", "m").agg(F.min("doc_id").alias("holder"), F.count(F.lit(1)).alias("copies"), F.max("size").alias("size")))
     grams = _gram_rows(texts, length, seed).groupBy("gram").agg(F.min("place").alias("low"), F.max("place").alias("high")).where("low < high")
     live = common.bitmap(grams, "gram")
-    rows = cut_lineage(_run_rows(texts, length, seed, live).distinct())
+    rows = cut_lineage(_run_rows(texts, length, seed, live))
     found = []
-    for step in (STEP, 1):
-        repeats, closer = _split(rows)
-        found.append(repeats)
-        lists = (closer.groupBy("t").agg(F.collect_list(F.struct("a", "b", "at", "rank")).alias("runs"))
-                 .join(copies.select("t", "holder"), "t"))
-        lists = cut_lineage(lists)
-        asked = common.bitmap(lists.select(F.xxhash64("t", "holder").alias("h")), "h")
-        holders = docs.select(_text_key().alias("t"), F.col("doc_id").cast("long").alias("doc_id"), common.text_or_empty().alias("text"))
-        holders = holders.where(common.passes(asked)(F.xxhash64("t", "doc_id")))
-        held = (holders.join(lists, (holders.t == lists.t) & holders.doc_id.eqNullSafe(lists.holder))
-                .select(holders.t, "text", "runs"))
-        rows = cut_lineage(_closer_rows(held, length, step).distinct())
-    found.append(rows.groupBy("rank").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-                 .join(rows, "rank").select("t", F.col("a").alias("s"), F.col("b").alias("e")))
-    spans = found[0].unionByName(found[1]).unionByName(found[2])
-    return copies, spans.groupBy("t").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
-
-
-def _cut(size: int, spans, length: int) -> list[tuple[int, int]]:
+    steps = [s for s in STEPS if s == 1 or 4 * s <= length]  # a step's strings must overlap
+    for step in (*steps, None):
+        round_ = cut_lineage(_split(rows))
+        found.append(round_.where("size(spans) > 0").select("t", "m", "spans"))
+        if step is None:
+            break
+        lists = round_.where("size(closer) > 0").join(copies.select("t", "m", "holder"), ["t", "m"]).select("t", "m", "closer", "holder")
+        asked = common.bitmap(lists.select(F.xxhash64("t", "m", "holder").alias("h")), "h")
+        holders = docs.select(F.struct(*_text_key()).alias("k"), doc_id, common.text_or_empty().alias("text"))
+        holders = holders.where(common.passes(asked)(F.xxhash64("k.t", "k.m", "doc_id")))
+        held = (holders.join(lists, (F.col("k.t") == F.col("t")) & (F.col("k.m") == F.col("m")) & holders.doc_id.eqNullSafe(lists.holder))
+                .select("t", "text", "closer"))
+        rows = cut_lineage(_closer_rows(held, length, step))
+    spans = found[0]
+    for more in found[1:]:
+        spans = spans.unionByName(more)
+    return copies, spans.groupBy("t", "m").agg(F.collect_list("spans").alias("spans"))
+
+
+def _cut(spans, length: int) -> list[tuple[int, int]]:
     """Merged byte ranges [s, e + length) of one text."""
     out: list[list[int]] = []
-    for s, e in sorted((x["s"], x["e"] + length) for x in spans):
+    for s, e in sorted((x["s"], x["e"] + length) for group in spans for x in group):
         if out and s <= out[-1][1]:
             out[-1][1] = max(out[-1][1], e)
         else:
@@ -211,12 +229,13 @@ def remove_repeats(docs: DataFrame, length: int = 400, seed: int = 128, characte
     """
     copies, spans = repeated_spans(docs, length, seed)
     wide = F.col("copies").cast("long") > 1
-    marked = (copies.where("size >= %d" % length).join(spans, "t", "left")
+    marked = (copies.where(f"size >= {length}").join(spans, ["t", "m"], "left")
               .where(wide | F.col("spans").isNotNull())
-              .select("t", wide.alias("__all"), F.when(~wide, F.col("spans")).alias("__spans")))
+              .select(F.col("t").alias("__t"), F.col("m").alias("__m"), wide.alias("__all"), F.when(~wide, F.col("spans")).alias("__spans")))
     marked = cut_lineage(marked)
-    touched = common.passes(common.bitmap(marked.select(F.xxhash64("t").alias("h")), "h"))
-    based = docs.withColumn("__t", _text_key()).withColumn("__touched", touched(F.xxhash64("__t")))
+    touched = common.passes(common.bitmap(marked, "__t"))
+    t, m = _text_key()
+    based = docs.withColumn("__touched", touched(t))
     size = F.octet_length(common.text_or_empty()).cast("long")
     columns = docs.columns
     shape = [F.col(f"`{c}`") for c in columns]
@@ -225,7 +244,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, seed: int = 128, characte
         return df.select(*shape, common.text_or_empty().cast("binary").alias("__kept"), size.alias("__n_bytes"),
                          F.lit(0).cast("long").alias("__n_removed"), F.lit(0).cast("long").alias("__n_spans"))
 
-    joined = based.where("__touched").join(marked.withColumnRenamed("t", "__t"), "__t", "left")
+    joined = based.where("__touched").join(marked, (t == F.col("__t")) & (m == F.col("__m")), "left")
 
     def cut(batches):
         for batch in batches:
@@ -234,7 +253,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, seed: int = 128, characte
             kept, sizes, gone, runs = [], [], [], []
             for text, some, full in zip(texts, spans, alls):
                 raw = (text.as_py() or "").encode()
-                cuts = [(0, len(raw))] if full.as_py() else _cut(len(raw), some.as_py() or [], length)
+                cuts = [(0, len(raw))] if full.as_py() else _cut(some.as_py() or [], length)
                 edges = [0, *(x for cut_ in cuts for x in cut_), len(raw)]
                 parts = [raw[a:b] for a, b in zip(edges[::2], edges[1::2])]
                 sizes.append(len(raw))
@@ -247,4 +266,4 @@ def remove_repeats(docs: DataFrame, length: int = 400, seed: int = 128, characte
                 names=[*columns, "__kept", "__n_bytes", "__n_removed", "__n_spans"])
 
     out = whole(based.where("not __touched"))
-    return out.unionByName(joined.drop("__t", "__touched").mapInArrow(cut, out.schema))
+    return out.unionByName(joined.drop("__t", "__m", "__touched").mapInArrow(cut, out.schema))
