@@ -41,7 +41,7 @@ def cdc_drop_deletes(envelopes: DataFrame) -> DataFrame:
 
 
 def cdc_current_image(envelopes: DataFrame, pk: str = "id",
-                      order: tuple = ("ts_ms", "seq")) -> DataFrame:
+                      order: tuple = ("ts_ms", "partition", "seq")) -> DataFrame:
     """Current state per (table, key): the newest change wins, deleted keys
     disappear. An aggregate (``max_by``), partially combined per map task."""
     ordering = F.struct(*[F.col(c) for c in order if c in envelopes.columns])
@@ -50,12 +50,22 @@ def cdc_current_image(envelopes: DataFrame, pk: str = "id",
               .agg(F.max_by(F.struct("type", "after", *[F.col(c) for c in order
                                                         if c in envelopes.columns]),
                             ordering).alias("_l")))
-    return latest.filter(F.col("_l.type") != "delete").select(
+    return latest.filter(~F.col("_l.type").eqNullSafe("delete")).select(
         "database", "tableName", "pk", F.col("_l.after").alias("image"),
         F.col("_l.type").alias("last_type"),
         *[F.col(f"_l.{c}").alias(c) for c in order if c in envelopes.columns])
 
 
+def snapshot_then_changes(snapshot: DataFrame, changes: DataFrame) -> DataFrame:
+    """Snapshot rows (``database, tableName, image``) as ``read`` records that
+    come before every change, then the changes: the envelopes of a capture that
+    starts with a full read."""
+    first = snapshot.select("database", "tableName", F.create_map().cast(S.STR_MAP).alias("before"),
+                            F.col("image").alias("after"), F.lit("read").alias("type"),
+                            F.lit(None).cast("bigint").alias("ts_ms"))
+    return changes.unionByName(first, allowMissingColumns=True)
+
+
 def retract_rows(envelopes: DataFrame) -> DataFrame:
     """``(false, before)`` then ``(true, after)`` per change; empty images dropped."""
     keep = [c for c in envelopes.columns if c not in ("before", "after")]
@@ -127,16 +137,17 @@ def dim_table_schema(sink_columns: str):
 # Dimension upsert
 # --------------------------------------------------------------------------
 def dim_upsert(current: DataFrame | None, changes: DataFrame, columns: list[str],
-               pk: str = "id", order: tuple = ("ts_ms", "seq")) -> DataFrame:
+               pk: str = "id", order: tuple = ("ts_ms", "partition", "seq")) -> DataFrame:
     """Apply routed dimension changes to a dimension table.
 
     ``changes`` holds ``after`` maps (already pruned). Per key and column the
     newest value among the changes that *contain* that column wins; columns a
-    change does not carry keep their old value. ``current`` uses upper-case
-    all-string columns with key ``ID``; the result has the same shape. Work is
-    two aggregates (per key+column, then per key) and one outer join on the
-    key, so a busy key is combined map-side.
+    change does not carry, and stored columns that ``columns`` does not name,
+    keep their old value. Stored columns are upper-case strings; the key is
+    ``pk`` in upper case. Work is two aggregates (per key+column, then per key)
+    and one outer join on the key, so a busy key is combined map-side.
     """
+    key = pk.upper()
     order = [c for c in order if c in changes.columns]
     seq = F.struct(*[F.col(c) for c in order])
     cells = (changes.select(F.col("after")[pk].alias("_pk"), seq.alias("_seq"),
@@ -145,23 +156,16 @@ def dim_upsert(current: DataFrame | None, changes: DataFrame, columns: list[str]
     newest = cells.groupBy("_pk", "_col").agg(F.max_by("_val", "_seq").alias("_val"))
     # pivot the few configured columns back into a row per key
     wide = newest.groupBy("_pk").agg(*[
-        F.max(F.when(F.col("_col") == c, F.struct(F.lit(True).alias("has"),
-                                                   F.col("_val").alias("v"))))
-        .alias(f"_n_{c}") for c in columns])
-    upper = {c: c.upper() for c in columns}
+        F.max(F.when(F.col("_col") == c, F.struct(F.lit(True).alias("has"), F.col("_val").alias("v")))).alias(f"_n_{c}")
+        for c in columns])
+    new = {c.upper(): F.col(f"_n_{c}") for c in columns if c.upper() != key}
     if current is None:
-        return wide.select(F.col("_pk").alias("ID"),
-                           *[F.col(f"_n_{c}.v").alias(upper[c]) for c in columns
-                             if upper[c] != "ID"])
-    cur = current.alias("cur")
-    joined = cur.join(wide, F.col("cur.ID") == F.col("_pk"), "full_outer")
-    out = [F.coalesce(F.col("_pk"), F.col("cur.ID")).alias("ID")]
-    for c in columns:
-        if upper[c] == "ID":
-            continue
-        new = F.col(f"_n_{c}")
-        old = F.col(f"cur.{upper[c]}") if upper[c] in current.columns else F.lit(None)
-        out.append(F.when(new["has"].isNotNull() & new["has"], new["v"]).otherwise(old)
-                   .cast("string").alias(upper[c]))
+        return wide.select(F.col("_pk").alias(key), *[v["v"].alias(n) for n, v in new.items()])
+    joined = current.alias("cur").join(wide, F.col(f"cur.{key}") == F.col("_pk"), "full_outer")
+    out = [F.coalesce(F.col("_pk"), F.col(f"cur.{key}")).alias(key)]
+    names = [c for c in current.columns if c != key]
+    for name in [*names, *[n for n in new if n not in names]]:
+        old = F.col(f"cur.{name}") if name in names else F.lit(None)
+        value = F.when(F.coalesce(new[name]["has"], F.lit(False)), new[name]["v"]).otherwise(old) if name in new else old
+        out.append(value.cast("string").alias(name))
     return joined.select(*out)
-

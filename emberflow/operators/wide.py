@@ -91,7 +91,7 @@ def enrich_province(wide: DataFrame, dim_province: DataFrame) -> DataFrame:
     return enrich(wide, dim_province, "province_id",
                   {"province_name": "NAME", "province_area_code": "AREA_CODE",
                    "province_iso_code": "ISO_CODE", "province_3166_2_code": "ISO_3166_2"},
-                  key_type="bigint", fixed_size=True)  # provinces: fixed reference data
+                  key_type="bigint")  # provinces: fixed reference data
 
 
 def enrich_sku(wide: DataFrame, dim_sku: DataFrame) -> DataFrame:

@@ -21,10 +21,9 @@ from emberflow.plans import sql_jobs
 from emberflow.sources import fixtures as FX
 from emberflow.sources import topics
 
-# Parameters of the fixture runs. Ship dates spread over years around the
-# order date, so the order/detail band is in days here (seconds in the
-# original deployment); payments use the original -15 min / +5 s band.
-ORDER_BAND_MS = 5 * 86_400_000
+# Parameters of the fixture runs: the original bands, +-5 s between order and
+# detail, -15 min / +5 s between payment and order.
+ORDER_BAND_MS = 5_000
 PAYMENT_LOWER_MS, PAYMENT_UPPER_MS = -15 * 60_000, 5_000
 JUMP_WITHIN_MS = 3_600_000       # same-visitor gaps in ``events`` are minutes apart
 CSV_BAND_MS = 3_600_000
@@ -377,7 +376,8 @@ def q_csv_interval_join(spark, d):
     b = b.select(F.col("id").cast("bigint").alias("id2"), "sex",
                  F.col("ts").cast("bigint").alias("ts2"),
                  F.timestamp_seconds(F.col("ts").cast("bigint")).alias("rt2"))
-    j = joins.interval_join(a, b, "id", "id2", "rt", "rt2", -CSV_BAND_MS, CSV_BAND_MS)
+    j = joins.interval_join(a, b, "id", "id2", "rt", "rt2", -CSV_BAND_MS, CSV_BAND_MS,
+                            bucketed=True)
     return j.select("id", "name", "ts", "sex", "ts2")
 
 
@@ -431,6 +431,52 @@ def q_sink_dim_upsert(spark, d):
     return cdc.dim_upsert(None, users, ["id", "name", "gender", "birthday"])
 
 
+def q_dim_upsert_existing(spark, d):
+    """Changes without the birthday merged into a stored table that has it."""
+    _, dim_rows = cdc.route(envelopes(spark, d), FX.routing_config(spark))
+    users = dim_rows.filter(F.col("sink_table") == "dim_user_info").withColumn(
+        "after", F.map_filter("after", lambda k, v: k.isin("id", "name")))
+    stored = FX.dim_user_info(spark, d).withColumn("NAME", F.lit("old"))
+    return cdc.dim_upsert(stored, users, ["id", "name"])
+
+
+def q_dim_table_schema(spark, d):
+    """Columns of the dimension tables that the configuration names, with the changes at hand."""
+    rows = []
+    for r in cdc.current_config(FX.routing_config(spark)).where("sink_type = 'hbase' and operate_type = 'insert'").collect():
+        for i, f in enumerate(cdc.dim_table_schema(r["sink_columns"]).fields, 1):
+            rows.append((r["sink_table"], i, f.name, f.dataType.simpleString(),
+                         f.name == (r["sink_pk"] or "id").upper(), r["sink_extend"] or ""))
+    table = spark.createDataFrame(rows, "sink_table string, position int, name string, type string, is_key boolean, extend string")
+    n = FX.read_table(spark, d, "customer").agg(F.count(F.lit(1)).alias("n_changes"))
+    return table.crossJoin(n)
+
+
+def q_src_change_log_snapshot(spark, d):
+    """Order image from a snapshot of the first state and the changes after it."""
+    env = envelopes(spark, d).filter(F.col("tableName") == "order_info")
+    snapshot = env.filter(F.col("type") == "insert").select("database", "tableName", F.col("after").alias("image"))
+    cur = cdc.cdc_current_image(cdc.snapshot_then_changes(snapshot, env.filter(F.col("type") != "insert")))
+    return cur.select(F.col("tableName").alias("table_name"), "pk", "last_type",
+                      F.cardinality("image").alias("n_keys"), F.col("image")["order_status"].alias("order_status"))
+
+
+def q_sink_topic_per_row(spark, d):
+    """Payloads of the facts, each with the topic it goes to."""
+    facts, _ = cdc.route(envelopes(spark, d), FX.routing_config(spark))
+    image = F.struct(*[F.col("after")[c].alias(c) for c in ("id", "user_id", "order_status")])
+    return facts.select(F.col("sink_table").alias("topic"), F.col("after")["id"].alias("after_id"), F.to_json(image).alias("image"))
+
+
+def q_order_wide_coalesce(spark, d):
+    """Wide rows with every second amount missing, filled from the full rows where that is allowed."""
+    full = merged_orders(spark, d).select("detail_id", "order_id", "sku_id", "create_time", "total_amount", "split_total_amount")
+    even = F.col("sku_id") % 2 == 0
+    part = full.withColumn("total_amount", F.when(even, F.col("total_amount"))).withColumn(
+        "split_total_amount", F.when(even, F.col("split_total_amount")))
+    return comparable(wide.order_wide_coalesce(part, full).drop("detail_id"))
+
+
 def q_page_click_metric(spark, d):
     return comparable(stats.page_click_metric(logs.split_page(FX.page_log_rows(spark, d))))
 
@@ -509,16 +555,23 @@ def q_keyword_stats(spark, d):
     return stats.keyword_stats(FX.search_page_rows(spark, d), stamp="window_end")
 
 
+def _brand_amounts(spark, d):
+    """What the GMV reports read of the product statistics: no lookups but sku -> trademark."""
+    core = stats.product_stats_core(stats.union_product(*product_metric_frames(spark, d)))
+    return joins.enrich(core, FX.dim_sku_brand(spark, d), "sku_id", {"tm_name": "TM_NAME"}, key_type="bigint")
+
+
 def q_gmv_total(spark, d):
-    return comparable(report.gmv_daily(product_stats_rows(spark, d)))
+    core = stats.product_stats_core(stats.union_product(*product_metric_frames(spark, d)))
+    return comparable(report.gmv_daily(core))
 
 
 def q_gmv_by_brand(spark, d):
-    return comparable(report.gmv_by_brand_daily(product_stats_rows(spark, d)))
+    return comparable(report.gmv_by_brand_daily(_brand_amounts(spark, d)))
 
 
 def q_gmv_by_brand_series(spark, d):
-    s = report.gmv_by_brand_series(report.gmv_by_brand_daily(product_stats_rows(spark, d)))
+    s = report.gmv_by_brand_series(report.gmv_by_brand_daily(_brand_amounts(spark, d)))
     return s.select("dt", F.array_join("categories", "|").alias("categories"),
                     F.array_join(F.transform("data", lambda x: F.format_string("%.2f", x.cast("double"))), "|")
                     .alias("data"))

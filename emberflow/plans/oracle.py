@@ -9,7 +9,7 @@ joins, ``count(DISTINCT ...)``. Timestamps are read as UTC wall clock.
 from __future__ import annotations
 
 WIN = 10_000
-ORDER_BAND_DAYS = 5
+ORDER_BAND_S = 5
 JUMP_WITHIN_MS = 3_600_000
 CSV_BAND_S = 3_600
 AGE_AS_OF = "2026-01-01"
@@ -23,13 +23,13 @@ logs0 AS (
   SELECT event_id AS seq, event_type,
     CASE user_id % 5 WHEN 0 THEN '110000' WHEN 1 THEN '310000' WHEN 2 THEN '440000'
                      WHEN 3 THEN '330000' ELSE '510000' END AS ar,
-    'Xiaomi' AS ba,
-    CASE user_id % 4 WHEN 0 THEN 'app' WHEN 1 THEN 'web' WHEN 2 THEN 'wandoujia'
-                     ELSE 'xiaomi' END AS ch,
+    'Kestrel' AS ba,
+    CASE user_id % 4 WHEN 0 THEN 'app' WHEN 1 THEN 'web' WHEN 2 THEN 'kiosk'
+                     ELSE 'partner' END AS ch,
     CASE WHEN value < 100 THEN '1' ELSE '0' END AS is_new_raw,
-    'Xiaomi 9' AS md, 'mid_' || CAST(user_id AS VARCHAR) AS mid, 'Android 11.0' AS os,
+    'Kestrel K2' AS md, 'dev-' || CAST(user_id AS VARCHAR) AS mid, 'TinyOS 4' AS os,
     CAST(user_id AS VARCHAR) AS uid,
-    CASE user_id % 3 WHEN 0 THEN 'v2.1.134' WHEN 1 THEN 'v2.1.132' ELSE 'v2.0.1' END AS vc,
+    CASE user_id % 3 WHEN 0 THEN 'r3.2' WHEN 1 THEN 'r3.1' ELSE 'r2.9' END AS vc,
     CAST(round(value * 1000) AS BIGINT) AS during_time,
     CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
     user_id, value, (epoch_us(ts) // 1000) AS ts, ts AS ts_raw
@@ -76,14 +76,15 @@ order_detail AS (
     CAST(l_extendedprice AS DECIMAL(16,2)) AS order_price,
     CAST(l_quantity AS BIGINT) AS sku_num,
     'sku-' || CAST(l_partkey AS VARCHAR) AS sku_name,
-    strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS create_time,
+    strftime(o_orderdate + to_seconds(CAST((l_orderkey + l_linenumber) % 14 - 7 AS BIGINT)), '%Y-%m-%d %H:%M:%S')
+      AS create_time,
     CAST(round(CAST(l_extendedprice AS DECIMAL(16,2))
                * (1 - CAST(l_discount AS DECIMAL(4,2))), 2) AS DECIMAL(16,2)) AS split_total_amount,
     CAST(round(CAST(l_extendedprice AS DECIMAL(16,2))
                * CAST(l_discount AS DECIMAL(4,2)), 2) AS DECIMAL(16,2)) AS split_activity_amount,
     CAST(0 AS DECIMAL(16,2)) AS split_coupon_amount,
-    l_shipdate AS drt
-  FROM lineitem)
+    o_orderdate + to_seconds(CAST((l_orderkey + l_linenumber) % 14 - 7 AS BIGINT)) AS drt
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
 """
 
 ORDER_JOIN = f"""
@@ -96,8 +97,8 @@ od_join AS (
     o.operate_time, o.create_date, o.create_hour, d.create_time AS detail_time
   FROM order_info o JOIN order_detail d
     ON o.id = d.order_id
-   AND d.drt >= o.ort - INTERVAL {ORDER_BAND_DAYS} DAY
-   AND d.drt <= o.ort + INTERVAL {ORDER_BAND_DAYS} DAY)
+   AND d.drt >= o.ort - INTERVAL {ORDER_BAND_S} SECOND
+   AND d.drt <= o.ort + INTERVAL {ORDER_BAND_S} SECOND)
 """
 
 DIMS = f"""
@@ -160,7 +161,7 @@ payment_info AS (
     strftime(o_orderdate + to_minutes(CAST(o_orderkey % 20 AS BIGINT)) + INTERVAL 30 SECOND,
              '%Y-%m-%d %H:%M:%S') AS callback_time,
     o_orderdate + to_minutes(CAST(o_orderkey % 20 AS BIGINT)) AS prt
-  FROM orders WHERE o_orderstatus = 'F')
+  FROM orders)
 """
 
 PAYMENT_WIDE = """
@@ -329,7 +330,6 @@ config AS (
     ('user_info', 'update', 'hbase', 'dim_user_info', 'birthday,gender,id,name'),
     ('order_info', 'insert', 'kafka', 'dwd_order_info',
      'create_time,id,order_status,total_amount,user_id'),
-    ('order_info', 'update', 'kafka', 'dwd_order_info', 'id,order_status'),
     ('payment_info', 'insert', 'clickhouse', 'payment_archive', 'id'))
     AS t(source_table, operate_type, sink_type, sink_table, kept_keys)),
 image_keys AS (
@@ -472,7 +472,7 @@ FROM page_rows""",
     "src_csv_lines": """
 SELECT CAST(user_id AS VARCHAR) AS id, event_type AS name,
   CAST(epoch_us(ts) // 1000000 AS VARCHAR) AS ts
-FROM events WHERE event_type = 'click'""",
+FROM events""",
     "src_dim_table": _with(DIMS) + """
 SELECT CAST(id AS VARCHAR) AS "ID", sku_name AS "SKU_NAME", CAST(price AS VARCHAR) AS "PRICE",
   CAST(category3_id AS VARCHAR) AS "CATEGORY3_ID", CAST(spu_id AS VARCHAR) AS "SPU_ID",
@@ -494,6 +494,32 @@ SELECT id, create_time, create_date, create_hour, epoch_ms(ort) AS create_ts FRO
 SELECT order_id, sku_id, create_time AS order_time, detail_time,
   CAST(split_total_amount AS DOUBLE) AS split_total_amount
 FROM od_join""",
+    "order_wide_coalesce": ORDERS_Q + """
+SELECT order_id, sku_id, create_time, total_amount_ AS total_amount, split_total_amount FROM (
+  SELECT order_id, sku_id, create_time, CAST(total_amount AS DOUBLE) AS total_amount_,
+    CASE WHEN sku_id % 2 = 0 THEN CAST(split_total_amount AS DOUBLE) END AS split_total_amount FROM od_join)""",
+    "dim_table_schema": """
+SELECT * FROM (VALUES
+  ('dim_user_info', 1, 'ID', 'string', TRUE, ''), ('dim_user_info', 2, 'NAME', 'string', FALSE, ''),
+  ('dim_user_info', 3, 'GENDER', 'string', FALSE, ''), ('dim_user_info', 4, 'BIRTHDAY', 'string', FALSE, ''))
+  AS t(sink_table, position, name, type, is_key, extend)
+CROSS JOIN (SELECT count(*) AS n_changes FROM customer)""",
+    "src_change_log_snapshot": """
+SELECT table_name, pk, last_type, n_keys, order_status FROM (
+  SELECT 'order_info' AS table_name, CAST(o_orderkey AS VARCHAR) AS pk,
+    CASE WHEN o_orderstatus = 'F' THEN 'update' ELSE 'read' END AS last_type, 5 AS n_keys,
+    o_orderstatus AS order_status
+  FROM orders)""",
+    "sink_topic_per_row": ENV_Q + """
+SELECT 'dwd_order_info' AS topic, after_id,
+  '{"id":"' || after_id || '","user_id":"' || o_custkey || '","order_status":"' || after_status || '"}' AS image
+FROM env JOIN orders ON after_id = CAST(o_orderkey AS VARCHAR)
+WHERE table_name = 'order_info' AND type = 'insert'""",
+    "dim_upsert_existing": ENV_Q + """
+SELECT CAST(c_custkey AS VARCHAR) AS "ID", CASE WHEN c_acctbal < 0 THEN upper(c_name) ELSE c_name END AS "NAME",
+  CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS "GENDER",
+  strftime(DATE '1960-01-01' + CAST(c_custkey % 14600 AS INTEGER), '%Y-%m-%d') AS "BIRTHDAY"
+FROM customer""",
     "order_wide_merge": ORDERS_Q + """
 SELECT order_id, sku_id, CAST(order_price AS DOUBLE) AS order_price, sku_num, sku_name,
   province_id, order_status, user_id, CAST(total_amount AS DOUBLE) AS total_amount,
@@ -546,10 +572,10 @@ SELECT * REPLACE (CAST(order_price AS DOUBLE) AS order_price,
 FROM payment_wide""",
     "csv_interval_join": f"""
 WITH a AS (SELECT user_id AS id, event_type AS name, epoch_us(ts) // 1000000 AS ts
-           FROM events WHERE event_type = 'click'),
+           FROM events),
      b AS (SELECT user_id AS id, CASE WHEN user_id % 2 = 0 THEN 'F' ELSE 'M' END AS sex,
                   epoch_us(ts) // 1000000 AS ts
-           FROM events WHERE event_type = 'purchase')
+           FROM events)
 SELECT a.id, a.name, a.ts, b.sex, b.ts AS ts2
 FROM a JOIN b ON a.id = b.id AND b.ts BETWEEN a.ts - {CSV_BAND_S} AND a.ts + {CSV_BAND_S}""",
     "cdc_normalize": ENV_Q + f"SELECT {ENV_COLS} FROM env",
@@ -665,8 +691,8 @@ SEGMENT_RE = r"\p{Han}+|(?:[^\P{L}\p{Han}]|[^\P{N}\p{Han}])+"
 
 RAW_LOG = LOG_Q + """
 SELECT seq,
-  '{"common":{"ar":"' || ar || '","ba":"Xiaomi","ch":"' || ch || '","is_new":"' || is_new_raw
-  || '","md":"Xiaomi 9","mid":"' || mid || '","os":"Android 11.0","uid":"' || uid
+  '{"common":{"ar":"' || ar || '","ba":"Kestrel","ch":"' || ch || '","is_new":"' || is_new_raw
+  || '","md":"Kestrel K2","mid":"' || mid || '","os":"TinyOS 4","uid":"' || uid
   || '","vc":"' || vc || '"}'
   || CASE WHEN event_type <> 'error' THEN
        ',"page":{"during_time":' || CAST(during_time AS VARCHAR)

@@ -18,9 +18,9 @@ from emberflow import schemas as S
 # ---------------------------------------------------------------------------
 # Fixed values of the fixture mapping (kept together, in natural order).
 #   area code by user_id % 5 : 110000, 310000, 440000, 330000, 510000
-#   channel   by user_id % 4 : app, web, wandoujia, xiaomi
-#   version   by user_id % 3 : v2.1.134, v2.1.132, v2.0.1
-#   brand / model / os       : Xiaomi, Xiaomi 9, Android 11.0
+#   channel   by user_id % 4 : app, web, kiosk, partner
+#   version   by user_id % 3 : r3.2, r3.1, r2.9
+#   brand / model / os       : Kestrel, Kestrel K2, TinyOS 4
 #   is_new                   : '1' when value < 100, else '0'
 #   event_type -> page_id    : view home, signup login, click good_detail,
 #                              purchase trade; error rows are start logs
@@ -34,60 +34,25 @@ from emberflow import schemas as S
 #   favor/cart/refund/comment: signup / purchase / error / view events
 #   appraise                 : 1201 when value >= 20, 1202 when >= 5, else 1203
 #   payment_type by key % 3  : 1101, 1102, 1103
+#   detail time              : order date + (o_orderkey + l_linenumber) % 14 - 7
+#                              seconds
 #   payment time             : order date + (o_orderkey % 20) minutes,
 #                              callback 30 seconds later
 #   search rows              : 2024-01-01 00:00:00 + doc_id seconds
 # ---------------------------------------------------------------------------
 AREA_CODES = ["110000", "310000", "440000", "330000", "510000"]
-CHANNELS = ["app", "web", "wandoujia", "xiaomi"]
-VERSIONS = ["v2.1.134", "v2.1.132", "v2.0.1"]
-BRAND, MODEL, OS = "Xiaomi", "Xiaomi 9", "Android 11.0"
+CHANNELS = ["app", "web", "kiosk", "partner"]
+VERSIONS = ["r3.2", "r3.1", "r2.9"]
+BRAND, MODEL, OS = "Kestrel", "Kestrel K2", "TinyOS 4"
 NEW_VALUE_CUT = 100.0
 PAGE_OF_TYPE = {"view": "home", "signup": "login", "click": "good_detail",
                 "purchase": "trade"}
 SEARCH_EPOCH = "2024-01-01 00:00:00"
 
 
-_RELATIONS: dict[tuple[int, str, bool], DataFrame] = {}
-# Tables that grow with the business and feed per-row work (JSON, regex,
-# joins). Dimension-sized tables are read as they are.
-FACT_TABLES = set("events,lineitem,orders,documents,pages,conversations".split(","))
-
-
-def _spread(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Fan a fact table out to the cluster's parallelism when its files give
-    fewer read tasks than cores (a file with one row group is one task).
-    Every fact table here leads with its id column.
-
-    On large inputs the scan already has thousands of tasks and this is a
-    no-op; it only pays one small round-robin shuffle on small inputs.
-    """
-    try:
-        target = spark.sparkContext.defaultParallelism
-    except Exception:  # no SparkContext (e.g. Connect): leave as read
-        return df
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    # hash on the leading id column: even, deterministic on retry, and no
-    # pre-sort (a round-robin repartition sorts every row first)
-    return df.repartition(target, df.columns[0])
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """One relation per (session, file): the schema is read and the files are
-    listed once, and every use of a table in a plan is the same scan (so the
-    planner can reuse its exchanges). ``spread=False`` for uses that only
-    filter and project (no per-row work worth a fan-out exchange)."""
-    path = f"{sf_dir}/{name}.parquet"
-    spread = spread and name in FACT_TABLES
-    key = (id(spark), path, spread)
-    df = _RELATIONS.get(key)
-    if df is None or df.sparkSession is not spark:   # new or restarted session
-        df = spark.read.parquet(path)
-        if spread:
-            df = _spread(spark, df)
-        df = _RELATIONS[key] = df
-    return df
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table as its files are when the query is built."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _pick(values: list[str], key: Column) -> Column:
@@ -128,7 +93,7 @@ def _log_struct(events: DataFrame) -> DataFrame:
         _pick(AREA_CODES, uid).alias("ar"), F.lit(BRAND).alias("ba"),
         _pick(CHANNELS, uid).alias("ch"),
         F.when(F.col("value") < NEW_VALUE_CUT, "1").otherwise("0").alias("is_new"),
-        F.lit(MODEL).alias("md"), F.concat(F.lit("mid_"), uid.cast("string")).alias("mid"),
+        F.lit(MODEL).alias("md"), F.concat(F.lit("dev-"), uid.cast("string")).alias("mid"),
         F.lit(OS).alias("os"), uid.cast("string").alias("uid"),
         _pick(VERSIONS, uid).alias("vc"))
     page_id = F.coalesce(*[F.when(et == t, F.lit(p)) for t, p in PAGE_OF_TYPE.items()])
@@ -188,7 +153,7 @@ def search_page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     ts = (F.unix_millis(F.to_timestamp(F.lit(SEARCH_EPOCH)))
           + F.col("doc_id") * 1000)
     return docs.select(
-        F.create_map(F.lit("mid"), F.concat(F.lit("mid_doc_"), F.col("doc_id").cast("string")),
+        F.create_map(F.lit("mid"), F.concat(F.lit("dev-doc-"), F.col("doc_id").cast("string")),
                      F.lit("lang"), F.col("lang")).alias("common"),
         F.create_map(F.lit("page_id"), F.lit("good_list"), F.lit("last_page_id"),
                      F.lit("search"), F.lit("item"), F.col("text"),
@@ -223,7 +188,10 @@ def order_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem")
+    """Detail lines, written from 7 s before to 6 s after their order."""
+    li = read_table(spark, sf_dir, "lineitem").join(
+        read_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate"), "l_orderkey")
+    written = F.expr("timestampadd(SECOND, pmod(l_orderkey + l_linenumber, 14) - 7, o_orderdate)")
     price = _money("l_extendedprice")
     disc = F.col("l_discount").cast("decimal(4,2)")
     return li.select(
@@ -231,14 +199,14 @@ def order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("sku_id"),
         price.alias("order_price"), F.col("l_quantity").cast("bigint").alias("sku_num"),
         F.concat(F.lit("sku-"), F.col("l_partkey").cast("string")).alias("sku_name"),
-        fmt_time("l_shipdate").alias("create_time"),
+        fmt_time(written).alias("create_time"),
         F.round(price * (F.lit(1) - disc), 2).cast(S.MONEY).alias("split_total_amount"),
         F.round(price * disc, 2).cast(S.MONEY).alias("split_activity_amount"),
         F.lit(0).cast(S.MONEY).alias("split_coupon_amount"))
 
 
 def payment_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = read_table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "F")
+    orders = read_table(spark, sf_dir, "orders")
     paid_at = F.expr("timestampadd(MINUTE, pmod(o_orderkey, 20), o_orderdate)")
     return orders.select(
         F.col("o_orderkey").alias("id"), F.col("o_orderkey").alias("order_id"),
@@ -250,7 +218,7 @@ def payment_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _event_fact(spark: SparkSession, sf_dir: str, event_type: str) -> DataFrame:
-    ev = read_table(spark, sf_dir, "events", spread=False).filter(
+    ev = read_table(spark, sf_dir, "events").filter(
         F.col("event_type") == event_type)
     return ev.select(F.col("event_id").alias("id"), _event_k().alias("sku_id"),
                      F.col("user_id"), F.col("value"), fmt_time("ts").alias("create_time"))
@@ -338,7 +306,7 @@ def dim_base_category3(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --------------------------------------------------------------------------
 # Change records and routing config
 # --------------------------------------------------------------------------
-CHANGE_SERVER = "mysql_binlog"
+CHANGE_SERVER = "shop_changes"
 CHANGE_DATABASE = "shop"
 
 
@@ -416,7 +384,6 @@ ROUTING_CONFIG = [
     ("user_info", "update", "hbase", "dim_user_info", "id,name,gender,birthday", "id", None, 1),
     ("order_info", "insert", "kafka", "dwd_order_info",
      "id,user_id,order_status,total_amount,create_time", None, None, 1),
-    ("order_info", "update", "kafka", "dwd_order_info", "id,order_status", None, None, 1),
     ("payment_info", "insert", "clickhouse", "payment_archive", "id", None, None, 1),
 ]
 
@@ -429,17 +396,21 @@ def routing_config(spark: SparkSession) -> DataFrame:
 # Comma lines for the interval-join demo: "id,name,ts" and "id,sex,ts" (ts in s)
 # --------------------------------------------------------------------------
 def csv_name_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = read_table(spark, sf_dir, "events", spread=False).filter(
-        F.col("event_type") == "click")
+    ev = read_table(spark, sf_dir, "events")
     return ev.select(F.concat_ws(",", F.col("user_id").cast("string"), F.col("event_type"),
                                  F.unix_seconds(F.col("ts").cast("timestamp")).cast("string"))
                      .alias("value"))
 
 
 def csv_sex_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = read_table(spark, sf_dir, "events", spread=False).filter(
-        F.col("event_type") == "purchase")
+    ev = read_table(spark, sf_dir, "events")
     sex = F.when(F.pmod("user_id", F.lit(2)) == 0, "F").otherwise("M")
     return ev.select(F.concat_ws(",", F.col("user_id").cast("string"), sex,
                                  F.unix_seconds(F.col("ts").cast("timestamp")).cast("string"))
                      .alias("value"))
+
+
+def dim_sku_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of the sku lookups that brand reports read: sku id -> trademark name."""
+    p = read_table(spark, sf_dir, "part")
+    return p.select(F.col("p_partkey").cast("string").alias("ID"), F.col("p_brand").alias("TM_NAME"))
