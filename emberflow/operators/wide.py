@@ -161,9 +161,13 @@ def order_wide(order_info: DataFrame, order_detail: DataFrame, dims: dict[str, D
     joined on the dimension side first (sku brings the spu / tm / category3
     ids, as in the original lookup order).
     """
-    w = order_wide_merge(order_detail_join(order_info, order_detail, lower_ms, upper_ms,
-                                           watermark))
-    w = enrich_user(w, dims["user"], as_of)
+    return order_wide_lookups(order_wide_merge(order_detail_join(
+        order_info, order_detail, lower_ms, upper_ms, watermark)), dims, as_of)
+
+
+def order_wide_lookups(merged: DataFrame, dims: dict[str, DataFrame], as_of: Column | None = None) -> DataFrame:
+    """The dimension lookups of ``order_wide`` on merged order and detail rows."""
+    w = enrich_user(merged, dims["user"], as_of)
     w = enrich_province(w, dims["province"])
     product = dims.get("product")
     if product is None:

@@ -19,11 +19,12 @@ def read_topic(spark: SparkSession, topic: str, *, stream: bool = True,
                fmt: str = "kafka", path: str | None = None,
                bootstrap_servers: str | None = None, starting: str = "latest",
                max_files_per_trigger: int | None = None) -> DataFrame:
-    """Read a topic as ``value STRING`` (+ ``seq`` from the Kafka offset).
+    """Read a topic as ``topic STRING, value STRING``.
 
-    ``fmt='kafka'`` needs the Kafka connector and ``bootstrap_servers``;
-    ``fmt='text'`` reads one record per line from ``path`` (a folder the
-    producer drops files into).
+    ``fmt='kafka'`` needs the Kafka connector and ``bootstrap_servers``; the
+    record's ``partition``, offset (``seq``: a position within its partition)
+    and ``timestamp`` come along. ``fmt='text'`` reads one record per line from
+    ``path`` (a folder the producer drops files into).
     """
     reader = spark.readStream if stream else spark.read
     if fmt == "kafka":
@@ -31,13 +32,13 @@ def read_topic(spark: SparkSession, topic: str, *, stream: bool = True,
              .option("subscribe", topic))
         r = r.option("startingOffsets", starting)
         df = r.load()
-        return df.select(F.col("value").cast("string").alias("value"),
+        return df.select("topic", F.col("value").cast("string").alias("value"),
                          F.col("offset").alias("seq"), F.col("partition"), F.col("timestamp"))
     if fmt == "text":
         r = reader.format("text")
         if stream and max_files_per_trigger:
             r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-        return r.load(path)
+        return r.load(path).select(F.lit(topic).alias("topic"), "value")
     raise ValueError(f"unknown topic format {fmt!r}")
 
 
@@ -73,13 +74,6 @@ def topic_table(lines_or_rows: DataFrame, ts_col: str = "ts", delay: str | None
     return df
 
 
-PAGE_TABLE_SCHEMA = T.StructType([
-    T.StructField("common", T.MapType(T.StringType(), T.StringType())),
-    T.StructField("page", T.MapType(T.StringType(), T.StringType())),
-    T.StructField("ts", T.LongType()),
-])
-
-
 def parse_csv_lines(lines: DataFrame, names: list[str], value_col: str = "value") -> DataFrame:
     """``"a,b,c"`` -> named string columns (first ``len(names)`` fields)."""
     parts = F.split(F.col(value_col), ",")

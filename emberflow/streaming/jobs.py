@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from emberflow import schemas as S
 from emberflow.operators import logs, stats
+from emberflow.streaming import sinks
 from emberflow.streaming.processors import (COLS, PAYLOAD_ROW, STREAM_PAGE, IsNewRepair,
                                             JumpDetail, UniqueVisit)
 
@@ -66,15 +67,6 @@ def jump_detail_stream(flat_pages: DataFrame, within_ms: int = 10_000, times: in
         JumpDetail(within_ms, times), STREAM_PAGE, "append", "EventTime")
 
 
-def parse_and_split(raw: DataFrame) -> dict[str, DataFrame]:
-    """Stateless part of the log stage on a stream: parse, dirty branch and
-    the three splits (before the new-visitor repair)."""
-    parsed = logs.parse_log(raw)
-    clean = logs.clean_rows(parsed)
-    return {"dirty": logs.dirty_lines(parsed), "start": logs.split_start(clean),
-            "page": logs.split_page(clean), "display": logs.split_display(logs.split_page(clean))}
-
-
 def visitor_stats_stream(uv_flat: DataFrame, uj_flat: DataFrame, page_flat: DataFrame,
                          delay: str = "11 seconds") -> DataFrame:
     """Three flat streams -> ten-second visitor stats (append mode)."""
@@ -97,18 +89,15 @@ def repair_log_rows_stream(clean_rows: DataFrame) -> DataFrame:
         "r.page", "r.displays", "r.start", "r.ts")
 
 
-def write_log_split(batch: DataFrame, out_root: str, batch_id: int) -> None:
+def write_log_split(batch: DataFrame, out_root: str, batch_id: int, run: str = "batch") -> None:
     """One micro-batch of repaired rows -> start / page / display outputs.
     The batch is persisted because three writes read it."""
     batch.persist()
     try:
-        part = f"batch_id={batch_id}"
-        logs.split_start(batch).write.mode("overwrite").json(
-            os.path.join(out_root, "dwd_start_log", part))
         pages = logs.split_page(batch)
-        pages.write.mode("overwrite").json(os.path.join(out_root, "dwd_page_log", part))
-        logs.split_display(pages).write.mode("overwrite").json(
-            os.path.join(out_root, "dwd_display_log", part))
+        for name, rows in (("dwd_start_log", logs.split_start(batch)), ("dwd_page_log", pages),
+                           ("dwd_display_log", logs.split_display(pages))):
+            rows.write.mode("overwrite").json(sinks.batch_folder(f"{out_root}/{name}", run, batch_id))
     finally:
         batch.unpersist()
 
@@ -119,13 +108,10 @@ def log_stage_stream(raw: DataFrame, out_root: str, checkpoint_root: str,
     to their own output, the rest repaired (keyed state) and split three ways.
     Returns the two running queries."""
     parsed = logs.parse_log(raw)
-    dw = (logs.dirty_lines(parsed).writeStream.format("json")
-          .option("path", os.path.join(out_root, "dirty"))
-          .option("checkpointLocation", os.path.join(checkpoint_root, "dirty")))
+    dirty = (logs.dirty_lines(parsed).writeStream.format("json")
+             .option("path", os.path.join(out_root, "dirty"))
+             .option("checkpointLocation", os.path.join(checkpoint_root, "dirty")))
     repaired = repair_log_rows_stream(logs.clean_rows(parsed))
-    sw = (repaired.writeStream.option("checkpointLocation",
-                                      os.path.join(checkpoint_root, "split"))
-          .foreachBatch(lambda b, i: write_log_split(b, out_root, i)))
-    if trigger:
-        dw, sw = dw.trigger(**trigger), sw.trigger(**trigger)
-    return [dw.start(), sw.start()]
+    split = sinks.foreach_batch(repaired, lambda b, i, run: write_log_split(b, out_root, i, run),
+                                os.path.join(checkpoint_root, "split"), trigger)
+    return [(dirty.trigger(**trigger) if trigger else dirty).start(), split]

@@ -115,12 +115,14 @@ class UniqueVisit(StatefulProcessor):
 class JumpDetail(StatefulProcessor):
     """Bounce pattern: ``times`` consecutive entry pages within ``within_ms``.
 
-    Rows are buffered per visitor (``ListState``) and a timer is set at each
-    entry row's ``ts + within``. When the watermark passes it, every
-    successor that can still arrive on time is in the buffer, so the row is
-    decided: emitted on a match or a timeout, dropped when a successor inside
-    the range is not an entry page. Decided rows leave the buffer; the
-    buffer holds at most ``within`` of one visitor's events.
+    Rows are buffered per visitor (``ListState``). An entry row is decided when
+    the watermark passes its ``ts + within``: every successor that can still
+    arrive on time is in the buffer by then. It is emitted on a match or a
+    timeout, dropped when a successor inside the range is not an entry page.
+    Other rows are held only until the watermark passes their ``ts`` (an earlier
+    entry can still arrive) or, after a pending entry, until that is decided.
+    One timer per visitor stands at the earliest row due; when it fires all due
+    rows are handled and it is set for the next.
     """
 
     def __init__(self, within_ms: int = 10_000, times: int = 2):
@@ -129,45 +131,55 @@ class JumpDetail(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.buf = handle.getListState("buf", STREAM_PAGE)
+        self.timer = handle.getValueState("timer", "at bigint")
 
-    def _load(self) -> pd.DataFrame:
-        data = list(self.buf.get()) if self.buf.exists() else []
-        return pd.DataFrame(data, columns=COLS)
+    def _due(self, pdf: pd.DataFrame) -> pd.Series:
+        return pdf["ts"] + _is_entry(pdf["last_page_id"]).map({True: self.within, False: 1})
+
+    def _set_timer(self, at: int) -> None:
+        now = self.timer.get()[0] if self.timer.exists() else None
+        if now is not None and now <= at:
+            return
+        if now is not None:
+            self.handle.deleteTimer(now)
+        self.handle.registerTimer(at)
+        self.timer.update((at,))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _rows(rows)
-        for t in pdf.loc[_is_entry(pdf["last_page_id"]), "ts"].unique():
-            self.handle.registerTimer(int(t) + self.within)
         self.buf.appendList(_tuples(pdf))
+        self._set_timer(int(self._due(pdf).min()))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues: TimerValues,
                            expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
         wm = timerValues.getCurrentWatermarkInMs()
-        buf = self._load()
+        self.timer.clear()
+        buf = pd.DataFrame(list(self.buf.get()) if self.buf.exists() else [], columns=COLS)
+        self.buf.clear()
         if buf.empty:
             return
         buf = buf.sort_values(["ts", "seq"], kind="stable").reset_index(drop=True)
-        entry = _is_entry(buf["last_page_id"]).to_numpy()
-        ts = buf["ts"].to_numpy()
-        n = len(buf)
-        emit = []
+        entry, ts, n = _is_entry(buf["last_page_id"]).to_numpy(), buf["ts"].to_numpy(), len(buf)
+        emit, rest, pending = [], [], None  # pending: time of the last undecided entry
         for i in range(n):
-            if not entry[i] or ts[i] + self.within > wm:
+            if not entry[i]:
+                if ts[i] > wm or pending is not None and ts[i] - pending < self.within:
+                    rest.append(i)
                 continue
-            keep = True
-            for j in range(i + 1, i + self.times):
-                if j >= n or ts[j] - ts[i] >= self.within:
-                    break
-                if not entry[j]:
-                    keep = False
-                    break
-            if keep:
+            if ts[i] + self.within > wm:
+                pending = ts[i]
+                rest.append(i)
+                continue
+            after = [j for j in range(i + 1, min(i + self.times, n)) if ts[j] - ts[i] < self.within]
+            if all(entry[j] for j in after):
                 emit.append(i)
-        rest = buf[ts + self.within > wm]
-        self.buf.clear()
-        if not rest.empty:
-            self.buf.put(_tuples(rest))
+        if rest:
+            held = buf.loc[rest]
+            self.buf.put(_tuples(held))
+            due = self._due(held)
+            # rows kept for a pending entry are looked at again when it is due
+            self._set_timer(int(due[due > wm].min()))
         if emit:
             yield buf.loc[emit, COLS]
 

@@ -1,91 +1,96 @@
-"""Sinks. Stream writes go through ``foreachBatch`` into folders named by
-batch id, so a micro-batch replayed after a failure overwrites exactly its
-own output (exactly-once files on top of Spark's at-least-once batches)."""
+"""Sinks. Stream writes go through ``foreachBatch`` into folders named by the
+query's id and the batch id: a micro-batch replayed after a failure overwrites
+exactly its own output, and a query with a fresh checkpoint writes beside the
+earlier one's (exactly-once files on top of Spark's at-least-once batches)."""
 
 from __future__ import annotations
 
-import os
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberflow.operators import cdc
+from emberflow.streaming import dim_store
 
 
-def write_report(df: DataFrame, path: str, columns: list[str], batch_id: int | None = None,
-                 fmt: str = "parquet", options: dict | None = None) -> None:
+def batch_folder(root: str, run: str, batch_id: int) -> str:
+    return f"{root.rstrip('/')}/run={run}/batch_id={batch_id}"
+
+
+def write_report(df: DataFrame, path: str | None, columns: list[str], batch_id: int | None = None,
+                 fmt: str = "parquet", options: dict | None = None, run: str = "batch",
+                 batch_column: str | None = None) -> None:
     """Positional report insert: columns in contract order, accumulator
-    (transient) columns left out by the explicit ``select``."""
+    (transient) columns left out by the explicit ``select``.
+
+    Files of a batch go to its folder and replace a failed attempt. A database
+    (``fmt='jdbc'``) is appended to, ``batchsize`` rows a statement; it cannot
+    undo a replayed batch, so ``batch_column`` names a column that gets
+    ``run/batch`` for a key or a clean-up there.
+    """
     out = df.select(*columns)
-    target = path if batch_id is None else os.path.join(path, f"batch_id={batch_id}")
-    w = out.write.mode("overwrite" if batch_id is not None else "append").format(fmt)
-    for k, v in (options or {}).items():
-        w = w.option(k, v)
     if fmt == "jdbc":
-        w.save()
-    else:
-        w.save(target)
+        if batch_column:
+            out = out.withColumn(batch_column, F.lit(f"{run}/{batch_id}"))
+        out.write.format(fmt).mode("append").options(**{"batchsize": "1000", **(options or {})}).save()
+        return
+    target = path if batch_id is None else batch_folder(path, run, batch_id)
+    out.write.mode("append" if batch_id is None else "overwrite").format(fmt).options(**(options or {})).save(target)
 
 
-def report_stream(df: DataFrame, path: str, columns: list[str], checkpoint: str,
+def foreach_batch(df: DataFrame, write: Callable[[DataFrame, int, str], None], checkpoint: str,
                   trigger: dict | None = None, output_mode: str = "append"):
-    """Stream a report table into ``path`` (one folder per micro-batch)."""
-    w = (df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
-         .foreachBatch(lambda b, i: write_report(b, path, columns, i)))
-    if trigger:
-        w = w.trigger(**trigger)
-    return w.start()
-
-
-def write_topic_per_row(df: DataFrame, path: str, batch_id: int | None = None) -> None:
-    """Facts to the topic named by each row's ``sink_table``; payload is the
-    pruned ``after`` image. File form: one folder per topic."""
-    out = df.select(F.col("sink_table"), F.to_json("after").alias("value"))
-    target = path if batch_id is None else os.path.join(path, f"batch_id={batch_id}")
-    out.write.mode("overwrite").partitionBy("sink_table").text(target)
+    """Start a query that calls ``write(batch, batch id, query id)``."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        write(batch, batch_id, dim_store.run_of(batch.sparkSession, checkpoint))
+    w = df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint).foreachBatch(run)
+    return (w.trigger(**trigger) if trigger else w).start()
 
 
-def read_latest(spark: SparkSession, root: str) -> DataFrame | None:
-    """Newest committed version of a versioned dimension table (``version``
-    partitions; a version becomes visible only when its write job commits)."""
-    try:
-        table = spark.read.parquet(root)
-    except Exception:  # nothing written yet
-        return None
-    newest = table.agg(F.max("version")).first()[0]   # partition values only
-    return table.filter(F.col("version") == newest).drop("version")
+def report_stream(df: DataFrame, path: str | None, columns: list[str], checkpoint: str,
+                  trigger: dict | None = None, output_mode: str = "append", fmt: str = "parquet",
+                  options: dict | None = None, batch_column: str | None = None):
+    """Stream a report table into ``path`` (one folder per micro-batch) or a database."""
+    return foreach_batch(df, lambda b, i, run: write_report(b, path, columns, i, fmt, options, run, batch_column),
+                         checkpoint, trigger, output_mode)
 
 
-def upsert_dim_table(spark: SparkSession, changes: DataFrame, root: str, columns: list[str],
-                     version: int, pk: str = "id") -> None:
-    """Merge routed changes into the dimension table at ``root``; the result
-    is written as a new ``version`` partition (readers take the newest
-    committed one, so a failed or replayed write never shows a half table)."""
-    merged = cdc.dim_upsert(read_latest(spark, root), changes, columns, pk)
-    (merged.withColumn("version", F.lit(version))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("version").parquet(root))
+def write_topic_per_row(df: DataFrame, path: str, batch_id: int | None = None, run: str = "batch",
+                        fmt: str = "text", options: dict | None = None) -> None:
+    """Facts to the topic named by each row's ``sink_table``; payload is the
+    pruned ``after`` image. File form: one folder per topic; ``fmt='kafka'``
+    sends each row to its topic."""
+    payload = F.to_json("after").alias("value")
+    if fmt == "kafka":
+        df.select(F.col("sink_table").alias("topic"), payload).write.format("kafka").options(**(options or {})).save()
+        return
+    target = path if batch_id is None else batch_folder(path, run, batch_id)
+    df.select("sink_table", payload).write.mode("overwrite").partitionBy("sink_table").text(target)
 
 
 def route_batch(spark: SparkSession, envelopes: DataFrame, config: DataFrame, out_root: str,
-                batch_id: int) -> None:
+                batch_id: int, run: str = "batch") -> None:
     """One micro-batch of change routing: facts per topic, dims upserted.
 
     The config is re-read for every batch, so a new route applies from the
-    next batch on. The parsed batch is persisted because three outputs read it.
+    next batch on. The parsed batch is persisted because the outputs read it.
+    Each dimension gets one segment, whatever number of routes feed it.
     """
-    facts, dims = cdc.route(envelopes, config)
     batch = envelopes.persist()
     try:
-        write_topic_per_row(facts, os.path.join(out_root, "topics"), batch_id)
-        # config rows are a handful per table: their column lists drive the merge
-        for row in cdc.current_config(config).filter(F.col("sink_type") == "hbase") \
-                .select("sink_table", "sink_columns", "sink_pk").distinct().collect():
-            part = dims.filter(F.col("sink_table") == row["sink_table"])
-            upsert_dim_table(spark, part, os.path.join(out_root, "dims", row["sink_table"]),
-                             row["sink_columns"].split(","), batch_id, row["sink_pk"] or "id")
-        cdc.route_unmatched(envelopes, config).write.mode("overwrite").json(
-            os.path.join(out_root, "unrouted", f"batch_id={batch_id}"))
+        facts, dims = cdc.route(batch, config)
+        write_topic_per_row(facts, f"{out_root}/topics", batch_id, run)
+        # config rows are a handful per table
+        tables = (cdc.current_config(config).filter(F.col("sink_type") == "hbase").groupBy("sink_table")
+                  .agg(F.max("sink_pk").alias("pk"), F.collect_set("sink_columns").alias("lists")).collect())
+        for row in tables:
+            root, pk = f"{out_root}/dims/{row['sink_table']}", row["pk"] or "id"
+            columns = sorted({c for names in row["lists"] for c in names.split(",")})
+            dim_store.create_dim(spark, root, columns, pk)
+            dim_store.write_segment(spark, dims.filter(F.col("sink_table") == row["sink_table"]), root, pk, run, batch_id)
+        cdc.route_unmatched(cdc.cdc_drop_deletes(batch), config).write.mode("overwrite").json(
+            batch_folder(f"{out_root}/unrouted", run, batch_id))
     finally:
         batch.unpersist()
 
@@ -93,13 +98,8 @@ def route_batch(spark: SparkSession, envelopes: DataFrame, config: DataFrame, ou
 def route_stream(envelope_stream: DataFrame, config_path: str, out_root: str,
                  checkpoint: str, trigger: dict | None = None):
     """Change routing as a stream (``foreachBatch``)."""
-    def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        route_batch(spark, batch, spark.read.parquet(config_path), out_root, batch_id)
-    w = envelope_stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(run)
-    if trigger:
-        w = w.trigger(**trigger)
-    return w.start()
+    return foreach_batch(envelope_stream, lambda b, i, run: route_batch(
+        b.sparkSession, b, b.sparkSession.read.parquet(config_path), out_root, i, run), checkpoint, trigger)
 
 
 def console(df: DataFrame, checkpoint: str | None = None):

@@ -1,77 +1,163 @@
 """Stream jobs wired topic to topic, one starter per warehouse job.
 
-A topic here is a folder of JSON files (or a Kafka topic through
-``sources.topics``): each job reads its input topics as streams, runs the
-library transforms and writes its output topic or report table, with its
-own checkpoint under ``checkpoint_root``. Jobs can run in separate
-applications, as the original jobs do.
+A topic is named by a ``Topic``: a folder of JSON files, or a Kafka topic with
+its servers. Each job reads its input topics as streams, runs the library
+transforms and writes its output topic or report table, with its own checkpoint
+under ``checkpoint_root``. Jobs can run in separate applications, as the
+original jobs do.
+
+Jobs with dimension lookups take a ``lookups`` function that is called for every
+micro-batch, so a batch sees the dimension tables as they are then.
 """
 
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from emberflow import schemas as S
 from emberflow.operators import stats, wide
-from emberflow.streaming import sinks
+from emberflow.sources import topics
+from emberflow.streaming import dim_store, jobs, sinks
+
+Lookups = Callable[[SparkSession], dict[str, DataFrame]]
+
+
+@dataclass(frozen=True)
+class Topic:
+    """A topic: a folder (``path``) of JSON lines, or ``name`` at ``servers``."""
+
+    path: str | None = None
+    name: str | None = None
+    servers: str | None = None
+    max_files: int | None = None
+    options: dict = field(default_factory=dict)
+
+    @classmethod
+    def of(cls, topic: str | "Topic") -> "Topic":
+        return topic if isinstance(topic, Topic) else cls(path=topic)
+
+    def read(self, spark: SparkSession, schema: T.StructType) -> DataFrame:
+        """The topic's rows as a stream."""
+        if self.path:
+            r = spark.readStream.schema(schema).option("recursiveFileLookup", "true").options(**self.options)
+            return (r.option("maxFilesPerTrigger", self.max_files) if self.max_files else r).json(self.path)
+        raw = topics.read_topic(spark, self.name, bootstrap_servers=self.servers, **self.options)
+        return raw.select(F.from_json("value", schema).alias("_r")).select("_r.*")
 
+    def write_batch(self, rows: DataFrame, batch_id: int, run: str) -> None:
+        """One micro-batch: a folder of its own, or records to the servers."""
+        if self.path:
+            rows.write.mode("overwrite").json(sinks.batch_folder(self.path, run, batch_id))
+        else:
+            (rows.select(F.to_json(F.struct(*rows.columns)).alias("value")).write.format("kafka")
+             .option("kafka.bootstrap.servers", self.servers).option("topic", self.name).save())
 
-def read_json_topic(spark: SparkSession, path: str, schema: T.StructType,
-                    max_files_per_trigger: int | None = None) -> DataFrame:
-    r = spark.readStream.schema(schema)
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.json(path)
+    def start(self, rows: DataFrame, checkpoint: str, trigger: dict | None) -> StreamingQuery:
+        """Append a stream to the topic (the file sink is exactly-once)."""
+        if not self.path:
+            return topics.write_topic(rows, self.name, bootstrap_servers=self.servers, checkpoint=checkpoint, trigger=trigger)
+        w = (rows.writeStream.format("json").option("path", self.path)
+             .option("checkpointLocation", checkpoint).outputMode("append"))
+        return (w.trigger(**trigger) if trigger else w).start()
 
 
-def write_json_topic(df: DataFrame, path: str, checkpoint: str,
-                     trigger: dict | None = None) -> StreamingQuery:
-    """Append rows to a JSON topic folder (the file sink is exactly-once)."""
-    w = (df.writeStream.format("json").option("path", path)
-         .option("checkpointLocation", checkpoint).outputMode("append"))
-    if trigger:
-        w = w.trigger(**trigger)
-    return w.start()
+def stored_dims(root: str, names: dict[str, str]) -> Lookups:
+    """Lookups of dimension tables kept by ``dim_store``: name -> folder below ``root``."""
+    return lambda spark: {k: dim_store.read_dim(spark, f"{root}/{folder}") for k, folder in names.items()}
 
 
-def start_order_wide(spark: SparkSession, order_info_topic: str, order_detail_topic: str,
+def _topic(path: str | Topic, max_files: int | None = None) -> Topic:
+    topic = Topic.of(path)
+    return Topic(topic.path, topic.name, topic.servers, max_files, topic.options) if max_files else topic
+
+
+def start_order_wide(spark: SparkSession, order_info_topic: str | Topic, order_detail_topic: str | Topic,
                      order_info_schema: T.StructType, order_detail_schema: T.StructType,
-                     dims: dict[str, DataFrame], out_topic: str, checkpoint_root: str,
+                     dims: dict[str, DataFrame] | Lookups, out_topic: str | Topic, checkpoint_root: str,
                      lower_ms: int = -5_000, upper_ms: int = 5_000,
                      trigger: dict | None = None, as_of=None,
-                     max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """dwd_order_info + dwd_order_detail -> dwm_order_wide (interval join with
-    monotonous watermarks, then the dimension lookups against the dims as
-    they are at each micro-batch)."""
-    o = read_json_topic(spark, order_info_topic, order_info_schema, max_files_per_trigger)
-    d = read_json_topic(spark, order_detail_topic, order_detail_schema, max_files_per_trigger)
-    rows = wide.order_wide(o, d, dims, lower_ms, upper_ms, as_of, watermark="0 seconds")
-    return write_json_topic(rows, out_topic, os.path.join(checkpoint_root, "order_wide"),
-                            trigger)
-
-
-def start_province_stats(spark: SparkSession, order_wide_topic: str,
-                         order_wide_schema: T.StructType, report_path: str,
-                         checkpoint_root: str, trigger: dict | None = None,
-                         stamp: str = "wall",
-                         max_files_per_trigger: int | None = None) -> StreamingQuery:
+                     max_files_per_trigger: int | None = None, record_time: str | None = None) -> StreamingQuery:
+    """dwd_order_info + dwd_order_detail -> dwm_order_wide: interval join with
+    monotonous watermarks, then the lookups of each micro-batch."""
+    o = _topic(order_info_topic, max_files_per_trigger).read(spark, order_info_schema)
+    d = _topic(order_detail_topic, max_files_per_trigger).read(spark, order_detail_schema)
+    merged = wide.order_wide_merge(wide.order_detail_join(o, d, lower_ms, upper_ms, "0 seconds", record_time))
+    lookups = dims if callable(dims) else (lambda _: dims)
+
+    def write(batch: DataFrame, batch_id: int, run: str) -> None:
+        rows = wide.order_wide_lookups(batch, lookups(batch.sparkSession), as_of)
+        Topic.of(out_topic).write_batch(rows, batch_id, run)
+
+    return sinks.foreach_batch(merged, write, os.path.join(checkpoint_root, "order_wide"), trigger)
+
+
+def start_payment_wide(spark: SparkSession, payment_topic: str | Topic, order_wide_topic: str | Topic,
+                       payment_schema: T.StructType, order_wide_schema: T.StructType, out_topic: str | Topic,
+                       checkpoint_root: str, lower_ms: int = -15 * 60_000, upper_ms: int = 5_000,
+                       trigger: dict | None = None, record_time: str | None = None) -> StreamingQuery:
+    """dwd_payment_info + dwm_order_wide -> dwm_payment_wide."""
+    p = Topic.of(payment_topic).read(spark, payment_schema)
+    w = Topic.of(order_wide_topic).read(spark, order_wide_schema)
+    rows = wide.payment_wide_merge(wide.payment_wide_join(p, w, lower_ms, upper_ms, "0 seconds", record_time))
+    return Topic.of(out_topic).start(rows, os.path.join(checkpoint_root, "payment_wide"), trigger)
+
+
+def start_unique_visit(spark: SparkSession, page_topic: str | Topic, page_schema: T.StructType, out_topic: str | Topic,
+                       checkpoint_root: str, trigger: dict | None = None) -> StreamingQuery:
+    """dwd_page_log -> dwm_unique_visit."""
+    rows = jobs.unique_visit_stream(Topic.of(page_topic).read(spark, page_schema))
+    return Topic.of(out_topic).start(rows, os.path.join(checkpoint_root, "unique_visit"), trigger)
+
+
+def start_jump_detail(spark: SparkSession, page_topic: str | Topic, page_schema: T.StructType, out_topic: str | Topic,
+                      checkpoint_root: str, within_ms: int = 10_000, times: int = 2, trigger: dict | None = None) -> StreamingQuery:
+    """dwd_page_log -> dwm_user_jump_detail."""
+    rows = jobs.jump_detail_stream(Topic.of(page_topic).read(spark, page_schema), within_ms, times)
+    return Topic.of(out_topic).start(rows, os.path.join(checkpoint_root, "jump_detail"), trigger)
+
+
+def start_visitor_stats(spark: SparkSession, unique_topic: str | Topic, jump_topic: str | Topic, page_topic: str | Topic,
+                        page_schema: T.StructType, report_path: str | None, checkpoint_root: str,
+                        trigger: dict | None = None, **report) -> StreamingQuery:
+    """dwm_unique_visit + dwm_user_jump_detail + dwd_page_log -> visitor_stats report."""
+    uv, uj, pv = (Topic.of(t).read(spark, page_schema) for t in (unique_topic, jump_topic, page_topic))
+    return sinks.report_stream(jobs.visitor_stats_stream(uv, uj, pv), report_path, S.VISITOR_STATS_COLUMNS,
+                               os.path.join(checkpoint_root, "visitor_stats"), trigger, **report)
+
+
+def start_product_stats(spark: SparkSession, metric_streams: list[DataFrame], lookups: Lookups, report_path: str | None,
+                        checkpoint_root: str, trigger: dict | None = None, **report) -> StreamingQuery:
+    """The product metric streams -> product_stats report; lookups of each micro-batch."""
+    core = stats.product_stats_core(stats.union_product(*metric_streams))
+
+    def write(batch: DataFrame, batch_id: int, run: str) -> None:
+        sinks.write_report(stats.product_dims(batch, lookups(batch.sparkSession)), report_path, S.PRODUCT_STATS_COLUMNS,
+                           batch_id, run=run, **report)
+
+    return sinks.foreach_batch(core, write, os.path.join(checkpoint_root, "product_stats"), trigger)
+
+
+def start_province_stats(spark: SparkSession, order_wide_topic: str | Topic,
+                         order_wide_schema: T.StructType, report_path: str | None,
+                         checkpoint_root: str, trigger: dict | None = None, stamp: str = "wall",
+                         max_files_per_trigger: int | None = None, **report) -> StreamingQuery:
     """dwm_order_wide -> province_stats report (10 s windows, 1 s watermark)."""
-    src = read_json_topic(spark, order_wide_topic, order_wide_schema, max_files_per_trigger)
-    report = stats.province_stats(src, "1 second", stamp)
-    return sinks.report_stream(report, report_path, S.PROVINCE_STATS_COLUMNS,
-                               os.path.join(checkpoint_root, "province_stats"), trigger)
+    src = _topic(order_wide_topic, max_files_per_trigger).read(spark, order_wide_schema)
+    return sinks.report_stream(stats.province_stats(src, "1 second", stamp), report_path, S.PROVINCE_STATS_COLUMNS,
+                               os.path.join(checkpoint_root, "province_stats"), trigger, **report)
 
 
-def start_keyword_stats(spark: SparkSession, page_topic: str, page_schema: T.StructType,
-                        report_path: str, checkpoint_root: str, trigger: dict | None = None,
-                        stamp: str = "wall",
-                        max_files_per_trigger: int | None = None) -> StreamingQuery:
+def start_keyword_stats(spark: SparkSession, page_topic: str | Topic, page_schema: T.StructType,
+                        report_path: str | None, checkpoint_root: str, trigger: dict | None = None,
+                        stamp: str = "wall", max_files_per_trigger: int | None = None, **report) -> StreamingQuery:
     """dwd_page_log (SQL page table shape) -> keyword_stats report."""
-    src = read_json_topic(spark, page_topic, page_schema, max_files_per_trigger)
-    report = stats.keyword_stats(src, "1 second", stamp)
-    return sinks.report_stream(report, report_path, S.KEYWORD_STATS_COLUMNS,
-                               os.path.join(checkpoint_root, "keyword_stats"), trigger)
+    src = _topic(page_topic, max_files_per_trigger).read(spark, page_schema)
+    return sinks.report_stream(stats.keyword_stats(src, "1 second", stamp), report_path, S.KEYWORD_STATS_COLUMNS,
+                               os.path.join(checkpoint_root, "keyword_stats"), trigger, **report)

@@ -12,7 +12,7 @@ from emberflow import schemas as S
 from emberflow.operators import cdc, stats, wide
 from emberflow.plans import catalog
 from emberflow.sources import fixtures as FX
-from emberflow.streaming import sinks
+from emberflow.streaming import dim_store, sinks
 
 FAR_FUTURE = "2100-01-01 00:00:00"
 
@@ -120,10 +120,10 @@ def test_route_stream_writes_topics_and_versioned_dims(spark, tmpdir_path):
     q = sinks.route_stream(envs, cfg_path, out, os.path.join(tmpdir_path, "ck"),
                            trigger={"availableNow": True})
     q.awaitTermination(600)
-    got = sinks.read_latest(spark, os.path.join(out, "dims", "dim_user_info"))
+    got = dim_store.read_dim(spark, os.path.join(out, "dims", "dim_user_info"))
     want = catalog.q_sink_dim_upsert(spark, SF_SMALL)
     assert _same(got, want, ["ID", "NAME", "GENDER", "BIRTHDAY"]) > 0
-    facts = spark.read.text(os.path.join(out, "topics", "*", "sink_table=*"))
+    facts = spark.read.text(os.path.join(out, "topics", "*", "*", "sink_table=*"))
     batch_facts, _ = cdc.route(cdc.cdc_normalize(raw), FX.routing_config(spark))
     assert facts.count() == batch_facts.count()
 
