@@ -31,10 +31,6 @@ def user_age(birthday: str | Column, as_of: Column | None = None) -> Column:
     return F.floor(days / 365).cast("int")
 
 
-def event_time_from_millis(ts: str | Column) -> Column:
-    return F.timestamp_millis(_c(ts))
-
-
 def event_time_whole_seconds(ts: str | Column) -> Column:
     """``TO_TIMESTAMP(FROM_UNIXTIME(ts/1000))``: integer division, whole seconds."""
     return F.timestamp_seconds(F.floor(_c(ts) / 1000))
@@ -81,8 +77,6 @@ CODE_LABELS = {
     # coupon range
     "3301": "category3", "3302": "trademark", "3303": "spu",
 }
-# keyword sources
-KEYWORD_SOURCES = ["SEARCH", "CLICK", "CART", "ORDER"]
 APPRAISE_GOOD = "1201"
 
 

@@ -51,19 +51,6 @@ TABLE_PROCESS = T.StructType([
 SINK_TYPE_KAFKA = "kafka"
 SINK_TYPE_HBASE = "hbase"
 
-ORDER_INFO_COLUMNS = [
-    "id", "province_id", "order_status", "user_id", "total_amount", "activity_reduce_amount",
-    "coupon_reduce_amount", "original_total_amount", "feight_fee", "expire_time",
-    "create_time", "operate_time",
-]
-ORDER_DETAIL_COLUMNS = [
-    "id", "order_id", "sku_id", "order_price", "sku_num", "sku_name", "create_time",
-    "split_total_amount", "split_activity_amount", "split_coupon_amount",
-]
-PAYMENT_INFO_COLUMNS = [
-    "id", "order_id", "user_id", "total_amount", "subject", "payment_type",
-    "create_time", "callback_time",
-]
 
 # Wide rows (field order of the published rows).
 ORDER_WIDE_COLUMNS = [
