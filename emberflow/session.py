@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,14 +56,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder once; later reads start there.
+    """Write ``df`` to the shared checkpoint folder once; later reads start there."""
+    ensure_checkpoint_dir(df.sparkSession)
+    cut = df.checkpoint(eager=True)
+    release_shuffles(df.sparkSession)
+    return cut
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps.
 
-    The shuffle files behind it are of no more use. Spark deletes them once the
-    driver's JVM has collected their owners, which is asked for here: a job of
-    many steps would else hold the shuffles of all of them on disk.
+    It does so once nothing refers to their plans, in Python and in the driver's
+    JVM, and both have collected their garbage. A job of many steps would else
+    hold the shuffles of all of them on disk.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    cut = df.checkpoint(eager=True)
+    gc.collect()
     spark.sparkContext._jvm.System.gc()
-    return cut
