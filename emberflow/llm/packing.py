@@ -174,7 +174,7 @@ def _pack_counts(counts: DataFrame, length: int, slots: bool) -> DataFrame:
     return counts.select("grp", "length", "n").repartition("grp").sortWithinPartitions("grp").mapInArrow(emit, shape)
 
 
-def pack(pieces: DataFrame, length: int = 1024, part_rows: int = 4096, rounds: int = 4) -> DataFrame:
+def pack(pieces: DataFrame, length: int = 1024, part_rows: int = 32768, rounds: int = 4) -> DataFrame:
     """``pieces`` (column ``length`` of 1 .. ``length``) with sequence_id and offset added."""
     if not 0 <= rounds <= 7:
         raise ValueError("rounds must be 0 to 7")
