@@ -20,19 +20,29 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from ..session import release_shuffles
+
 #: Bits of a bitmap sent to tasks (4 MB); further keys only weaken its pruning.
 BITMAP_BITS = 1 << 25
 _PAGE_BITS = 32768
 
 
+#: Rows of an Arrow batch at most.
+BATCH_ROWS = 2000
 _shipped: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Give the executors this package (what --py-files does), once for each application."""
+    """Give the executors this package (what --py-files does), once for each application.
+
+    Also bounds the Arrow batches of the session: texts are long rows, and a
+    task holds a batch on both sides of the pipe.
+    """
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     package = Path(__file__).resolve().parents[1]
     target = Path(SparkFiles.getRootDirectory()) / f"{package.name}.zip"
     with zipfile.ZipFile(target, "w") as z:
@@ -58,6 +68,7 @@ def bitmap(keys: DataFrame, column: str, bits: int = BITMAP_BITS) -> np.ndarray:
              .groupBy(F.floor(F.col("slot") / _PAGE_BITS).alias("page"))
              .agg(F.bitmap_construct_agg((F.col("slot") % _PAGE_BITS)).alias("bytes")).collect())
     out = np.zeros(bits // 8, np.uint8)
+    release_shuffles(keys.sparkSession)
     for row in pages:
         at = row["page"] * _PAGE_BITS // 8
         out[at:at + _PAGE_BITS // 8] = np.frombuffer(row["bytes"], np.uint8)

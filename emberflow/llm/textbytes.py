@@ -15,15 +15,16 @@ import pyarrow as pa
 
 #: Words end at these bytes: space, \t, \n, \v, \f, \r.
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
-CHUNK_BYTES = 1 << 20
+#: Bytes worked on together; arrays of this length stay in a core's cache.
+CHUNK_BYTES = 1 << 17
 
 _rng = np.random.Generator(np.random.PCG64(20240607))
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _FOLD = np.arange(256)
 _FOLD[65:91] += 32
 _BYTE_LOWER = _BYTE[_FOLD]
-_IS_SPACE = np.zeros(256, dtype=bool)
-_IS_SPACE[list(SPACES)] = True
+_IS_WORD = np.ones(256, dtype=bool)
+_IS_WORD[list(SPACES)] = False
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 _powers: dict[int, np.ndarray] = {}
@@ -37,7 +38,7 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
         have = np.full(size, base, dtype=np.uint64)
         have[0] = 1
         have = np.multiply.accumulate(have)
-        if size <= 16 * CHUNK_BYTES:
+        if size <= 1 << 20:
             _powers[int(base)] = have
     return have[:n]
 
@@ -76,19 +77,20 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tu
     n = len(data)
     if n == 0:
         return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64), np.zeros(0, np.int64)
-    inside = ~_IS_SPACE[data]
-    first = inside.copy()
-    first[1:] &= ~inside[:-1]
-    last = inside.copy()
-    last[:-1] &= ~inside[1:]
+    inside = np.zeros(n + 2, bool)
+    np.take(_IS_WORD, data, out=inside[1:-1])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
     cuts = offsets[1:-1]
-    cuts = cuts[(cuts > 0) & (cuts < n)]  # a word ends where its text ends
-    first[cuts] = inside[cuts]
-    last[cuts - 1] = inside[cuts - 1]
-    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
+    cuts = np.unique(cuts[(cuts > 0) & (cuts < n)])
+    cuts = cuts[inside[cuts] & inside[cuts + 1]]  # a word ends where its text ends
+    if len(cuts):
+        starts, ends = np.sort(np.concatenate([starts, cuts])), np.sort(np.concatenate([ends, cuts]))
     total = np.empty(n + 1, np.uint64)
     total[0] = 0
-    np.cumsum((_BYTE_LOWER if lower else _BYTE)[data] * powers(_BASE, n), out=total[1:])
+    values = np.take(_BYTE_LOWER if lower else _BYTE, data)
+    values *= powers(_BASE, n)
+    np.cumsum(values, out=total[1:])
     h = (total[ends] - total[starts]) * powers(_BASE_INV, n)[starts]
     return mix(h), np.searchsorted(starts, offsets, side="left"), starts
 
@@ -99,19 +101,35 @@ def shingle_hashes(words: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.n
     A text of fewer than k words has its whole sequence as its only shingle; a
     text without words has none.
     """
+    first, sizes, out = shingle_places(offsets, k)
+    if out[-1] == 0:
+        return np.zeros(0, np.uint64), out
+    full = np.zeros(len(words), np.uint64)
+    if len(words) >= k:  # every k neighbours, also across texts; only those of one text are taken
+        h = np.full(len(words) - k + 1, k, np.uint64)
+        for j in range(k):
+            h *= _BASE
+            h += words[j:len(words) - k + 1 + j]
+        full[:len(h)] = h
+    found = full[first]
+    short = np.flatnonzero((np.diff(offsets) < k) & (sizes > 0))
+    if len(short):
+        h = np.full(len(short), k, np.uint64)
+        padded = np.concatenate([words, np.zeros(k, np.uint64)])
+        for j in range(k):
+            h *= _BASE
+            h += np.where(offsets[short] + j < offsets[short + 1], padded[offsets[short] + j], np.uint64(0))
+        found[out[short]] = h
+    return mix(found), out
+
+
+def shingle_places(offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First word of every shingle, the shingles of every text, and the texts' shingle offsets."""
     counts = np.diff(offsets)
     sizes = np.where(counts >= k, counts - k + 1, (counts > 0).astype(np.int64))
     out = np.zeros(len(sizes) + 1, np.int64)
     np.cumsum(sizes, out=out[1:])
-    if out[-1] == 0:
-        return np.zeros(0, np.uint64), out
-    first = np.repeat(offsets[:-1] - out[:-1], sizes) + np.arange(out[-1])
-    left = np.repeat(offsets[1:], sizes) - first
-    h = np.full(out[-1], np.uint64(k), np.uint64)
-    padded = np.concatenate([words, np.zeros(k, np.uint64)])
-    for j in range(k):
-        h = h * _BASE + np.where(left > j, padded[first + j], np.uint64(0))
-    return mix(h), out
+    return np.repeat(offsets[:-1] - out[:-1], sizes) + np.arange(out[-1]), sizes, out
 
 
 def rolling_hashes(data: np.ndarray, k: int) -> np.ndarray:
