@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from . import common, textbytes
 
 SLOTS = 1 << 18
@@ -149,8 +150,9 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = 6000, cost: float
              .groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max(F.col("quality").cast("int")).alias("label")))
     bits = common.bitmap(known.select(F.xxhash64("id").alias("h")), "h")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
-    rows = (texts.where(common.passes(bits)(F.xxhash64("doc_id"))).join(known, F.col("doc_id") == F.col("id"))
-            .select("text", "label", F.xxhash64("doc_id", F.lit(11)).alias("order")))
+    # the labels' side is hashed partition by partition, however small it is: one plan at every size
+    rows = (texts.where(common.passes(bits)(F.xxhash64("doc_id"))).join(known.hint("shuffle_hash"), F.col("doc_id") == F.col("id"))
+            .select("text", "label"))
 
     def count(batch):
         out = np.zeros(2 * SLOTS + 4096, np.int64)
@@ -175,7 +177,12 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = 6000, cost: float
     low, high = (counts[:SLOTS] + 1) / (classes[0] + 2), (counts[SLOTS:2 * SLOTS] + 1) / (classes[1] + 2)
     ratios = np.log(high / low).astype(np.float32)
     most = fit_rows + fit_rows // 2
-    sample = (rows.orderBy("order", "label").limit(most).mapInArrow(codes_of, "order long, label int, codes binary").collect())
+    order = F.xxhash64("id", F.lit(11)).alias("order")
+    chosen = cut_lineage(texts.select("doc_id").join(known, F.col("doc_id") == F.col("id")).select("id", "label", order).distinct().orderBy("order", "id").limit(most))
+    chosen_bits = common.bitmap(chosen.select(F.xxhash64("id").alias("h")), "h")
+    sample = (texts.where(common.passes(chosen_bits)(F.xxhash64("doc_id"))).join(chosen, F.col("doc_id") == F.col("id"))
+              .select("text", "label", "order").orderBy("order", F.xxhash64("text")).limit(most)
+              .mapInArrow(codes_of, "order long, label int, codes binary").collect())
     sample.sort(key=lambda r: (r["order"], r["label"], bytes(r["codes"])))
     lists = [np.frombuffer(r["codes"], np.int32) for r in sample]
     y = np.array([r["label"] > 0 for r in sample], dtype=np.int64)
