@@ -2,11 +2,9 @@
 
 Each report is one aggregate keyed by (window, dimensions), so the shuffle
 carries partial aggregates only (hot keys collapse to one row per map task
-before the exchange). Distinct order counts are exact: in batch they are a
-two-level aggregate (first by (window, sku, order id), then by (window,
-sku)), so no per-key set is ever built; on streams, where a second
-aggregate cannot follow, the per-window ``collect_set`` is bounded by ten
-seconds of orders of one key.
+before the exchange). Distinct order counts are exact: a two-level aggregate
+(first by (window, key, order id), then by (window, key)), in batch and as
+chained aggregates in append mode on streams, so no per-key set is ever built.
 """
 
 from __future__ import annotations
@@ -178,17 +176,11 @@ def product_stats_core(metric_rows: DataFrame, delay: str | None = "2 seconds")
     """Counters per (10 s window, sku) before the dimension lookups."""
     df, w = _windowed(metric_rows, "ts", delay)
     sums = [F.sum(c).alias(c) for c in _COUNTS + _AMOUNTS]
-    if df.isStreaming:
-        agg = df.groupBy(w.alias("w"), "sku_id").agg(
-            *sums, *[F.size(F.collect_set(c)).cast("bigint").alias(c) for c in _ORDER_IDS],
-            F.min("ts").alias("ts"))
-    else:
-        # level 1: one row per (window, sku, order id); level 2: count them.
-        lvl1 = df.groupBy(w.alias("w"), "sku_id", *_ORDER_IDS).agg(*sums,
-                                                                   F.min("ts").alias("ts"))
-        agg = lvl1.groupBy("w", "sku_id").agg(
-            *[F.sum(c).alias(c) for c in _COUNTS + _AMOUNTS],
-            *[F.count(c).alias(c) for c in _ORDER_IDS], F.min("ts").alias("ts"))
+    # level 1: one row per (window, sku, order id); level 2: count them.
+    lvl1 = df.groupBy(w.alias("w"), "sku_id", *_ORDER_IDS).agg(*sums, F.min("ts").alias("ts"))
+    agg = lvl1.groupBy("w", "sku_id").agg(
+        *[F.sum(c).alias(c) for c in _COUNTS + _AMOUNTS],
+        *[F.count(c).alias(c) for c in _ORDER_IDS], F.min("ts").alias("ts"))
     return agg.select(
         *_window_text(), "sku_id",
         *[F.col(c).cast("bigint").alias(c) for c in _COUNTS],
@@ -240,13 +232,9 @@ def province_stats(order_wide_rows: DataFrame, delay: str | None = "1 second",
     if df.isStreaming and delay is not None:
         df = df.withWatermark("rt", delay)
     w = F.window("rt", WINDOW).alias("w")
-    amount = F.sum("split_total_amount").cast(S.MONEY).alias("order_amount")
-    if df.isStreaming:
-        agg = df.groupBy(w, *PROVINCE_DIMS).agg(
-            amount, F.size(F.collect_set("order_id")).cast("bigint").alias("order_count"))
-    else:
-        agg = df.groupBy(w, *PROVINCE_DIMS).agg(
-            amount, F.count_distinct("order_id").alias("order_count"))
+    orders = df.groupBy(w, *PROVINCE_DIMS, "order_id").agg(F.sum("split_total_amount").alias("amount"))
+    agg = orders.groupBy("w", *PROVINCE_DIMS).agg(
+        F.sum("amount").cast(S.MONEY).alias("order_amount"), F.count("order_id").alias("order_count"))
     ts = now_millis() if stamp == "wall" else F.unix_millis(F.col("w.end"))
     return agg.select(*_window_text(), *PROVINCE_DIMS, "order_amount", "order_count",
                       ts.alias("ts"))

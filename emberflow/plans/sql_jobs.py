@@ -48,8 +48,8 @@ def keyword_stats_sql(spark: SparkSession, page_rows: DataFrame, stamp: str = "w
 def province_stats_sql(spark: SparkSession, order_wide_rows: DataFrame, stamp: str = "wall",
                        delay: str | None = "1 second") -> DataFrame:
     """``order_wide(..., rt AS TO_TIMESTAMP(create_time), WATERMARK rt - 1 s)``
-    -> province stats by SQL (``count(DISTINCT)`` in batch; streams take
-    ``size(collect_set())``, as Spark refuses distinct aggregates there)."""
+    -> province stats by SQL: orders first, then their count, which runs on
+    streams too (append mode)."""
     src = order_wide_rows.selectExpr(
         "province_id", "province_name", "province_area_code", "province_iso_code",
         "province_3166_2_code", "order_id", "split_total_amount",
@@ -57,20 +57,21 @@ def province_stats_sql(spark: SparkSession, order_wide_rows: DataFrame, stamp: s
     if src.isStreaming and delay is not None:
         src = src.withWatermark("rt", delay)
     view = register_view(src, "order_wide")
-    ts = "unix_timestamp() * 1000" if stamp == "wall" else "unix_millis(window.end)"
-    distinct = ("size(collect_set(order_id))" if src.isStreaming
-                else "count(DISTINCT order_id)")
+    ts = "unix_timestamp() * 1000" if stamp == "wall" else "unix_millis(w.end)"
     return spark.sql(f"""
-        SELECT date_format(window.start, 'yyyy-MM-dd HH:mm:ss') AS stt,
-               date_format(window.end, 'yyyy-MM-dd HH:mm:ss') AS edt,
+        SELECT date_format(w.start, 'yyyy-MM-dd HH:mm:ss') AS stt,
+               date_format(w.end, 'yyyy-MM-dd HH:mm:ss') AS edt,
                province_id, province_name, province_area_code, province_iso_code,
-               province_3166_2_code,
-               CAST(sum(split_total_amount) AS DECIMAL(16,2)) AS order_amount,
-               CAST({distinct} AS BIGINT) AS order_count,
-               {ts} AS ts
-        FROM {view}
-        GROUP BY province_id, province_name, province_area_code, province_iso_code,
-                 province_3166_2_code, window(rt, '10 seconds')""")
+               province_3166_2_code, CAST(sum(amount) AS DECIMAL(16,2)) AS order_amount,
+               count(order_id) AS order_count, {ts} AS ts
+        FROM (SELECT window(rt, '10 seconds') AS w, province_id, province_name,
+                     province_area_code, province_iso_code, province_3166_2_code, order_id,
+                     sum(split_total_amount) AS amount
+              FROM {view}
+              GROUP BY window(rt, '10 seconds'), province_id, province_name, province_area_code,
+                       province_iso_code, province_3166_2_code, order_id)
+        GROUP BY w, province_id, province_name, province_area_code, province_iso_code,
+                 province_3166_2_code""")
 
 
 def keyword_stats_lateral_sql(spark: SparkSession, page_rows: DataFrame,
