@@ -7,7 +7,7 @@ has 100 * |A & B| >= percent * |A | B|; the first of similar lines stays.
 
 Steps: count tokens in a fixed table, order them by rarity; find the prefix
 tokens that two lines share; collapse equal token sets to classes; gather the
-classes of a shared token around the earliest one; within a group apply the
+classes of a shared token around the smallest one; within a group apply the
 prefix, length and positional filters and verify Jaccard, looking for one
 earlier partner; take the removed lines out of the texts.
 
@@ -54,21 +54,19 @@ def _line_sets(data: np.ndarray, offs: np.ndarray, k: int, min_words: int, level
     return *setjoin.distinct_tokens(found, cuts), owner, number
 
 
-def _prefix_rows(docs: DataFrame, k: int, percent: int, min_words: int, levels: np.ndarray) -> DataFrame:
-    def emit(batches):
-        for batch in batches:
-            rows = batch.column(1).to_numpy().view(np.uint64)
-            data, offs = textbytes.text_buffer(batch.column(0))
-            for i, j in textbytes.chunks(offs):
-                tokens, cuts, owner, number = _line_sets(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i], k, min_words, levels)
-                pick = setjoin.in_prefix(cuts, percent)
-                line = textbytes.mix(rows[i + owner] + textbytes.mix(number.astype(np.uint64) + np.uint64(1)))
-                yield pa.RecordBatch.from_arrays([common.long_array(tokens[pick]), common.long_array(np.repeat(line, np.diff(cuts))[pick])], names=["token", "c"])
-    return docs.select("text", "row").mapInArrow(emit, "token long, c long")
+def _prefix_tokens(k: int, percent: int, min_words: int, levels: np.ndarray):
+    def prefixes(batch):
+        data, offs = textbytes.text_buffer(batch.column(0))
+        out = [np.zeros(0, np.uint64)]
+        for i, j in textbytes.chunks(offs):
+            tokens, cuts, _, _ = _line_sets(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i], k, min_words, levels)
+            out.append(tokens[setjoin.in_prefix(cuts, percent)])
+        return np.concatenate(out)
+    return prefixes
 
 
 def _line_rows(docs: DataFrame, k: int, percent: int, min_words: int, levels: np.ndarray, live: np.ndarray) -> DataFrame:
-    """(doc_id, row, line, cls, n, live prefix tokens) of the lines that share a prefix token."""
+    """(doc_id, row, line, cls, its first word c, live prefix tokens) of the lines that share a prefix token."""
     def emit(batches):
         for batch in batches:
             data, offs = textbytes.text_buffer(batch.column(0))
@@ -83,14 +81,14 @@ def _line_rows(docs: DataFrame, k: int, percent: int, min_words: int, levels: np
                 take = pa.array(i + owner[use])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(1).take(take), batch.column(2).take(take), pa.array(number[use], pa.int64()),
-                     pa.array([x.tobytes() for x in keys], pa.binary()), pa.array(np.diff(cuts)[use], pa.int64()),
+                     pa.array([x.tobytes() for x in keys], pa.binary()), common.long_array(keys[:, 0]),
                      pa.ListArray.from_arrays(pa.array(np.append(first, len(line_of)), pa.int32()), common.long_array(tokens[alive]))],
-                    names=["doc_id", "row", "line", "cls", "n", "tokens"])
-    return docs.select("text", "doc_id", "row").mapInArrow(emit, "doc_id long, row long, line long, cls binary, n long, tokens array<long>")
+                    names=["doc_id", "row", "line", "cls", "c", "tokens"])
+    return docs.select("text", "doc_id", "row").mapInArrow(emit, "doc_id long, row long, line long, cls binary, c long, tokens array<long>")
 
 
-def _line_blobs(docs: DataFrame, k: int, percent: int, min_words: int, levels: np.ndarray, wanted: np.ndarray) -> DataFrame:
-    """(cls, tokens in global order) of the lines whose name is in the bitmap."""
+def _line_blobs(docs: DataFrame, k: int, min_words: int, levels: np.ndarray, wanted: np.ndarray, classes: np.ndarray) -> DataFrame:
+    """(cls, tokens in global order) of the lines of wanted rows that are of wanted classes."""
     def emit(batches):
         for batch in batches:
             rows = batch.column(1).to_numpy().view(np.uint64)
@@ -100,8 +98,8 @@ def _line_blobs(docs: DataFrame, k: int, percent: int, min_words: int, levels: n
             data, offs = textbytes.text_buffer(batch.column(0).take(pa.array(some)))
             for i, j in textbytes.chunks(offs):
                 tokens, cuts, _, _ = _line_sets(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i], k, min_words, levels)
-                use = np.flatnonzero(np.diff(cuts))
                 keys = setjoin.class_keys(tokens, cuts)
+                use = np.flatnonzero((np.diff(cuts) > 0) & common.in_bitmap(keys[:, 0], classes))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([keys[x].tobytes() for x in use], pa.binary()),
                      pa.array([tokens[cuts[x]:cuts[x + 1]].tobytes() for x in use], pa.binary())], names=["cls", "tokens"])
@@ -143,19 +141,19 @@ def removed_lines(docs: DataFrame, shingle: int = 5, percent: int = 80, min_word
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("row", common.row_hash())
 
     levels = setjoin.word_levels(docs)
-    live = common.bitmap(setjoin.repeated(_prefix_rows(docs, shingle, percent, min_words, levels)), "token")
+    live = common.bitmap(setjoin.repeated(docs.select("text"), _prefix_tokens(shingle, percent, min_words, levels)), "token")
     lines = cut_lineage(_line_rows(docs, shingle, percent, min_words, levels, live))
     lowest = F.coalesce("doc_id", F.lit(-(2**63)))  # null first
     classes = cut_lineage(lines.groupBy("cls").agg(
         F.min(F.struct(lowest.alias("d"), F.col("line").alias("l"), F.col("row").alias("r"))).alias("first"),
-        F.first("tokens").alias("tokens")))
-    members = classes.select("cls", "first", F.explode("tokens").alias("token"))
-    pieces = cut_lineage(setjoin.dealt(setjoin.groups(members, ["first"])))
+        F.min("c").alias("c"), F.first("tokens").alias("tokens")))
+    members = classes.select(F.explode("tokens").alias("token"), "cls")
+    pieces = setjoin.dealt(setjoin.groups(members))
     piece_key = ["pivot", "bi", "bj"]
-    placed = pieces.join(classes.select("cls", "first"), "cls")
-    wanted = common.bitmap(placed.select(F.col("first.r").alias("h")), "h")
-    stored = (_line_blobs(docs, shingle, percent, min_words, levels, wanted)
-              .join(pieces.select("cls").distinct(), "cls", "left_semi").groupBy("cls").agg(F.first("tokens").alias("tokens")))
+    placed = cut_lineage(pieces.join(classes.select("cls", "first", "c"), "cls"))
+    wanted, of_class = common.bitmap(placed.select(F.col("first.r").alias("h")), "h"), common.bitmap(placed, "c")
+    stored = (_line_blobs(docs, shingle, min_words, levels, wanted, of_class)
+              .join(placed.select("cls").distinct(), "cls", "left_semi").groupBy("cls").agg(F.first("tokens").alias("tokens")))
 
     def search(batches):
         for t in common.key_runs(batches, piece_key):

@@ -8,7 +8,7 @@ with nothing. Two documents link when 100 * |A & B| >= percent * |A | B|.
 Steps, all over the whole table:
 
 1. count words in a fixed table of slots: the global token order, rarest first;
-2. collapse equal sets to classes; find the prefix tokens that two classes share;
+2. find the prefix tokens that two documents share; collapse equal sets to classes;
 3. gather the classes that share a token around the token's first class; a
    class stays in a group only if some partner there is within the allowed
    difference of sizes and of a 128-slot count sketch (both bounds are lossless);
@@ -47,14 +47,13 @@ def _sets(column: pa.Array, k: int, levels: np.ndarray):
         yield i, *setjoin.distinct_tokens(*setjoin.tokens(words, at, k, levels))
 
 
-def _prefix_rows(docs: DataFrame, k: int, percent: int, levels: np.ndarray) -> DataFrame:
-    def emit(batches):
-        for batch in batches:
-            for _, found, cuts in _sets(batch.column(0), k, levels):
-                pick = setjoin.in_prefix(cuts, percent)
-                owner = np.repeat(setjoin.class_keys(found, cuts)[:, 0], np.diff(cuts))
-                yield pa.RecordBatch.from_arrays([common.long_array(found[pick]), common.long_array(owner[pick])], names=["token", "c"])
-    return docs.select("text").mapInArrow(emit, "token long, c long")
+def _prefix_tokens(k: int, percent: int, levels: np.ndarray):
+    def prefixes(batch):
+        out = [np.zeros(0, np.uint64)]
+        for _, found, cuts in _sets(batch.column(0), k, levels):
+            out.append(found[setjoin.in_prefix(cuts, percent)])
+        return np.concatenate(out)
+    return prefixes
 
 
 def _sketches(found: np.ndarray, cuts: np.ndarray, use: np.ndarray) -> list[bytes]:
@@ -188,12 +187,12 @@ def jaccard_links(docs: DataFrame, shingle: int = 5, percent: int = 80) -> tuple
     """
     ensure_checkpoint_dir(docs.sparkSession)
     levels = setjoin.word_levels(docs)
-    live = common.bitmap(setjoin.repeated(_prefix_rows(docs, shingle, percent, levels)), "token")
+    live = common.bitmap(setjoin.repeated(docs.select("text"), _prefix_tokens(shingle, percent, levels)), "token")
     rows = cut_lineage(_document_rows(docs, shingle, percent, levels, live))
     found = cut_lineage(rows.where("sketch is not null").groupBy("cls")
              .agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"), F.first("sketch").alias("sketch")))
-    members = found.select("cls", F.explode("tokens").alias("token"))
-    pieces = setjoin.dealt(setjoin.groups(members.select("token", "cls"), []))
+    members = found.select(F.explode("tokens").alias("token"), "cls")
+    pieces = setjoin.dealt(setjoin.groups(members))
     piece_key = ["pivot", "bi", "bj"]
 
     def prune(batches):

@@ -11,7 +11,10 @@ a token in the first n - ceil(t n) + 1 tokens of each.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,11 +36,8 @@ def word_levels(docs: DataFrame) -> np.ndarray:
 
     def count(batch):
         data, offs = textbytes.text_buffer(batch.column(0))
-        out = np.zeros(COUNT_SLOTS, np.int64)
-        for i, j in textbytes.chunks(offs, 8 * textbytes.CHUNK_BYTES):
-            words = textbytes.word_hashes(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i])[0]
-            out += np.bincount(slots(words), minlength=COUNT_SLOTS)
-        return out
+        found = [slots(textbytes.word_hashes(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i])[0]).astype(np.int32) for i, j in textbytes.chunks(offs)]
+        return np.bincount(np.concatenate([*found, np.zeros(0, np.int32)]), minlength=COUNT_SLOTS)
 
     total = common.sum_slots(docs.select("text"), count, COUNT_SLOTS)
     return np.minimum(255, np.floor(6 * np.log2(1 + total))).astype(np.uint8)
@@ -46,16 +46,24 @@ def word_levels(docs: DataFrame) -> np.ndarray:
 def tokens(words: np.ndarray, offsets: np.ndarray, k: int, levels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All tokens of every owner's words, and the owners' token offsets."""
     hashes, out = textbytes.shingle_hashes(words, offsets, k)
-    sizes = np.diff(out)
-    first = np.repeat(offsets[:-1] - out[:-1], sizes) + np.arange(out[-1])
-    left = np.minimum(np.repeat(offsets[1:], sizes) - first, k)
-    level = np.concatenate([levels[slots(words)], np.zeros(k, np.uint8)]).astype(np.uint64)
-    low, total = np.full(len(first), 255, np.uint64), np.zeros(len(first), np.uint64)
-    for j in range(k):
-        here = level[first + j]
-        low = np.minimum(low, np.where(left > j, here, np.uint64(255)))
-        total += np.where(left > j, here, np.uint64(0))
-    return low << np.uint64(56) | (total // left.astype(np.uint64)) << np.uint64(48) | hashes >> np.uint64(16), out
+    first, _, _ = textbytes.shingle_places(offsets, k)
+    if not len(first):
+        return hashes, out
+    level = levels[slots(words)]
+    low, total = np.full(len(words), 255, np.uint8), np.zeros(len(words), np.uint16)
+    if len(words) >= k:
+        last = len(words) - k + 1
+        for j in range(k):
+            np.minimum(low[:last], level[j:last + j], out=low[:last])
+            total[:last] += level[j:last + j]
+        total //= k
+    short = np.flatnonzero((np.diff(offsets) < k) & (np.diff(out) > 0))
+    for x in range(k - 1):  # texts of fewer than k words
+        at = offsets[short] + x
+        here = at < offsets[short + 1]
+        low[offsets[short[here]]] = np.minimum(low[offsets[short[here]]], level[at[here]]) if x else level[at[here]]
+        total[offsets[short[here]]] = level[offsets[short[here]]]
+    return low[first].astype(np.uint64) << np.uint64(56) | total[first].astype(np.uint64) << np.uint64(48) | hashes >> np.uint64(16), out
 
 
 def distinct_tokens(found: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -94,23 +102,48 @@ def prefix_length(n: int, percent: int) -> int:
     return n - (-(-percent * n // 100)) + 1
 
 
-def repeated(tokens: DataFrame) -> DataFrame:
-    """Tokens found in two different classes, from rows (token, c)."""
-    return (tokens.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high"))
-            .where("low < high").select("token"))
-
+def repeated(docs: DataFrame, prefixes: Callable[[pa.RecordBatch], np.ndarray]) -> DataFrame:
+    """Tokens (token) that ``prefixes`` gives twice or more over all batches of ``docs``.
 
-def groups(members: DataFrame, order: list[str]) -> DataFrame:
-    """Candidate groups (pivot, cls) from rows (token, cls, *order).
-
-    The pivot of a token is the first of its classes in ``order``. Two classes
-    that share a token are both members of that token's pivot, so all candidate
-    pairs meet in a group; a class comes once into each group.
+    Tokens are dealt out by hash in arrays, one for each batch and part, with as
+    many parts as the session has shuffle partitions; a part sorts its own. A
+    token comes once from each batch, however frequent it is there.
+    """
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def deal(batches):
+        for batch in batches:
+            found, n = np.unique(prefixes(batch), return_counts=True)
+            part = (textbytes.mix(found) % np.uint64(parts)).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            found, n = found[order], n[order]
+            cuts = np.searchsorted(part[order], np.arange(parts + 1))
+            use = np.flatnonzero(np.diff(cuts))
+            pieces = [found[cuts[p]:cuts[p + 1]] for p in use]
+            more = [found[cuts[p]:cuts[p + 1]][n[cuts[p]:cuts[p + 1]] > 1] for p in use]
+            yield pa.RecordBatch.from_arrays([pa.array(use, pa.int64()), pa.array([x.tobytes() for x in pieces], pa.binary()),
+                                              pa.array([x.tobytes() for x in more], pa.binary())], names=["part", "once", "more"])
+
+    def gather(batches):
+        for t in common.key_runs(batches, ["part"]):
+            once = np.sort(np.frombuffer(b"".join(t["once"].to_pylist()), np.uint64))
+            more = np.frombuffer(b"".join(t["more"].to_pylist()), np.uint64)
+            found = np.unique(np.concatenate([once[1:][once[1:] == once[:-1]], more]))
+            yield pa.RecordBatch.from_arrays([common.long_array(found)], names=["token"])
+
+    return (docs.mapInArrow(deal, "part long, once binary, more binary").repartition("part").sortWithinPartitions("part")
+            .mapInArrow(gather, "token long"))
+
+
+def groups(members: DataFrame) -> DataFrame:
+    """Candidate groups (pivot, cls) from rows (token, cls).
+
+    The pivot of a token is its smallest class. Two classes that share a token
+    are both members of that token's pivot, so all candidate pairs meet in a
+    group; a class comes once into each group.
     """
-    rank = F.struct(*order, "cls")
-    members = cut_lineage(members)
-    first = members.groupBy("token").agg(F.min(rank).alias("first"), F.max(rank).alias("last"))
-    first = first.where("first.cls != last.cls").select("token", F.col("first.cls").alias("pivot"))
+    first = members.groupBy("token").agg(F.min("cls").alias("pivot"), F.max("cls").alias("last"))
+    first = first.where("pivot != last").select("token", "pivot")
     return cut_lineage(members.join(first, "token").select("pivot", "cls").distinct())
 
 
