@@ -188,25 +188,6 @@ def test_hot_order_can_be_split(spark, capsys):
     assert "REPARTITION_BY" not in capsys.readouterr().out
 
 
-def test_visit_and_visitor_jobs_chained(spark, tmpdir_path):
-    rows = [("m1", 1, 1_700_000_000_000, None), ("m1", 2, 1_700_000_002_000, "home"), ("m2", 3, 1_700_000_003_000, None), ("z", 4, 4_102_444_800_000, None),
-            ("z", 5, 4_102_444_900_000, "home")]
-    full = [(mid, seq, ts, "0", "v", "c", "a", "p", last, None, None, 1) for mid, seq, ts, last in rows]
-    pages = os.path.join(tmpdir_path, "pages")
-    for r in full:  # a batch for each, so that the watermark moves
-        spark.createDataFrame([r], STREAM_PAGE).coalesce(1).write.mode("append").json(pages)
-    topic = warehouse.Topic(pages, max_files=1)
-    uv, uj, report, ck = (os.path.join(tmpdir_path, x) for x in ("uv", "uj", "report", "ck"))
-    now = {"availableNow": True}
-    warehouse.start_unique_visit(spark, topic, STREAM_PAGE, uv, ck, now).awaitTermination(300)
-    warehouse.start_jump_detail(spark, topic, STREAM_PAGE, uj, ck, trigger=now).awaitTermination(300)
-    assert sorted(r.mid for r in spark.read.json(uv).collect()) == ["m1", "m2", "z"]
-    assert sorted(r.mid for r in spark.read.json(uj).collect()) == ["m2", "z"]
-    warehouse.start_visitor_stats(spark, uv, uj, topic, STREAM_PAGE, report, ck, now).awaitTermination(300)
-    got = spark.read.parquet(report).where("stt < '2030'").agg(F.sum("uv_ct").alias("uv"), F.sum("uj_ct").alias("uj"), F.sum("pv_ct").alias("pv")).first()
-    assert (got.uv, got.uj, got.pv) == (2, 1, 3)
-
-
 def test_payment_wide_and_product_jobs(spark, tmpdir_path):
     d = "/root/testdata/sf0.001"
     inp = catalog.Inputs(spark, d)
