@@ -185,7 +185,8 @@ def remove_lines(docs: DataFrame, shingle: int = 5, percent: int = 80, min_words
     touched = common.passes(common.bitmap(gone, "__row"))
     columns = docs.columns
     based = docs.withColumn("__r", common.row_hash()).withColumn("__touched", touched(F.col("__r")))
-    n_lines = F.size(F.split(common.text_or_empty(), "\n", -1)).cast("long")
+    text = common.text_or_empty()
+    n_lines = (F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("long")
     still = based.where("not __touched").select(*[F.col(f"`{c}`") for c in columns], n_lines.alias("__n_lines"), F.lit(0).cast("long").alias("__n_removed"))
     joined = (based.where("__touched")
               .join(gone, (F.col("__r") == F.col("__row")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__doc")), "left"))
