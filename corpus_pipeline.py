@@ -18,6 +18,8 @@ from emberflow.session import ensure_checkpoint_dir
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 SEQUENCE = 1024
+#: Words of a passage that may not stand in the corpus twice.
+PASSAGE_WORDS = 51
 
 
 def _with_text(docs: DataFrame, like: DataFrame) -> DataFrame:
@@ -45,10 +47,11 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the bytes of repeated 400-byte strings; those left empty go."""
+    """Documents without repeated passages of over 50 words, or of 400 bytes; those left without a word go."""
     common.ship_package(spark)
-    cut = suffix_dedup.remove_repeats(docs, length=400, characters=True).where("__n_removed = 0 or octet_length(__kept) > 0")
-    return _with_text(cut.withColumn("text", F.when(F.col("__n_removed") > 0, F.col("__kept").cast("string")).otherwise(F.col("text"))), docs)
+    cut = suffix_dedup.remove_repeats(docs, length=400, characters=True, words=PASSAGE_WORDS)
+    cut = cut.withColumn("text", F.when(F.col("__n_removed") > 0, F.col("__kept").cast("string")).otherwise(F.col("text")))
+    return _with_text(cut.where(r"__n_removed = 0 or text rlike '[^ \\t-\\r]'"), docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

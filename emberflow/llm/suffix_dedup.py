@@ -24,6 +24,10 @@ enough. Ranks are 64-bit hashes within the rank of the round before, texts are
 named by 78 bits of two hashes. Equal keys are found by Spark aggregates; no
 list of equal strings is ever gathered, only lists within one text.
 
+The same rounds find repeated strings of words (``words``): the units are then
+the 64-bit hashes of words between white space instead of byte values, and what
+is removed reaches from the first byte of the first word to the last of the last.
+
 Defined cases: null text = empty; texts shorter than ``length`` are kept whole;
 repeated rows are copies of a text; null doc_id is an ordinary row; an empty
 table gives an empty result.
@@ -31,6 +35,9 @@ table gives an empty result.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -41,6 +48,19 @@ from . import common, textbytes
 
 #: Offsets looked at together, round by round.
 STEPS = (48, 8, 1)
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+
+
+def _units(column: pa.Array, words: bool) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Ranges of texts: the first one's index, the values of their units, the texts' offsets in units."""
+    data, offs = textbytes.text_buffer(column)
+    for i, j in textbytes.chunks(offs):
+        part, own = data[offs[i]:offs[j]], offs[i:j + 1] - offs[i]
+        if words:
+            values, own, _ = textbytes.word_hashes(part, own, lower=False)
+        else:
+            values = textbytes.byte_values(part)
+        yield i, values, own
 
 
 def _sliding_min(values: np.ndarray, w: int) -> np.ndarray:
@@ -56,10 +76,10 @@ def _sliding_min(values: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(backward[:n - w + 1], forward[w - 1:n])
 
 
-def _runs(data: np.ndarray, offs: np.ndarray, length: int, seed: int):
+def _runs(values: np.ndarray, offs: np.ndarray, length: int, seed: int):
     """Runs of a range of texts: text index, first and last string, gram place, gram hash; and hash sums."""
-    total = textbytes.prefix_hashes(data)
-    grams = textbytes.mix((total[seed:] - total[:-seed]) * textbytes.powers(textbytes._BASE_INV, len(data))[:max(0, len(data) - seed + 1)]) if len(data) >= seed else total[:0]
+    total = textbytes.prefix_sums(values)
+    grams = textbytes.mix((total[seed:] - total[:-seed]) * textbytes.powers(textbytes._BASE_INV, len(values))[:max(0, len(values) - seed + 1)]) if len(values) >= seed else total[:0]
     place = np.arange(len(grams), dtype=np.uint64)
     low = _sliding_min((grams >> np.uint64(32) << np.uint64(32)) | place, length - seed + 1)
     anchor = (low & np.uint64(0xFFFFFFFF)).astype(np.int64)
@@ -97,33 +117,29 @@ def _unpacked(packed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     return a, a + (packed >> 9 & 511), a + (packed & 511), packed >> 18 & 16383
 
 
-def _gram_rows(texts: DataFrame, length: int, seed: int) -> DataFrame:
+def _gram_rows(texts: DataFrame, length: int, seed: int, words: bool) -> DataFrame:
     def emit(batches):
         for batch in batches:
             keys = batch.column(0).to_numpy().view(np.uint64)
-            data, offs = textbytes.text_buffer(batch.column(2))
-            for i, j in textbytes.chunks(offs):
-                base = offs[i]
-                text, _, _, at, gram, _ = _runs(data[base:offs[j]], offs[i:j + 1] - base, length, seed)
+            for i, values, offs in _units(batch.column(2), words):
+                text, _, _, at, gram, _ = _runs(values, offs, length, seed)
                 if len(at):
-                    yield pa.RecordBatch.from_arrays([common.long_array(gram), common.long_array(_name(keys[i + text], at + base - offs[i + text]))], names=["gram", "place"])
+                    yield pa.RecordBatch.from_arrays([common.long_array(gram), common.long_array(_name(keys[i + text], at - offs[text]))], names=["gram", "place"])
     return texts.mapInArrow(emit, "gram long, place long")
 
 
-def _run_rows(texts: DataFrame, length: int, seed: int, live: np.ndarray) -> DataFrame:
+def _run_rows(texts: DataFrame, length: int, seed: int, live: np.ndarray, words: bool) -> DataFrame:
     def emit(batches):
         for batch in batches:
             keys, more = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            data, offs = textbytes.text_buffer(batch.column(2))
-            for i, j in textbytes.chunks(offs):
-                base = offs[i]
-                text, a, b, at, gram, total = _runs(data[base:offs[j]], offs[i:j + 1] - base, length, seed)
+            for i, values, offs in _units(batch.column(2), words):
+                text, a, b, at, gram, total = _runs(values, offs, length, seed)
                 pick = common.in_bitmap(gram, live)
                 if not pick.any():
                     continue
                 text, a, b, at, gram = text[pick], a[pick], b[pick], at[pick], gram[pick]
                 whole = textbytes.span_hashes(total, a, b + length) + (at - a).astype(np.uint64) * np.uint64(0x9FB21C651E98DF25)
-                own = offs[i + text] - base
+                own = offs[text]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys[i + text]), _packed(a - own, b - own, at - own, more[i + text]), common.long_array(gram), common.long_array(whole)],
                     names=["t", "packed", "rank", "whole"])
@@ -149,7 +165,7 @@ def _split(rows: DataFrame) -> DataFrame:
                  F.collect_set(F.when(F.col("more") & (~repeat | (place == F.col("witness"))), F.struct("packed", "rank"))).alias("closer")))
 
 
-def _closer_rows(held: DataFrame, length: int, step: int) -> DataFrame:
+def _closer_rows(held: DataFrame, length: int, step: int, words: bool) -> DataFrame:
     """The next round's rows, from rows (t, text, list of runs); ``step`` offsets at a time."""
     def emit(batches):
         for batch in batches:
@@ -159,7 +175,8 @@ def _closer_rows(held: DataFrame, length: int, step: int) -> DataFrame:
             packed, ranks = flat.field("packed").to_numpy(), flat.field("rank").to_numpy().view(np.uint64)
             for i in range(batch.num_rows):
                 first, last, gram, m = _unpacked(packed[cuts[i]:cuts[i + 1]])
-                total = textbytes.prefix_hashes(data[offs[i]:offs[i + 1]])
+                raw = data[offs[i]:offs[i + 1]]
+                total = textbytes.prefix_sums(textbytes.word_hashes(raw, np.array([0, len(raw)]), lower=False)[0] if words else textbytes.byte_values(raw))
                 low, high = (gram - last) // step, (gram - first) // step  # steps of offsets gram - start
                 count = high - low + 1
                 row = np.repeat(np.arange(len(count)), count)
@@ -175,21 +192,25 @@ def _closer_rows(held: DataFrame, length: int, step: int) -> DataFrame:
     return held.mapInArrow(emit, "t long, packed long, rank long, whole long")
 
 
-def repeated_spans(docs: DataFrame, length: int = 400, seed: int = 128) -> tuple[DataFrame, DataFrame]:
-    """(t, m, holder, copies, size) of every text, and (t, m, spans) of the texts with repeated strings.
+def text_copies(docs: DataFrame) -> DataFrame:
+    """(t, m, holder, copies, size) of every text."""
+    ensure_checkpoint_dir(docs.sparkSession)
+    return cut_lineage(docs.select(F.col("doc_id").cast("long").alias("doc_id"), *_text_key(), F.octet_length(common.text_or_empty()).alias("size"))
+                       .groupBy("t", "m").agg(F.min("doc_id").alias("holder"), F.count(F.lit(1)).alias("copies"), F.max("size").alias("size")))
+
+
+def repeated_spans(docs: DataFrame, copies: DataFrame, length: int = 400, seed: int = 128, words: bool = False) -> DataFrame:
+    """(t, m, spans) of the texts with repeated strings of ``length`` bytes (words).
 
     ``spans`` lists lists of (s, e): the strings that start at s .. e occur elsewhere.
     """
     if not 0 <= length - seed < 512:
         raise ValueError("length may exceed seed by 0 to 511")
-    ensure_checkpoint_dir(docs.sparkSession)
     doc_id = F.col("doc_id").cast("long").alias("doc_id")
     texts = docs.select(*_text_key(), common.text_or_empty().alias("text"))
-    copies = cut_lineage(docs.select(doc_id, *_text_key(), F.octet_length(common.text_or_empty()).alias("size"))
-                         .groupBy("t", "m").agg(F.min("doc_id").alias("holder"), F.count(F.lit(1)).alias("copies"), F.max("size").alias("size")))
-    grams = _gram_rows(texts, length, seed).groupBy("gram").agg(F.min("place").alias("low"), F.max("place").alias("high")).where("low < high")
+    grams = _gram_rows(texts, length, seed, words).groupBy("gram").agg(F.min("place").alias("low"), F.max("place").alias("high")).where("low < high")
     live = common.bitmap(grams, "gram")
-    rows = cut_lineage(_run_rows(texts, length, seed, live))
+    rows = cut_lineage(_run_rows(texts, length, seed, live, words))
     found = []
     steps = [s for s in STEPS if s == 1 or 4 * s <= length]  # a step's strings must overlap
     for step in (*steps, None):
@@ -203,17 +224,17 @@ def repeated_spans(docs: DataFrame, length: int = 400, seed: int = 128) -> tuple
         holders = holders.where(common.passes(asked)(F.xxhash64("k.t", "k.m", "doc_id")))
         held = (holders.join(lists, (F.col("k.t") == F.col("t")) & (F.col("k.m") == F.col("m")) & holders.doc_id.eqNullSafe(lists.holder))
                 .select("t", "text", "closer"))
-        rows = cut_lineage(_closer_rows(held, length, step))
+        rows = cut_lineage(_closer_rows(held, length, step, words))
     spans = found[0]
     for more in found[1:]:
         spans = spans.unionByName(more)
-    return copies, spans.groupBy("t", "m").agg(F.collect_list("spans").alias("spans"))
+    return spans.groupBy("t", "m").agg(F.collect_list("spans").alias("spans"))
 
 
-def _cut(spans, length: int) -> list[tuple[int, int]]:
-    """Merged byte ranges [s, e + length) of one text."""
+def _cut(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Merged byte ranges of one text."""
     out: list[list[int]] = []
-    for s, e in sorted((x["s"], x["e"] + length) for group in spans for x in group):
+    for s, e in sorted(ranges):
         if out and s <= out[-1][1]:
             out[-1][1] = max(out[-1][1], e)
         else:
@@ -221,17 +242,26 @@ def _cut(spans, length: int) -> list[tuple[int, int]]:
     return out
 
 
-def remove_repeats(docs: DataFrame, length: int = 400, seed: int = 128, characters: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 400, seed: int = 128, characters: bool = False, words: int | None = None) -> DataFrame:
     """``docs`` with __kept (remaining bytes), __n_bytes, __n_removed and __n_spans added.
 
     With ``characters``, characters of which a byte was removed go whole from
-    __kept, so that it is valid UTF-8; the counts stay those of the bytes.
+    __kept, so that it is valid UTF-8; the counts stay those of the bytes. With
+    ``words``, strings of so many words that start more than once go as well,
+    whatever their bytes; a copy of a text of as many words goes whole.
     """
-    copies, spans = repeated_spans(docs, length, seed)
+    copies = text_copies(docs)
+    spans = repeated_spans(docs, copies, length, seed).withColumnRenamed("spans", "__spans")
+    if words:
+        spans = spans.join(repeated_spans(docs, copies, words, -(-words // 3), words=True).withColumnRenamed("spans", "__words"), ["t", "m"], "full")
+    else:
+        spans = spans.withColumn("__words", F.lit(None).cast(spans.schema["__spans"].dataType))
     wide = F.col("copies").cast("long") > 1
-    marked = (copies.where(f"size >= {length}").join(spans, ["t", "m"], "left")
-              .where(wide | F.col("spans").isNotNull())
-              .select(F.col("t").alias("__t"), F.col("m").alias("__m"), wide.alias("__all"), F.when(~wide, F.col("spans")).alias("__spans")))
+    least = min(length, 2 * words - 1) if words else length
+    marked = (copies.where(f"size >= {least}").join(spans, ["t", "m"], "left")
+              .where(wide | F.col("__spans").isNotNull() | F.col("__words").isNotNull())
+              .select(F.col("t").alias("__t"), F.col("m").alias("__m"), wide.alias("__all"),
+                      *(F.when(~wide, F.col(c)).alias(c) for c in ("__spans", "__words"))))
     marked = cut_lineage(marked)
     touched = common.passes(common.bitmap(marked, "__t"))
     t, m = _text_key()
@@ -249,11 +279,16 @@ def remove_repeats(docs: DataFrame, length: int = 400, seed: int = 128, characte
     def cut(batches):
         for batch in batches:
             names = batch.schema.names
-            texts, spans, alls = batch.column(names.index("text")), batch.column(names.index("__spans")), batch.column(names.index("__all"))
+            texts, bytes_, worded, alls = (batch.column(names.index(c)) for c in ("text", "__spans", "__words", "__all"))
             kept, sizes, gone, runs = [], [], [], []
-            for text, some, full in zip(texts, spans, alls):
+            for text, some, named, full in zip(texts, bytes_, worded, alls):
                 raw = (text.as_py() or "").encode()
-                cuts = [(0, len(raw))] if full.as_py() else _cut(some.as_py() or [], length)
+                at = [w.span() for w in _WORD.finditer(raw)] if words and (named.is_valid or full.as_py()) else []
+                if full.as_py():
+                    cuts = [(0, len(raw))] if len(raw) >= length or words and len(at) >= words else []
+                else:
+                    ranges = [(x["s"], x["e"] + length) for group in some.as_py() or [] for x in group]
+                    cuts = _cut(ranges + [(at[x["s"]][0], at[x["e"] + words - 1][1]) for group in named.as_py() or [] for x in group])
                 edges = [0, *(x for cut_ in cuts for x in cut_), len(raw)]
                 parts = [raw[a:b] for a, b in zip(edges[::2], edges[1::2])]
                 sizes.append(len(raw))

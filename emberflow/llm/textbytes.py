@@ -141,14 +141,24 @@ def rolling_hashes(data: np.ndarray, k: int) -> np.ndarray:
     return mix((total[k:] - total[:-k]) * powers(_BASE_INV, n)[:n - k + 1])
 
 
-def prefix_hashes(data: np.ndarray) -> np.ndarray:
-    """Running sums from which ``span_hashes`` takes any substring's hash."""
-    total = np.empty(len(data) + 1, np.uint64)
+def byte_values(data: np.ndarray) -> np.ndarray:
+    """The random value of every byte."""
+    return _BYTE[data]
+
+
+def prefix_sums(values: np.ndarray) -> np.ndarray:
+    """Running sums over units (byte values or word hashes) from which ``span_hashes`` takes any string's hash."""
+    total = np.empty(len(values) + 1, np.uint64)
     total[0] = 0
-    np.cumsum(_BYTE[data] * powers(_BASE, len(data)), out=total[1:])
+    np.cumsum(values * powers(_BASE, len(values)), out=total[1:])
     return total
 
 
+def prefix_hashes(data: np.ndarray) -> np.ndarray:
+    """Running sums from which ``span_hashes`` takes any substring's hash."""
+    return prefix_sums(byte_values(data))
+
+
 def span_hashes(total: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Hashes of data[start:end], the length mixed in."""
     inv = powers(_BASE_INV, len(total))

@@ -5,11 +5,13 @@ from __future__ import annotations
 import hashlib
 import os
 import random
+import re
 import sys
 
 import pytest
 from pyspark.sql import functions as F
 
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import brute  # noqa: E402
@@ -134,6 +136,55 @@ def test_repeated_strings_whole_characters(spark):
         bytes(r["__kept"]).decode()
 
 
+def test_repeated_passages_of_words(spark):
+    """Strings of words are found as brute force finds them, beside strings of bytes."""
+    rows = corpus(8)
+    for words in (3, 9):
+        texts = [t or "" for _, t in rows]
+        split = [[m.span() for m in re.finditer(r"[^\x20\x09-\x0D]+", t)] for t in texts]
+        seen = {}
+        for t, at in zip(texts, split):
+            for i in range(len(at) - words + 1):
+                name = tuple(t[a:b] for a, b in at[i:i + words])
+                seen[name] = seen.get(name, 0) + 1
+        expected = {}
+        copies = {t: texts.count(t) for t in texts}
+        for (d, _), t, at in zip(rows, texts, split):
+            gone = [copies[t] > 1 and len(at) >= words] * len(t)
+            for i in range(len(at) - words + 1):
+                if seen[tuple(t[a:b] for a, b in at[i:i + words])] > 1:
+                    gone[at[i][0]:at[i + words - 1][1]] = [True] * (at[i + words - 1][1] - at[i][0])
+            expected[d, t] = "".join(c for c, g in zip(t, gone) if not g)
+        out = suffix_dedup.remove_repeats(frame(spark, rows), 100000, characters=False, seed=99900, words=words).collect()
+        assert len(out) == len(rows)
+        for r in out:
+            assert bytes(r["__kept"]).decode() == expected[r.doc_id, r.text or ""]
+
+
+def test_stage_removes_passages_of_over_fifty_words(spark):
+    """A planted passage of 51 words goes from inside longer lines; clean documents stay as they are."""
+    import corpus_pipeline
+
+    rng = random.Random(11)
+    vocabulary = ["".join(rng.choice("abcdefgh") for _ in range(rng.randrange(1, 8))) for _ in range(2000)]
+    prose = lambda m: " ".join(rng.choice(vocabulary) for _ in range(m))
+    passage, short, unspaced = prose(51), prose(50), "".join(rng.choice("xyz") for _ in range(450))
+    assert len(passage) < 400
+    rows = [(i, f"start{i} {prose(40)} {passage} {prose(40)} end{i}") for i in range(3)]
+    rows += [(10 + i, f"{prose(30)}\n{prose(60)}") for i in range(3)]
+    rows += [(20 + i, f"begin{i} {prose(9)} {short} stop{i} {prose(9)}") for i in range(2)]
+    rows += [(30 + i, f"{prose(9)} {unspaced} {prose(9)}") for i in range(2)]
+    rows += [(40, f"once {passage[:len(passage) // 2]}"), (41, None), (42, "")]
+    out = {r.doc_id: r.text for r in corpus_pipeline.suffix_array_dedup(spark, frame(spark, rows).withColumn("n_chars", F.lit(0)), "").collect()}
+    for d, t in rows:
+        if d < 10:
+            assert out[d] == t.replace(passage, "")
+        elif 30 <= d < 40:
+            assert unspaced not in out[d] and len(out[d]) < 200
+        else:
+            assert out[d] == t
+
+
 def test_exact(spark):
     rows = corpus(6)
     out = exact_dedup.exact_duplicates(frame(spark, rows), bucket_keys=4).collect()
