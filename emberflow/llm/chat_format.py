@@ -10,13 +10,16 @@ canonical JSON: members in ascending order of names, no white space.
 
 One line per message: calls at step 2 * level, their results at the step after;
 no conversation is gathered into one row, so none needs to fit a task.
+Messages that are neither (conv_id, turn, role, content) have one ``message``
+line each, of status ``plain``: they link with nothing, so step and identifier
+are null and the turn gives their place.
 
 Defined cases: of several calls (results) with one identifier the first by turn
 and content is linked, the others are ``duplicate``; equal repeated rows count
-once; ``unanswered`` calls have no result, ``orphan`` results no call; calls on
+once, other messages as often as they come; ``unanswered`` calls have no result, ``orphan`` results no call; calls on
 a cycle, or behind one, are ``cyclic`` and have no level; arguments that are no
 JSON object (null, empty, malformed, repeated members) are invalid and written
-as null; a null identifier links with nothing; null content is JSON null; empty
+as null; a null identifier links with nothing; null content and null roles are JSON null; empty
 tables give an empty result.
 """
 
@@ -127,6 +130,14 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, lis
     return call_lines.unionByName(result_lines)
 
 
+def plain_messages(messages: DataFrame) -> DataFrame:
+    """One line per message (conv_id, turn, role, content) that is no call and no result; columns of ``link_tool_calls``."""
+    member = [("content", _string(F.col("content"))), ("role", _string(F.col("role")))]
+    return messages.select("conv_id", "turn", F.lit("message").alias("kind"), F.lit(None).cast("string").alias("call_id"),
+                           F.lit(None).cast("long").alias("step"), F.lit("plain").alias("status"), F.lit(True).alias("valid"),
+                           F.array().cast("array<string>").alias("errors"), _object(member).alias("json"))
+
+
 def _string(value: Column) -> Column:
     """A string as a JSON string."""
     listed = F.to_json(F.array(value))

@@ -35,7 +35,7 @@ REPLY = {"reply": [chat_format.Field("text", "string", least=20, most=300), chat
 
 
 def op4_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All turns of users as calls, and of assistants as results, linked and serialised.
+    """All turns of users as calls, and of assistants as results, linked and serialised; others as plain messages.
 
     A user's turn t calls "reply" with identifier conv_id:t, after the call of
     turn t - 2; an assistant's turn t answers conv_id:(t - 1).
@@ -46,7 +46,8 @@ def op4_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", "turn", name(0).alias("call_id"), F.lit("reply").alias("name"),
         F.to_json(F.struct("turn", "text")).alias("arguments"), name(2).alias("after"))
     results = turns.where("role = 'assistant'").select("conv_id", "turn", name(1).alias("call_id"), F.col("text").alias("content"))
-    lines = chat_format.link_tool_calls(calls, results, REPLY)
+    others = turns.where("role is null or role not in ('user', 'assistant')").select("conv_id", "turn", "role", F.col("text").alias("content"))
+    lines = chat_format.link_tool_calls(calls, results, REPLY).unionByName(chat_format.plain_messages(others))
     return lines.select("conv_id", "turn", "kind", "call_id", "step", "status", "valid", F.concat_ws("; ", "errors").alias("errors"), "json")
 
 

@@ -277,6 +277,21 @@ def test_tool_calls(spark):
         assert at[2, turn].errors == ["arguments: not an object"] and '"arguments":null' in at[2, turn].json
 
 
+def test_every_row_of_conversations_has_a_line(spark, tmpdir_path):
+    from emberflow.llm import queries
+
+    rows = [(1, 0, "system", 'be "kind"'), (1, 1, "user", "a question of some length"), (1, 2, "assistant", "yes"), (1, 3, "tool", None),
+            (2, 0, None, "who"), (2, 1, "system", ""), (2, 1, "system", "")]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmpdir_path}/conversations.parquet")
+    out = queries.op4_tool_call_linking(spark, tmpdir_path).collect()
+    assert len(out) == len(rows)
+    plain = sorted((r.conv_id, r.turn, r.call_id, r.step, r.status, r.valid, r.errors, r.json) for r in out if r.kind == "message")
+    line = lambda c, t, j: (c, t, None, None, "plain", True, "", j)
+    assert plain == [line(1, 0, '{"content":"be \\"kind\\"","role":"system"}'), line(1, 3, '{"content":null,"role":"tool"}'),
+                     line(2, 0, '{"content":"who","role":null}'), *[line(2, 1, '{"content":"","role":"system"}')] * 2]
+    assert sorted((r.turn, r.status) for r in out if r.kind != "message") == [(1, "linked"), (2, "linked")]
+
+
 def test_tool_call_chain_levels(spark):
     calls = spark.createDataFrame([(1, f"c{i}", f"c{i - 1}") for i in range(40)], "conv_id long, call_id string, after string")
     assert {r.call_id: r.level for r in chat_format.call_levels(calls).collect()} == {f"c{i}": i for i in range(40)}
