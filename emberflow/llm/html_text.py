@@ -3,7 +3,10 @@
 A page becomes a tree of elements (void elements, implied end tags and raw text
 as in HTML). Menus, headers and footers of the page, sidebars, notices,
 adverts, forms, scripts, styles, hidden parts and reader comments are left out
-by element, role and the words of class and id. For every other element with C
+by element, role and the words of class and id (within an article by whole
+names, and of blocks only). If that leaves no article or main element, the
+outermost elements left out by name or as forms that hold one are taken back,
+and so on inwards; on pages without one, those with most of the text. For every other element with C
 characters, T tags, LC characters and LT tags of links (0 counts as 1, b: body):
 
     density = C / T * log(C / LC * T / LT) / log(ln(C / (C - LC) * LC + LCb / Cb * C + e))
@@ -54,29 +57,31 @@ _HEAD_WORDS = frozenset("header masthead topbar".split())
 _ARTICLE = frozenset(("article", "main"))
 
 
-def _left_out(tag: str, raw: str, in_article: bool) -> bool:
-    if tag in _OUT or tag == "header" and not in_article:
-        return True
+def _left_out(tag: str, raw: str, in_article: bool) -> int:
+    """0: stays, 1: out by name or as a form, unless the main text is in it, 2: out."""
+    if tag in _OUT and tag != "form" or tag == "header" and not in_article:
+        return 2
+    by_name = int(tag == "form")
     if not raw or raw.isspace():
-        return False
+        return by_name
     for name, a, b, c in _ATTRIBUTE.findall(raw):
         name, value = name.lower(), (a or b or c).lower()
         if name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
+            return 2
         if name == "role" and value in _OUT_ROLES or name == "style" and "display:none" in value.replace(" ", ""):
-            return True
+            return 2
         if name in ("class", "id") and tag not in ("html", "body", "article", "main"):
-            words = set(re.split(r"[^a-z0-9]+", value))
-            if words & _OUT_WORDS or words & _HEAD_WORDS and not in_article:
-                return True
-    return False
+            words = set(value.split() if in_article else re.split(r"[^a-z0-9]+", value))
+            if words & _OUT_WORDS and (tag in _BLOCK or not in_article) or words & _HEAD_WORDS and not in_article:
+                by_name = 1
+    return by_name
 
 
 class _Page:
     """Elements in page order (parents before children) and what follows what."""
 
     def __init__(self, source: str):
-        self.tags, self.parents, self.out, self.article = ["#page"], [0], [False], [-1]
+        self.tags, self.parents, self.left, self.article = ["#page"], [0], [0], [-1]
         self.events: list[tuple[int, str | None]] = []  # (element, text), or (element, None) for a block edge
         stack, at = [0], 0
 
@@ -123,12 +128,37 @@ class _Page:
             node = len(self.tags)
             self.tags.append(tag)
             self.parents.append(above)
-            self.out.append(self.out[above] or _left_out(tag, raw, self.article[above] >= 0))
+            self.left.append(2 if self.left[above] == 2 else _left_out(tag, raw, self.article[above] >= 0))
             self.article.append(node if tag in _ARTICLE and self.article[above] < 0 else self.article[above])
             if tag in _BLOCK or tag == "br":
                 self.events.append((node, None))
             if tag not in _VOID and not raw.endswith("/"):
                 stack.append(node)
+        self.out = self._outs()
+
+    def _outs(self) -> list[bool]:
+        """Whether each element is left out, when those around the main text are taken back."""
+        n = len(self.tags)
+        articles, chars = [0] * n, [0] * n
+        for node, text in self.events:
+            if text and self.left[node] < 2:
+                chars[node] += len(_SPACE.sub(" ", text).strip())
+        for i in range(n - 1, 0, -1):
+            articles[i] += self.tags[i] in _ARTICLE and self.left[i] < 2
+            articles[self.parents[i]] += articles[i]
+            chars[self.parents[i]] += chars[i]
+        while True:
+            out = [False] * n
+            for i in range(1, n):
+                out[i] = out[self.parents[i]] or self.left[i] > 0
+            if any(self.tags[i] in _ARTICLE and not out[i] for i in range(n)):
+                return out
+            back = [i for i in range(1, n) if self.left[i] == 1 and not out[self.parents[i]]
+                    and (articles[i] if articles[0] else 2 * chars[i] > chars[0])]
+            if not back:
+                return out
+            for i in back:
+                self.left[i] = 0
 
     def selected(self) -> list[bool]:
         """Whether each element is within the selected subtrees."""

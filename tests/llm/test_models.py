@@ -191,6 +191,24 @@ def test_main_text(source, expected):
     assert html_text.main_text(source) == expected
 
 
+@pytest.mark.parametrize("wrapper", ["div class='layout has-sidebar'", "div id='page' class='no-sidebar'", "form action='/'", "div class=sidebar"])
+@pytest.mark.parametrize("tag", ["article", "div"])
+def test_main_text_in_wrappers(wrapper, tag):
+    """An element around the main text is not left out by its name; menus and comments in it are."""
+    long = "The text of the page, which is longer than anything else here, by far. " * 4
+    end = wrapper.split()[0]
+    source = (f"<body><{wrapper}><div class=menu><a href=x>Home</a></div><{tag}><p>{long}</p></{tag}>"
+              f"<ol class=commentlist><li><article class=comment><p>so true</p></article></li></ol></{end}></body>")
+    if tag == "div":
+        source = source.replace("<article class=comment>", "").replace("</article>", "")
+    assert html_text.main_text(source) == long.strip()
+
+
+def test_main_text_keeps_code_comments():
+    source = "<article><p>Some code follows:</p><pre>x = 1 <span class='hljs-comment'># one</span></pre><div class='comments'>hello</div></article>"
+    assert html_text.main_text(source) == "Some code follows:\nx = 1 # one"
+
+
 def test_extract_keeps_columns_and_rows(spark):
     pages = spark.createDataFrame([(1, None, "u"), (2, "<p>a b</p>" * 3, "u"), (2, "<p>a b</p>" * 3, "u"), (None, "<p>" * 3000 + "deep", "u")], "page_id long, html string, text string")
     rows = html_text.extract(pages).collect()
