@@ -4,12 +4,12 @@ Texts are equal when their bytes are. A text's key is a 64-bit hash; the
 directory maps the key's leading bits to buckets. It starts with one bit string
 of the depth that the number of keys asks for, and doubles (one more bit) while
 a bucket holds more than ``bucket_keys`` distinct keys and can be split; a
-bucket keeps the smallest depth at which it fits. Every bucket, and so a range
-of keys, has one owner task; there the rows of a key form a chain whose links
-are the different texts (grouping compares bytes, copies are added up before
-the shuffle). The index (bucket, key, link, digest, largest doc_id, copies) is
-written to the shared folder, ordered by bucket and key, and looked up by key
-and digest. Two texts of a chain with one SHA-256 would raise an error.
+bucket keeps the smallest depth at which it fits. The rows of a key form a
+chain whose links are the different texts: a plain aggregate on key and content
+(it compares bytes, copies are added up before the shuffle). The index (bucket,
+key, link, digest, largest doc_id, copies) is written to the shared folder,
+ordered by bucket and key, and joined by key and digest. Directory and buckets
+label and order that file only; neither grouping nor lookup reads them. Two texts of a chain with one SHA-256 would raise an error.
 
 Defined cases: null text = empty; of equal texts the row with the largest
 doc_id stays, null being smaller than all; of repeated rows with that doc_id
