@@ -106,8 +106,11 @@ def _line_blobs(docs: DataFrame, k: int, min_words: int, levels: np.ndarray, wan
     return docs.select("text", "row").mapInArrow(emit, "cls binary, tokens binary")
 
 
-def _later_matches(sets: list[np.ndarray], side: np.ndarray, alone: bool, percent: int):
-    """Places of the sets (given in their order of first lines) that match an earlier one."""
+def _later_matches(sets: list[np.ndarray], side: np.ndarray, alone: bool, percent: int, docs: np.ndarray, lines: np.ndarray):
+    """Places of the sets (given in their order of first lines) that match an earlier one.
+
+    ``docs`` and ``lines`` are doc_id and number of the first lines; sets whose first lines agree in both do not match.
+    """
     index = defaultdict(list)  # prefix token -> (set, position)
     for x, tokens in enumerate(sets):
         n = len(tokens)
@@ -120,6 +123,8 @@ def _later_matches(sets: list[np.ndarray], side: np.ndarray, alone: bool, percen
                 if y in tried or not (alone or side[x] != side[y]) or 100 * min(n, m) < percent * max(n, m):
                     continue
                 tried.add(y)
+                if docs[x] == docs[y] and lines[x] == lines[y]:
+                    continue
                 # the first common token: no more than the rest of either set can follow
                 if (100 + percent) * min(n - i, m - j) < percent * (n + m):
                     continue
@@ -161,12 +166,13 @@ def removed_lines(docs: DataFrame, shingle: int = 5, percent: int = 80, min_word
                 continue
             keys = t["cls"].to_pylist()
             found = [keys[x] for x in _later_matches([np.frombuffer(b, np.uint64) for b in t["tokens"].to_pylist()],
-                                                    t["side"].to_numpy(), t["bi"][0] == t["bj"][0], percent)]
+                                                    t["side"].to_numpy(), t["bi"][0] == t["bj"][0], percent, t["d"].to_numpy(), t["l"].to_numpy())]
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], names=["cls"])
 
     matched = (placed.join(stored, "cls").select(*piece_key, "side", "first", "cls", "tokens")
-               .repartition(*piece_key).sortWithinPartitions(*piece_key, "first", "cls").drop("first")
+               .repartition(*piece_key).sortWithinPartitions(*piece_key, "first", "cls")
+               .select(*piece_key, "side", "cls", "tokens", F.col("first.d").alias("d"), F.col("first.l").cast("long").alias("l"))
                .mapInArrow(search, "cls binary").distinct().withColumn("matched", F.lit(True)))
     fate = classes.select("cls", "first").join(matched, "cls", "left")
     later = F.struct(lowest.alias("d"), F.col("line").alias("l")) > F.struct("first.d", "first.l")

@@ -111,6 +111,18 @@ def test_lines(spark):
     assert {"token", "t", "bin", "__n_lines", "__n_removed"} <= set(out.columns)
 
 
+def test_similar_lines_at_one_place_stay(spark):
+    """Lines of one doc_id (or null) and number do not remove each other, similar or equal; others do."""
+    line = " ".join(f"w{i}" for i in range(40))
+    near, other = line + " x", line + " y z"
+    rows = [(None, f"{line}\nsomething of its own"), (None, f"{near}\nnothing of the kind"), (4, f"a b c\n{line} q"), (4, f"d e f\n{near} r"), (5, other)]
+    got = sorted((r.doc_id or -1, r.text) for r in line_dedup.remove_lines(frame(spark, rows)).collect())
+    assert got == sorted((d or -1, t) for d, t in brute.kept_lines(rows))
+    assert (-1, rows[0][1]) in got and (-1, rows[1][1]) in got and (5, "") in got
+    rows = [(7, line), (7, near)]
+    assert sorted(r.text for r in line_dedup.remove_lines(frame(spark, rows)).collect()) == sorted((line, near))
+
+
 def test_lines_min_words(spark):
     rows = [(1, "a b\nthe quick brown fox jumps over it"), (2, "a b\nthe quick brown fox jumps over it\nnew words in this line here")]
     out = {r.doc_id: r.text for r in line_dedup.remove_lines(frame(spark, rows), min_words=5).collect()}
