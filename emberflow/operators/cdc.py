@@ -27,8 +27,11 @@ def cdc_normalize(raw: DataFrame, topic: str = "topic", value: str = "value") ->
     kind = (F.when(op == "c", "insert").when(op == "u", "update").when(op == "d", "delete")
             .when(op == "r", "read").when(op == "t", "truncate").when(op == "m", "message")
             .otherwise(F.lower(op)))
-    return raw.select(*keep, parts.getItem(1).alias("database"),
-                      parts.getItem(2).alias("tableName"), rec.alias("_r")).select(
+    # ``inline`` of a one-row array is a plan barrier: filters on the parsed
+    # record stay above it, so each record is parsed once.
+    parsed = raw.select(*keep, F.inline(F.array(F.struct(
+        parts.getItem(1).alias("database"), parts.getItem(2).alias("tableName"), rec.alias("_r")))))
+    return parsed.select(
         *keep, "database", "tableName",
         F.coalesce(F.col("_r.before"), empty).alias("before"),
         F.coalesce(F.col("_r.after"), empty).alias("after"),
@@ -133,6 +136,27 @@ def dim_table_schema(sink_columns: str):
                          for c in sink_columns.split(",")])
 
 
+def dim_table_columns(dims: DataFrame, config: DataFrame) -> DataFrame:
+    """Columns of the dimension tables, as configured and as the changes fill them.
+
+    ``dims`` are routed dimension changes. One row per table and configured
+    column (all strings, upper-case names): its position, whether it is the
+    key, the table's extra clause, how many changes carry the column, and how
+    many of them with a value. Columns that no change carries have zeros.
+    """
+    filled = (dims.select("sink_table", F.explode("after").alias("col", "value"))
+              .groupBy("sink_table", "col").agg(F.count(F.lit(1)).alias("n_changes"), F.count("value").alias("n_values")))
+    named = (current_config(config).filter(F.col("sink_type") == S.SINK_TYPE_HBASE)
+             .select("sink_table", F.coalesce("sink_pk", F.lit("id")).alias("pk"), F.coalesce("sink_extend", F.lit("")).alias("extend"),
+                     F.posexplode(F.split("sink_columns", ",")).alias("position", "col"))
+             .groupBy("sink_table", "col").agg(F.min("position").alias("position"), F.min("pk").alias("pk"), F.min("extend").alias("extend")))
+    return named.join(filled, ["sink_table", "col"], "left").select(
+        "sink_table", (F.col("position") + 1).alias("position"), F.upper("col").alias("name"), F.lit("string").alias("type"),
+        (F.col("col") == F.col("pk")).alias("is_key"), "extend",
+        F.coalesce("n_changes", F.lit(0).cast("bigint")).alias("n_changes"),
+        F.coalesce("n_values", F.lit(0).cast("bigint")).alias("n_values"))
+
+
 # --------------------------------------------------------------------------
 # Dimension upsert
 # --------------------------------------------------------------------------

@@ -63,22 +63,25 @@ def order_wide_merge(joined: DataFrame) -> DataFrame:
         "create_date", "create_hour", "_ort")
 
 
-def order_wide_coalesce(a: DataFrame, b: DataFrame, key: str = "detail_id") -> DataFrame:
-    """First-non-null merge of two partial wide rows with the same key.
-
-    The three ``split_*`` amounts take only the own (left) value.
+def order_wide_coalesce(a: DataFrame, b: DataFrame, key: str = "detail_id",
+                        order: str | None = None) -> DataFrame:
+    """First-non-null merge of partial wide rows with the same key.
+
+    Every row of ``a`` gives one row: a key that ``b`` holds several times is
+    first reduced to its first non-null value per column, by the column
+    ``order`` of ``b`` (without one, the smallest value, so that the result
+    does not depend on the order of rows). The three ``split_*`` amounts take
+    only the own (left) value. A null key matches nothing.
     """
     own_only = {"split_activity_amount", "split_coupon_amount", "split_total_amount"}
-    cols = []
-    for c in a.columns:
-        if c == key:
-            cols.append(F.col(f"a.{c}").alias(c))
-        elif c in own_only or c not in b.columns:
-            cols.append(F.col(f"a.{c}").alias(c))
-        else:
-            cols.append(F.coalesce(F.col(f"a.{c}"), F.col(f"b.{c}")).alias(c))
-    return a.alias("a").join(b.alias("b"), F.col(f"a.{key}") == F.col(f"b.{key}"),
-                             "left").select(*cols)
+    shared = [c for c in a.columns if c != key and c not in own_only and c in b.columns]
+
+    def first(c: str) -> Column:
+        return F.min(c) if order is None else F.min_by(c, F.when(F.col(c).isNotNull(), F.col(order)))
+
+    one = b.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"), *[first(c).alias(f"_b_{c}") for c in shared])
+    return a.join(one, F.col(key) == F.col("_key"), "left").select(
+        *[F.coalesce(F.col(c), F.col(f"_b_{c}")).alias(c) if c in shared else F.col(c) for c in a.columns])
 
 
 def enrich_user(wide: DataFrame, dim_user: DataFrame, as_of: Column | None = None) -> DataFrame:

@@ -441,15 +441,9 @@ def q_dim_upsert_existing(spark, d):
 
 
 def q_dim_table_schema(spark, d):
-    """Columns of the dimension tables that the configuration names, with the changes at hand."""
-    rows = []
-    for r in cdc.current_config(FX.routing_config(spark)).where("sink_type = 'hbase' and operate_type = 'insert'").collect():
-        for i, f in enumerate(cdc.dim_table_schema(r["sink_columns"]).fields, 1):
-            rows.append((r["sink_table"], i, f.name, f.dataType.simpleString(),
-                         f.name == (r["sink_pk"] or "id").upper(), r["sink_extend"] or ""))
-    table = spark.createDataFrame(rows, "sink_table string, position int, name string, type string, is_key boolean, extend string")
-    n = FX.read_table(spark, d, "customer").agg(F.count(F.lit(1)).alias("n_changes"))
-    return table.crossJoin(n)
+    """Columns of the configured dimension tables and how the routed changes fill them."""
+    _, dim_rows = cdc.route(envelopes(spark, d), FX.routing_config(spark))
+    return cdc.dim_table_columns(dim_rows, FX.routing_config(spark))
 
 
 def q_src_change_log_snapshot(spark, d):

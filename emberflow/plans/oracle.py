@@ -494,16 +494,28 @@ SELECT id, create_time, create_date, create_hour, epoch_ms(ort) AS create_ts FRO
 SELECT order_id, sku_id, create_time AS order_time, detail_time,
   CAST(split_total_amount AS DOUBLE) AS split_total_amount
 FROM od_join""",
-    "order_wide_coalesce": ORDERS_Q + """
-SELECT order_id, sku_id, create_time, total_amount_ AS total_amount, split_total_amount FROM (
-  SELECT order_id, sku_id, create_time, CAST(total_amount AS DOUBLE) AS total_amount_,
-    CASE WHEN sku_id % 2 = 0 THEN CAST(split_total_amount AS DOUBLE) END AS split_total_amount FROM od_join)""",
-    "dim_table_schema": """
-SELECT * FROM (VALUES
+    "order_wide_coalesce": ORDERS_Q + """,
+full_rows AS (SELECT concat_ws('/', order_id, detail_time, sku_id, order_price, sku_num, split_activity_amount) AS detail_id, order_id, sku_id, create_time, CAST(total_amount AS DOUBLE) AS total_amount,
+                CAST(split_total_amount AS DOUBLE) AS split_total_amount FROM od_join),
+part_rows AS (SELECT detail_id, order_id, sku_id, create_time, CASE WHEN sku_id % 2 = 0 THEN total_amount END AS total_amount,
+                CASE WHEN sku_id % 2 = 0 THEN split_total_amount END AS split_total_amount FROM full_rows),
+one AS (SELECT detail_id, min(order_id) AS order_id, min(sku_id) AS sku_id, min(create_time) AS create_time,
+          min(total_amount) AS total_amount FROM full_rows GROUP BY detail_id)
+SELECT coalesce(a.order_id, b.order_id) AS order_id, coalesce(a.sku_id, b.sku_id) AS sku_id,
+  coalesce(a.create_time, b.create_time) AS create_time, coalesce(a.total_amount, b.total_amount) AS total_amount,
+  a.split_total_amount
+FROM part_rows a LEFT JOIN one b ON a.detail_id = b.detail_id""",
+    "dim_table_schema": ENV_Q + """,
+users AS (SELECT * FROM env WHERE table_name = 'user_info' AND type IN ('insert', 'update'))
+SELECT sink_table, position, name, type, is_key, extend, n_changes, n_values
+FROM (VALUES
   ('dim_user_info', 1, 'ID', 'string', TRUE, ''), ('dim_user_info', 2, 'NAME', 'string', FALSE, ''),
   ('dim_user_info', 3, 'GENDER', 'string', FALSE, ''), ('dim_user_info', 4, 'BIRTHDAY', 'string', FALSE, ''))
   AS t(sink_table, position, name, type, is_key, extend)
-CROSS JOIN (SELECT count(*) AS n_changes FROM customer)""",
+JOIN (SELECT 'ID' AS col, count(*) AS n_changes, count(after_id) AS n_values FROM users
+      UNION ALL SELECT 'NAME', count(*), count(after_name) FROM users
+      UNION ALL SELECT 'GENDER', count(*), count(gender) FROM users
+      UNION ALL SELECT 'BIRTHDAY', count(*), count(birthday) FROM users) n ON n.col = t.name""",
     "src_change_log_snapshot": """
 SELECT table_name, pk, last_type, n_keys, order_status FROM (
   SELECT 'order_info' AS table_name, CAST(o_orderkey AS VARCHAR) AS pk,

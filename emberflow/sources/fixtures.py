@@ -195,7 +195,9 @@ def order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = _money("l_extendedprice")
     disc = F.col("l_discount").cast("decimal(4,2)")
     return li.select(
-        F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id"),
+        # a line number may stand twice in an order: the whole line names the row
+        F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+                   "l_discount").alias("id"),
         F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("sku_id"),
         price.alias("order_price"), F.col("l_quantity").cast("bigint").alias("sku_num"),
         F.concat(F.lit("sku-"), F.col("l_partkey").cast("string")).alias("sku_name"),

@@ -11,6 +11,9 @@ from emberflow import schemas as S
 from emberflow.functions import scalars as SC
 from emberflow.functions.words import split_words, word_segments
 from emberflow.operators import cdc, joins, logs, report, stats, visits, wide
+from emberflow.plans.catalog import QUERIES
+
+SF_SMALL = "/root/testdata/sf0.001"
 
 
 def _page(mid, ts, seq, last=None, page_id="home", is_new="0", during=1000, displays=None,
@@ -254,10 +257,10 @@ def test_code_labels_and_camel(spark):
 
 
 def test_split_words_and_segments(spark):
-    df = spark.createDataFrame([("Apple iPhone12, 苹果手机!",)], "t string")
+    df = spark.createDataFrame([("Zephyr box12, 木星灯塔!",)], "t string")
     r = df.select(split_words("t").alias("w"), word_segments("t").alias("s")).first()
-    assert r.w == ["apple", "iphone12", "苹果手机"]
-    assert r.s == ["apple", "iphone12", "苹果", "果手", "手机"]
+    assert r.w == ["zephyr", "box12", "木星灯塔"]
+    assert r.s == ["zephyr", "box12", "木星", "星灯", "灯塔"]
 
 
 def test_split_words_udtf(spark):
@@ -302,3 +305,26 @@ def test_order_wide_coalesce(spark):
                               "split_total_amount double")
     r = wide.order_wide_coalesce(a, b).first()
     assert (r.sku_name, r.split_total_amount) == ("x", 5.0)
+
+
+def test_order_wide_coalesce_repeated_keys(spark):
+    shape = "detail_id long, order_id long, total_amount double, split_total_amount double, place int"
+    a = spark.createDataFrame([(1, None, None, None, 1), (1, 7, 9.0, 2.0, 2), (2, 5, None, None, 3), (None, None, None, None, 4)], shape)
+    b = spark.createDataFrame([(1, 8, None, 5.0, 2), (1, 6, 4.0, 6.0, 9), (1, None, 3.0, 7.0, 1), (None, 3, 3.0, 3.0, 1)], shape)
+    rows = lambda df: sorted((r.place, r.detail_id, r.order_id, r.total_amount, r.split_total_amount) for r in df.collect())
+    assert rows(wide.order_wide_coalesce(a, b)) == [(1, 1, 6, 3.0, None), (2, 1, 7, 9.0, 2.0), (3, 2, 5, None, None), (4, None, None, None, None)]
+    assert rows(wide.order_wide_coalesce(a, b, order="place")) == [(1, 1, 8, 3.0, None), (2, 1, 7, 9.0, 2.0), (3, 2, 5, None, None), (4, None, None, None, None)]
+
+
+def test_change_records_are_parsed_once(spark):
+    for name in ("route_columns", "sink_dim_upsert", "route_unmatched", "dim_table_schema"):
+        plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json") == 1, name
+
+
+def test_dim_table_columns_of_uncarried_columns(spark):
+    config = spark.createDataFrame([("t", "insert", "hbase", "dim_t", "id,a,b", None, "x", 1), ("u", "insert", "kafka", "dwd_u", "id", None, None, 1)], S.TABLE_PROCESS)
+    dims = spark.createDataFrame([("dim_t", {"id": "1", "a": None}), ("dim_t", {"id": "2"})], "sink_table string, after map<string,string>")
+    got = sorted(tuple(r) for r in cdc.dim_table_columns(dims, config).collect())
+    assert got == [("dim_t", 1, "ID", "string", True, "x", 2, 2), ("dim_t", 2, "A", "string", False, "x", 1, 0), ("dim_t", 3, "B", "string", False, "x", 0, 0)]
+    assert cdc.dim_table_columns(dims.limit(0), config).count() == 3
