@@ -15,7 +15,8 @@ character and the rest is missing.
 
 Defined cases: null text = empty, which has no ids; special tokens' strings are
 ordinary text; an id without a token raises an error; null ids = no ids; further
-columns stay as they are; an empty table gives an empty result.
+columns stay as they are (one called like an added column gets ``_in`` behind its
+name); an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from . import textbytes
+from . import common, textbytes
 
 CACHE = 400_000
 
@@ -127,6 +128,11 @@ def _offsets(coder: Codec, ids: np.ndarray, cuts: np.ndarray, data: np.ndarray,
 
 def encode(df: DataFrame, path: str, pattern: str, column: str = "text", offsets: bool = True) -> DataFrame:
     """``df`` with ``ids``, and with ``starts`` and ``ends`` if ``offsets``, in place of ``column``."""
+    added = ("ids", "starts", "ends")[:3 if offsets else 1]
+    return common.shielded(df, (column,), added, lambda d: _encode(d, path, pattern, column, offsets))
+
+
+def _encode(df: DataFrame, path: str, pattern: str, column: str, offsets: bool) -> DataFrame:
     kept = [c for c in df.columns if c != column]
     shape = T.StructType([df.schema[c] for c in kept] + [T.StructField(n, T.ArrayType(T.IntegerType())) for n in ["ids", "starts", "ends"][:3 if offsets else 1]])
 
@@ -150,6 +156,10 @@ def encode(df: DataFrame, path: str, pattern: str, column: str = "text", offsets
 
 def decode(df: DataFrame, path: str, pattern: str, column: str = "ids", text: bool = True) -> DataFrame:
     """``df`` with ``decoded`` (the bytes of ``column``), and with ``text`` of them if asked."""
+    return common.shielded(df, (column,), ("decoded", "text")[:1 + text], lambda d: _decode(d, path, pattern, column, text))
+
+
+def _decode(df: DataFrame, path: str, pattern: str, column: str, text: bool) -> DataFrame:
     columns = df.columns
     shape = T.StructType([*df.schema.fields, T.StructField("decoded", T.BinaryType())] + [T.StructField("text", T.StringType())] * text)
 

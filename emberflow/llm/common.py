@@ -8,7 +8,7 @@ the corpus stays in Spark tables.
 from __future__ import annotations
 
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
 
 import numpy as np
@@ -57,6 +57,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shielded(given: DataFrame, needs: Sequence[str], adds: Sequence[str], work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``work`` on ``given``, the columns it does not need going through under neutral names.
+
+    So no input column can meet a name that the operator uses inside, whatever
+    it is called. Afterwards the columns have their own names again, followed by
+    those that the operator ``adds``. An input column called like one of these
+    (case ignored) comes back with ``_in`` behind its name, repeated until free.
+    Columns that ``work`` does not return are left out.
+    """
+    names = given.columns
+    inner = [n if n in needs else f"given_{i}" for i, n in enumerate(names)]
+    out = work(given.toDF(*inner))
+    added, taken = {c.lower() for c in adds}, {c.lower() for c in (*names, *adds)}
+    columns = []
+    for name, i in zip(names, inner):
+        if i not in out.columns:
+            continue
+        label = name
+        if name.lower() in added:
+            while label.lower() in taken:
+                label += "_in"
+            taken.add(label.lower())
+        columns.append(F.col(i).alias(label))
+    return out.select(*columns, *adds)
+
+
 def bitmap(keys: DataFrame, column: str, bits: int = BITMAP_BITS) -> np.ndarray:
     """Bytes of a bitmap with bit (key mod ``bits``) set for every long key.
 

@@ -13,7 +13,8 @@ label and order that file only; neither grouping nor lookup reads them. Two text
 
 Defined cases: null text = empty; of equal texts the row with the largest
 doc_id stays, null being smaller than all; of repeated rows with that doc_id
-one stays; an empty table gives an empty result.
+one stays; an empty table gives an empty result; further columns, whatever their
+names, play no part.
 """
 
 from __future__ import annotations

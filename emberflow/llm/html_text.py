@@ -20,7 +20,7 @@ the runs of text between block-level tags and line breaks.
 Defined cases: null or empty html, and pages without text, give an empty text;
 unclosed and stray tags are accepted, an unclosed comment or script reaches to
 the end; rows are pages, equal ones included; further columns stay as they are;
-an empty table gives an empty result.
+one called __text gets ``_in`` behind its name; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -33,6 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import common
+
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _SPACE = re.compile(r"\s+")
@@ -231,6 +233,10 @@ def main_text(source: str | None) -> str:
 
 def extract(pages: DataFrame, column: str = "html") -> DataFrame:
     """``pages`` with the main text of ``column`` as __text."""
+    return common.shielded(pages, (column,), ("__text",), lambda p: _extract(p, column))
+
+
+def _extract(pages: DataFrame, column: str) -> DataFrame:
     columns = pages.columns
     at = columns.index(column)
 

@@ -15,7 +15,8 @@ Defined cases: null text = empty; lines without words stay; null doc_id comes
 before every other; lines of the same doc_id and number (repeated rows) do not
 remove each other and share their fate if they are equal; ``min_words`` leaves
 shorter lines alone (1: all lines take part); an empty table gives an empty
-result.
+result; further columns stay as they are, one called __n_lines or __n_removed gets
+``_in`` behind its name.
 """
 
 from __future__ import annotations
@@ -185,6 +186,10 @@ def remove_lines(docs: DataFrame, shingle: int = 5, percent: int = 80, min_words
 
     The remaining lines are joined by one \\n as before.
     """
+    return common.shielded(docs, ("doc_id", "text"), ("__n_lines", "__n_removed"), lambda d: _remove_lines(d, shingle, percent, min_words))
+
+
+def _remove_lines(docs: DataFrame, shingle: int, percent: int, min_words: int) -> DataFrame:
     gone = (removed_lines(docs, shingle, percent, min_words).groupBy("doc_id", "row")
             .agg(F.collect_set("line").alias("__lines")).withColumnsRenamed({"doc_id": "__doc", "row": "__row"}))
     gone = cut_lineage(gone)

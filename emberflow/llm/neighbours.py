@@ -20,7 +20,8 @@ Defined cases: vectors that are null, zero, or hold a null or non-finite
 component take no part, nor those of another than the most common length (the
 larger of equally common ones); null vec_ids take no part; equal repeated rows
 count once; a query's own vec_id is never its result; ties go to the smaller
-vec_id; fewer candidates than k give all; empty tables give an empty result.
+vec_id; fewer candidates than k give all; empty tables give an empty result; further
+columns, whatever their names, play no part.
 """
 
 from __future__ import annotations

@@ -19,7 +19,8 @@ Steps, all over the whole table:
 
 Defined cases: null text = empty; empty sets form no class; repeated rows are
 copies of a class; null doc_id takes part as a row but names no component;
-empty tables give empty results; further columns of ``docs`` are not touched.
+empty tables give empty results; further columns of ``docs`` are not touched,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -264,6 +265,10 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -
 
     A row without doc_id goes if its component has a doc_id, else it stays.
     """
+    return common.shielded(docs, ("doc_id", "text"), (), lambda d: _drop_near_duplicates(d, shingle, percent))
+
+
+def _drop_near_duplicates(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     found = jaccard_components(docs, shingle, percent)
     found = cut_lineage(found.groupBy("doc_id", "row").agg(F.count(F.lit(1)).alias("copies"), F.min("component_id").alias("component"), F.max("n_shingles").alias("n"))
                         .withColumn("gone", F.col("component").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("component")))

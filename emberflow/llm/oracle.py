@@ -28,6 +28,10 @@ SELECT r.conv_id, r.turn, 'result', r.call_id, 2 * c.level + 1,
        CASE WHEN c.call_id IS NULL THEN 'orphan' ELSE 'linked' END, TRUE, '',
        '{"content":' || CAST(to_json(content) AS VARCHAR) || ',"id":"' || r.call_id || '","role":"result"}'
 FROM results r LEFT JOIN checked c USING (call_id)
+UNION ALL
+SELECT conv_id, turn, 'message', NULL, NULL, 'plain', TRUE, '',
+       '{"content":' || coalesce(CAST(to_json(text) AS VARCHAR), 'null') || ',"role":' || coalesce(CAST(to_json(role) AS VARCHAR), 'null') || '}'
+FROM conversations WHERE role IS NULL OR role NOT IN ('user', 'assistant')
 """,
     "op5_exact_dedup": """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,

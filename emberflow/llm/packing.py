@@ -13,7 +13,8 @@ until no gap is left. Only the number of parts with gaps comes to the driver.
 
 Defined cases: null and empty texts are the closing id alone; repeated rows are
 packed each; null doc_id is an ordinary row; an empty table gives an empty
-result. Numbers of sequences have gaps.
+result; further columns of pieces stay (called sequence_id or offset, with ``_in``
+behind the name). Numbers of sequences have gaps.
 """
 
 from __future__ import annotations
@@ -176,6 +177,10 @@ def _pack_counts(counts: DataFrame, length: int, slots: bool) -> DataFrame:
 
 def pack(pieces: DataFrame, length: int = 1024, part_rows: int = 32768, rounds: int = 4) -> DataFrame:
     """``pieces`` (column ``length`` of 1 .. ``length``) with sequence_id and offset added."""
+    return common.shielded(pieces, ("length",), ("sequence_id", "offset"), lambda p: _pack(p, length, part_rows, rounds))
+
+
+def _pack(pieces: DataFrame, length: int, part_rows: int, rounds: int) -> DataFrame:
     if not 0 <= rounds <= 7:
         raise ValueError("rounds must be 0 to 7")
     keyed = cut_lineage(pieces).withColumn("__uid", F.monotonically_increasing_id())

@@ -17,7 +17,8 @@ Defined cases: null text = empty; an empty text has the score of its graded
 indicators; null doc_id is scored, never trained on, not held out; of several
 labels for one doc_id the highest counts; without training rows of both classes
 every score is the share of label 1 (0.5 without labels); an empty table gives
-an empty result.
+an empty result; further columns stay as they are, one called __score or
+__predicted gets ``_in`` behind its name.
 """
 
 from __future__ import annotations
@@ -196,6 +197,10 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = 6000, cost: float
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with __score (0 to 1) and __predicted (1 if the score is 0.5 or more) added."""
+    return common.shielded(docs, ("text",), ("__score", "__predicted"), lambda d: _score(d, model))
+
+
+def _score(docs: DataFrame, model: Model) -> DataFrame:
     columns = docs.columns
     at = columns.index("text")
 

@@ -84,10 +84,10 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bytes of all documents in 400-byte strings that start more than once, removed."""
+    """Bytes of all documents in 400-byte strings that start more than once, removed; ``text`` is what is left."""
     cut = suffix_dedup.remove_repeats(common.table(spark, sf_dir, "documents"), length=400)
     return cut.select("doc_id", F.col("__n_bytes").alias("n_bytes"), F.col("__n_removed").alias("n_removed"),
-                      F.col("__n_spans").alias("n_spans"), F.sha2("__kept", 256).alias("kept_sha256"))
+                      F.col("__n_spans").alias("n_spans"), F.sha2("__kept", 256).alias("kept_sha256"), F.col("__kept_text").alias("text"))
 
 
 QUERIES = {

@@ -30,7 +30,8 @@ is removed reaches from the first byte of the first word to the last of the last
 
 Defined cases: null text = empty; texts shorter than ``length`` are kept whole;
 repeated rows are copies of a text; null doc_id is an ordinary row; an empty
-table gives an empty result.
+table gives an empty result; further columns stay as they are, one called like an
+added column gets ``_in`` behind its name.
 """
 
 from __future__ import annotations
@@ -242,14 +243,22 @@ def _cut(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def remove_repeats(docs: DataFrame, length: int = 400, seed: int = 128, characters: bool = False, words: int | None = None) -> DataFrame:
-    """``docs`` with __kept (remaining bytes), __n_bytes, __n_removed and __n_spans added.
+#: Columns that ``remove_repeats`` adds.
+ADDED = ("__kept", "__kept_text", "__n_bytes", "__n_removed", "__n_spans")
 
-    With ``characters``, characters of which a byte was removed go whole from
-    __kept, so that it is valid UTF-8; the counts stay those of the bytes. With
-    ``words``, strings of so many words that start more than once go as well,
-    whatever their bytes; a copy of a text of as many words goes whole.
+
+def remove_repeats(docs: DataFrame, length: int = 400, seed: int = 128, words: int | None = None) -> DataFrame:
+    """``docs`` with __kept (remaining bytes), __kept_text, __n_bytes, __n_removed and __n_spans added.
+
+    __kept_text has the remaining bytes without the characters of which a byte
+    was removed; the counts are those of the bytes. With ``words``, strings of
+    so many words that start more than once go as well, whatever their bytes; a
+    copy of a text of as many words goes whole.
     """
+    return common.shielded(docs, ("doc_id", "text"), ADDED, lambda d: _remove_repeats(d, length, seed, words))
+
+
+def _remove_repeats(docs: DataFrame, length: int, seed: int, words: int | None) -> DataFrame:
     copies = text_copies(docs)
     spans = repeated_spans(docs, copies, length, seed).withColumnRenamed("spans", "__spans")
     if words:
@@ -271,7 +280,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, seed: int = 128, characte
     shape = [F.col(f"`{c}`") for c in columns]
 
     def whole(df: DataFrame) -> DataFrame:
-        return df.select(*shape, common.text_or_empty().cast("binary").alias("__kept"), size.alias("__n_bytes"),
+        return df.select(*shape, common.text_or_empty().cast("binary").alias("__kept"), common.text_or_empty().alias("__kept_text"), size.alias("__n_bytes"),
                          F.lit(0).cast("long").alias("__n_removed"), F.lit(0).cast("long").alias("__n_spans"))
 
     joined = based.where("__touched").join(marked, (t == F.col("__t")) & (m == F.col("__m")), "left")
@@ -280,7 +289,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, seed: int = 128, characte
         for batch in batches:
             names = batch.schema.names
             texts, bytes_, worded, alls = (batch.column(names.index(c)) for c in ("text", "__spans", "__words", "__all"))
-            kept, sizes, gone, runs = [], [], [], []
+            kept, shown, sizes, gone, runs = [], [], [], [], []
             for text, some, named, full in zip(texts, bytes_, worded, alls):
                 raw = (text.as_py() or "").encode()
                 at = [w.span() for w in _WORD.finditer(raw)] if words and (named.is_valid or full.as_py()) else []
@@ -293,12 +302,13 @@ def remove_repeats(docs: DataFrame, length: int = 400, seed: int = 128, characte
                 parts = [raw[a:b] for a, b in zip(edges[::2], edges[1::2])]
                 sizes.append(len(raw))
                 gone.append(len(raw) - sum(map(len, parts)))
-                kept.append(b"".join(p.decode("utf-8", "ignore").encode() for p in parts) if characters else b"".join(parts))
+                kept.append(b"".join(parts))
+                shown.append("".join(p.decode("utf-8", "ignore") for p in parts))
                 runs.append(len(cuts))
             keep = [names.index(c) for c in columns]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in keep), pa.array(kept, pa.binary()), pa.array(sizes, pa.int64()), pa.array(gone, pa.int64()), pa.array(runs, pa.int64())],
-                names=[*columns, "__kept", "__n_bytes", "__n_removed", "__n_spans"])
+                [*(batch.column(i) for i in keep), pa.array(kept, pa.binary()), pa.array(shown, pa.string()), pa.array(sizes, pa.int64()), pa.array(gone, pa.int64()), pa.array(runs, pa.int64())],
+                names=[*columns, *ADDED])
 
     out = whole(based.where("not __touched"))
     return out.unionByName(joined.drop("__t", "__m", "__touched").mapInArrow(cut, out.schema))

@@ -68,6 +68,35 @@ def kept_lines(rows, k=5, percent=80, min_words=1):
     return out
 
 
+def cut_passages(texts, length, n_words):
+    """Texts without strings of ``length`` bytes, or of ``n_words`` words, that start more than once; whole characters."""
+    raws = [(t or "").encode() for t in texts]
+    split = [[m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", raw)] for raw in raws]
+    at = [[(i, i + length) for i in range(len(raw) - length + 1)] + [(s[i][0], s[i + n_words - 1][1]) for i in range(len(s) - n_words + 1)]
+          for raw, s in zip(raws, split)]
+    names = [[raw[a:b] for a, b in spans[:max(0, len(raw) - length + 1)]] + [tuple(raw[a:b] for a, b in s[i:i + n_words]) for i in range(len(s) - n_words + 1)]
+             for raw, s, spans in zip(raws, split, at)]
+    seen = defaultdict(int)
+    for listed in names:
+        for name in listed:
+            seen[name] += 1
+    out = []
+    for raw, s, spans, listed in zip(raws, split, at, names):
+        gone = [raws.count(raw) > 1 and (len(raw) >= length or len(s) >= n_words)] * len(raw)
+        for (a, b), name in zip(spans, listed):
+            if seen[name] > 1:
+                gone[a:b] = [True] * (b - a)
+        kept, part = [], bytearray()
+        for byte, g in zip([*raw, 0], [*gone, True]):
+            if g:
+                kept.append(bytes(part).decode("utf-8", "ignore"))
+                part = bytearray()
+            else:
+                part.append(byte)
+        out.append("".join(kept))
+    return out
+
+
 def cut_repeats(texts, length):
     """[(kept bytes, removed, spans)] of texts without the strings that start more than once."""
     raws = [(t or "").encode() for t in texts]

@@ -144,8 +144,8 @@ def test_repeated_strings(spark, length, seed):
 
 def test_repeated_strings_whole_characters(spark):
     rows = [(1, "é" * 10 + "x" + "aé" * 30), (2, "ü" + "aé" * 30 + "z")]
-    for r in suffix_dedup.remove_repeats(frame(spark, rows), 21, 9, characters=True).collect():
-        bytes(r["__kept"]).decode()
+    for r in suffix_dedup.remove_repeats(frame(spark, rows), 21, 9).collect():
+        assert r["__kept_text"] == bytes(r["__kept"]).decode("utf-8", "ignore")
 
 
 def test_repeated_passages_of_words(spark):
@@ -167,7 +167,7 @@ def test_repeated_passages_of_words(spark):
                 if seen[tuple(t[a:b] for a, b in at[i:i + words])] > 1:
                     gone[at[i][0]:at[i + words - 1][1]] = [True] * (at[i + words - 1][1] - at[i][0])
             expected[d, t] = "".join(c for c, g in zip(t, gone) if not g)
-        out = suffix_dedup.remove_repeats(frame(spark, rows), 100000, characters=False, seed=99900, words=words).collect()
+        out = suffix_dedup.remove_repeats(frame(spark, rows), 100000, seed=99900, words=words).collect()
         assert len(out) == len(rows)
         for r in out:
             assert bytes(r["__kept"]).decode() == expected[r.doc_id, r.text or ""]
