@@ -8,6 +8,7 @@ rows are handled as the operators state it.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -22,22 +23,27 @@ SEQUENCE = 1024
 PASSAGE_WORDS = 51
 
 
-def _with_text(docs: DataFrame, like: DataFrame) -> DataFrame:
-    return docs.withColumn("n_chars", F.length("text").cast(like.schema["n_chars"].dataType)).select(like.columns)
+def _kept(docs: DataFrame, work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``work`` on ``docs`` with all their columns, whatever further ones are called; n_chars follows the text."""
+    def shaped(given: DataFrame) -> DataFrame:
+        out = work(given)
+        if "n_chars" in given.columns:
+            out = out.withColumn("n_chars", F.length("text").cast(given.schema["n_chars"].dataType))
+        return out.select(given.columns)
+    return common.shielded(docs, ("doc_id", "text", "n_chars"), (), shaped)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts (score of 0.5 or more)."""
     common.ship_package(spark)
     model = quality.train(docs, common.table(spark, sf_dir, "labels"))
-    return quality.score(docs, model).where("__predicted = 1").select(docs.columns)
+    return common.shielded(docs, ("doc_id", "text"), (), lambda d: quality.score(d, model).where("__predicted = 1").select(d.columns))
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines similar to an earlier one; those left without a word go."""
     common.ship_package(spark)
-    cut = line_dedup.remove_lines(docs)
-    return _with_text(cut.where(r"__n_removed = 0 or text rlike '[^ \\t-\\r]'"), docs)
+    return _kept(docs, lambda d: line_dedup.remove_lines(d).where(r"__n_removed = 0 or text rlike '[^ \\t-\\r]'"))
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,9 +55,13 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without repeated passages of over 50 words, or of 400 bytes; those left without a word go."""
     common.ship_package(spark)
-    cut = suffix_dedup.remove_repeats(docs, length=400, characters=True, words=PASSAGE_WORDS)
-    cut = cut.withColumn("text", F.when(F.col("__n_removed") > 0, F.col("__kept").cast("string")).otherwise(F.col("text")))
-    return _with_text(cut.where(r"__n_removed = 0 or text rlike '[^ \\t-\\r]'"), docs)
+
+    def cut(given: DataFrame) -> DataFrame:
+        out = suffix_dedup.remove_repeats(given, length=400, words=PASSAGE_WORDS)
+        out = out.withColumn("text", F.when(F.col("__n_removed") > 0, F.col("__kept_text")).otherwise(F.col("text")))
+        return out.where(r"__n_removed = 0 or text rlike '[^ \\t-\\r]'")
+
+    return _kept(docs, cut)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
