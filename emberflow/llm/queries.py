@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_format, common, exact_dedup, html_text, line_dedup, neighbours, ngram_join, packing, quality, suffix_dedup
+from . import bpe, chat_format, common, conversation_repair, exact_dedup, hard_negatives, html_text, language_id, line_dedup, neighbours, ngram_join, packing, quality, suffix_dedup
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,6 +90,26 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("__n_spans").alias("n_spans"), F.sha2("__kept", 256).alias("kept_sha256"), F.col("__kept_text").alias("text"))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = language_id.identify(docs.select("doc_id", "text"), language_id.train(docs))
+    return found.select("doc_id", language_id.held_out().alias("held_out"), F.col("__lang").alias("lang_pred"), F.col("__lang_score").alias("score"))
+
+
+def op12_hard_negative_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every vector whose vec_id is divisible by 100; every seventh label is moved on first."""
+    vectors = common.table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.select("vec_id", "embedding", label.alias("label")), F.col("vec_id") % 100 == 0)
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations after the damage, their faults and the cheapest edits that mend them."""
+    turns = common.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return conversation_repair.repair(conversation_repair.damage(turns), turns)
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_byte_level_bpe": op2_byte_level_bpe,
@@ -101,4 +121,7 @@ QUERIES = {
     "op8_html_extraction": op8_html_extraction,
     "op9_line_dedup": op9_line_dedup,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
+    "op11_language_id": op11_language_id,
+    "op12_hard_negative_mining": op12_hard_negative_mining,
+    "op13_conversation_repair": op13_conversation_repair,
 }
