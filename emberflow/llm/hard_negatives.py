@@ -31,8 +31,8 @@ non-finite component take no part, nor those of another than the most common
 length (the larger of equally common ones); equal rows count once, and of
 different rows with one vec_id the one with the smallest label and then vector
 takes part; without positives, or with an empty window (a negative p), an
-anchor has no rows; an inner product that cannot be kept exactly (2^53) raises an
-error; empty tables give an empty result; further columns, whatever their
+anchor has no rows; components so large that an inner product may reach 2^53,
+where doubles are not exact, raise an error; empty tables give an empty result; further columns, whatever their
 names, play no part.
 """
 
@@ -108,6 +108,8 @@ def _dimensions(rows: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray, np
 def _curve(rows: DataFrame, width: int) -> DataFrame:
     """``rows`` with ``place``, the place on the Hilbert curve."""
     variance, low, high = _dimensions(rows, width)
+    if (np.maximum(np.abs(low), np.abs(high)) ** 2).sum() >= 2.0**53:
+        raise ArithmeticError("components are too large for exact inner products")
     use = np.argsort(-variance, kind="stable")[:CURVE]
     scale = (1 << CURVE_BITS) / (high - low + 1)[use]
 
@@ -247,9 +249,6 @@ def _matches(block: list[np.ndarray], asks: list[dict]) -> Iterator[pa.RecordBat
     """What the anchors find in one block."""
     ids, labels, vectors = block
     scores = np.array([a["v"] for a in asks], np.float64) @ vectors.astype(np.float64).T
-    limit = np.abs(vectors).sum(axis=1, dtype=np.float64).max() * max(max(map(abs, a["v"])) for a in asks)
-    if limit >= 2.0**53 or len(scores) and np.abs(scores).max() >= 2.0**53:
-        raise ArithmeticError("an inner product is too large to be exact")
     out = []
     for a, score in zip(asks, scores.astype(np.int64)):
         fits = (labels == a["label"]) & (ids != a["anchor_id"]) if a["same"] else labels != a["label"]

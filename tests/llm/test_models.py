@@ -277,7 +277,7 @@ def test_neighbours_edges(spark):
 # queries and pipeline
 
 def test_every_operator_is_registered_and_reads_its_whole_table(spark):
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 def test_pipeline_stages(spark):
