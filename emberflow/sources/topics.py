@@ -18,24 +18,26 @@ from emberflow.functions.scalars import event_time_whole_seconds
 def read_topic(spark: SparkSession, topic: str, *, stream: bool = True,
                fmt: str = "kafka", path: str | None = None,
                bootstrap_servers: str | None = None, starting: str = "latest",
-               max_files_per_trigger: int | None = None) -> DataFrame:
+               max_files_per_trigger: int | None = None, options: dict | None = None) -> DataFrame:
     """Read a topic as ``topic STRING, value STRING``.
 
     ``fmt='kafka'`` needs the Kafka connector and ``bootstrap_servers``; the
     record's ``partition``, offset (``seq``: a position within its partition)
-    and ``timestamp`` come along. ``fmt='text'`` reads one record per line from
+    and ``timestamp`` come along. ``options`` go to the source as they are (they
+    win over ``starting``). ``fmt='text'`` reads one record per line from
     ``path`` (a folder the producer drops files into).
     """
     reader = spark.readStream if stream else spark.read
     if fmt == "kafka":
         r = (reader.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers)
              .option("subscribe", topic))
-        r = r.option("startingOffsets", starting)
+        r = r.options(**{"startingOffsets": starting, **(options or {})})
         df = r.load()
         return df.select("topic", F.col("value").cast("string").alias("value"),
                          F.col("offset").alias("seq"), F.col("partition"), F.col("timestamp"))
     if fmt == "text":
         r = reader.format("text")
+        r = r.options(**(options or {}))
         if stream and max_files_per_trigger:
             r = r.option("maxFilesPerTrigger", max_files_per_trigger)
         return r.load(path).select(F.lit(topic).alias("topic"), "value")
@@ -44,10 +46,10 @@ def read_topic(spark: SparkSession, topic: str, *, stream: bool = True,
 
 def write_topic(df: DataFrame, topic: str, *, fmt: str = "kafka",
                 bootstrap_servers: str | None = None, path: str | None = None,
-                checkpoint: str | None = None, trigger: dict | None = None):
-    """Write rows as JSON strings to a topic (streaming ``df``)."""
+                checkpoint: str | None = None, trigger: dict | None = None, options: dict | None = None):
+    """Write rows as JSON strings to a topic (streaming ``df``); ``options`` go to the sink."""
     payload = df.select(F.to_json(F.struct(*df.columns)).alias("value"))
-    w = payload.writeStream
+    w = payload.writeStream.options(**(options or {}))
     if checkpoint:
         w = w.option("checkpointLocation", checkpoint)
     if trigger:

@@ -97,7 +97,7 @@ def write_log_split(batch: DataFrame, out_root: str, batch_id: int, run: str = "
         pages = logs.split_page(batch)
         for name, rows in (("dwd_start_log", logs.split_start(batch)), ("dwd_page_log", pages),
                            ("dwd_display_log", logs.split_display(pages))):
-            rows.write.mode("overwrite").json(sinks.batch_folder(f"{out_root}/{name}", run, batch_id))
+            sinks.commit_batch(rows.sparkSession, f"{out_root}/{name}", run, batch_id, rows.write.json)
     finally:
         batch.unpersist()
 

@@ -1,7 +1,11 @@
 """Sinks. Stream writes go through ``foreachBatch`` into folders named by the
-query's id and the batch id: a micro-batch replayed after a failure overwrites
-exactly its own output, and a query with a fresh checkpoint writes beside the
-earlier one's (exactly-once files on top of Spark's at-least-once batches)."""
+query's id and the batch id. A batch is written into a hidden folder and moved
+to its own in one step: readers, streams too, see all of it or nothing, and a
+batch that is replayed after its folder is there is not written again. So files
+are exactly-once on top of Spark's at-least-once batches, for readers that have
+read a batch already as well. A query with a fresh checkpoint writes beside the
+earlier one's. (The step is atomic where the file system renames folders
+atomically, as HDFS and local disks do.)"""
 
 from __future__ import annotations
 
@@ -11,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberflow.operators import cdc
+from emberflow.sources import files
 from emberflow.streaming import dim_store
 
 
@@ -18,13 +23,28 @@ def batch_folder(root: str, run: str, batch_id: int) -> str:
     return f"{root.rstrip('/')}/run={run}/batch_id={batch_id}"
 
 
+def commit_batch(spark: SparkSession, root: str, run: str, batch_id: int, write: Callable[[str], None]) -> bool:
+    """Let ``write(folder)`` make a batch's folder, once; False if it was there already.
+
+    The hidden folder of an attempt that failed is replaced.
+    """
+    target = batch_folder(root, run, batch_id)
+    if files.exists(spark, target):
+        return False
+    hidden = batch_folder(f"{root.rstrip('/')}/_attempts", run, batch_id)
+    files.delete(spark, hidden)
+    write(hidden)
+    files.move(spark, hidden, target)
+    return True
+
+
 def write_report(df: DataFrame, path: str | None, columns: list[str], batch_id: int | None = None,
                  fmt: str = "parquet", options: dict | None = None, run: str = "batch",
                  batch_column: str | None = None) -> None:
     """Positional report insert: columns in contract order, accumulator
     (transient) columns left out by the explicit ``select``.
 
-    Files of a batch go to its folder and replace a failed attempt. A database
+    Files of a batch go to its folder once. A database
     (``fmt='jdbc'``) is appended to, ``batchsize`` rows a statement; it cannot
     undo a replayed batch, so ``batch_column`` names a column that gets
     ``run/batch`` for a key or a clean-up there.
@@ -35,8 +55,11 @@ def write_report(df: DataFrame, path: str | None, columns: list[str], batch_id:
             out = out.withColumn(batch_column, F.lit(f"{run}/{batch_id}"))
         out.write.format(fmt).mode("append").options(**{"batchsize": "1000", **(options or {})}).save()
         return
-    target = path if batch_id is None else batch_folder(path, run, batch_id)
-    out.write.mode("append" if batch_id is None else "overwrite").format(fmt).options(**(options or {})).save(target)
+    writer = out.write.format(fmt).options(**(options or {}))
+    if batch_id is None:
+        writer.mode("append").save(path)
+    else:
+        commit_batch(df.sparkSession, path, run, batch_id, writer.save)
 
 
 def foreach_batch(df: DataFrame, write: Callable[[DataFrame, int, str], None], checkpoint: str,
@@ -65,8 +88,11 @@ def write_topic_per_row(df: DataFrame, path: str, batch_id: int | None = None, r
     if fmt == "kafka":
         df.select(F.col("sink_table").alias("topic"), payload).write.format("kafka").options(**(options or {})).save()
         return
-    target = path if batch_id is None else batch_folder(path, run, batch_id)
-    df.select("sink_table", payload).write.mode("overwrite").partitionBy("sink_table").text(target)
+    writer = df.select("sink_table", payload).write.partitionBy("sink_table")
+    if batch_id is None:
+        writer.mode("overwrite").text(path)
+    else:
+        commit_batch(df.sparkSession, path, run, batch_id, writer.text)
 
 
 def route_batch(spark: SparkSession, envelopes: DataFrame, config: DataFrame, out_root: str,
@@ -83,14 +109,17 @@ def route_batch(spark: SparkSession, envelopes: DataFrame, config: DataFrame, ou
         write_topic_per_row(facts, f"{out_root}/topics", batch_id, run)
         # config rows are a handful per table
         tables = (cdc.current_config(config).filter(F.col("sink_type") == "hbase").groupBy("sink_table")
-                  .agg(F.max("sink_pk").alias("pk"), F.collect_set("sink_columns").alias("lists")).collect())
+                  .agg(F.collect_set(F.coalesce("sink_pk", F.lit("id"))).alias("keys"), F.max("sink_extend").alias("extend"),
+                       F.collect_set("sink_columns").alias("lists")).collect())
         for row in tables:
-            root, pk = f"{out_root}/dims/{row['sink_table']}", row["pk"] or "id"
+            if len(row["keys"]) > 1:
+                raise ValueError(f"routes to {row['sink_table']} name different keys: {sorted(row['keys'])}")
+            root, pk = f"{out_root}/dims/{row['sink_table']}", row["keys"][0]
             columns = sorted({c for names in row["lists"] for c in names.split(",")})
-            dim_store.create_dim(spark, root, columns, pk)
+            dim_store.create_dim(spark, root, columns, pk, row["extend"])
             dim_store.write_segment(spark, dims.filter(F.col("sink_table") == row["sink_table"]), root, pk, run, batch_id)
-        cdc.route_unmatched(cdc.cdc_drop_deletes(batch), config).write.mode("overwrite").json(
-            batch_folder(f"{out_root}/unrouted", run, batch_id))
+        unrouted = cdc.route_unmatched(cdc.cdc_drop_deletes(batch), config)
+        commit_batch(spark, f"{out_root}/unrouted", run, batch_id, unrouted.write.json)
     finally:
         batch.unpersist()
 

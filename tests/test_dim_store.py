@@ -56,17 +56,15 @@ def test_fresh_checkpoint_comes_after_and_replay_overwrites(spark, tmpdir_path):
     assert table(spark, root) == expected
     dim_store.write_segment(spark, changes(spark, [(0, {"id": "1", "v": "b0"}), (0, {"id": "2", "v": "new"})]), root, "id", "second", 0)
     assert table(spark, root) == expected
-    assert len([f for f in os.listdir(root) if f.startswith("version=")]) == 4
+    assert len(dim_store.table(spark, root).current().segments) == 4
     dim_store.write_segment(spark, changes(spark, [(0, {"id": "1", "v": "a1"})]), root, "id", "first", 1)  # a replay of an old batch
     assert table(spark, root) == expected
-    dim_store.compact(spark, root, root + "-compact")
-    assert table(spark, root + "-compact") == expected
 
 
 def test_unreadable_file_raises(spark, tmpdir_path):
     root = os.path.join(tmpdir_path, "dim")
     dim_store.write_segment(spark, changes(spark, [(1, {"id": "1", "v": "a"})]), root, "id", "q", 0)
-    folder = os.path.join(root, "version=1", "run=q", "batch=0")
+    folder = os.path.join(root, dim_store.table(spark, root).current().segments[0]["path"])
     part = next(f for f in os.listdir(folder) if f.startswith("part"))
     with open(os.path.join(folder, part), "wb") as f:
         f.write(b"no parquet at all, but long enough to be read")
@@ -74,6 +72,161 @@ def test_unreadable_file_raises(spark, tmpdir_path):
         dim_store.read_dim(spark, root).collect()
 
 
+def test_files_and_segments_stay_few_over_many_batches(spark, tmpdir_path):
+    """Many batches of the same keys: the live segments grow with the logarithm, replaced ones are deleted."""
+    root = os.path.join(tmpdir_path, "dim")
+    most = 0
+    for batch in range(40):
+        rows = [(batch, {"id": str(i), "v": f"{batch}"}) for i in range(batch % 5, 20, 5)]
+        dim_store.write_segment(spark, changes(spark, rows).coalesce(1), root, "id", "q", batch, ratio=3, keep=2)
+        now = dim_store.table(spark, root).current()
+        most = max(most, len(now.segments))
+        assert all(sum(s["level"] == level for s in now.segments) < 3 for level in range(6))
+    assert most <= 2 * 4 and len(os.listdir(os.path.join(root, "segments"))) <= most + 3 * 2
+    assert len([f for f in os.listdir(os.path.join(root, "_manifest")) if f.endswith(".json")]) <= 2
+    assert table(spark, root) == {row(ID=str(i), V=str(35 + i % 5)) for i in range(20)}
+
+
+@pytest.mark.parametrize("point", ["batch", "merge"])
+def test_crash_between_write_and_switch(spark, tmpdir_path, monkeypatch, point):
+    root = os.path.join(tmpdir_path, "dim")
+    put = lambda n: dim_store.write_segment(spark, changes(spark, [(n, {"id": str(n % 2), "v": f"v{n}"})]), root, "id", "q", n, ratio=3)
+    put(0)
+    put(1)
+    before = table(spark, root)
+    commits, real = [], dim_store.SegmentTable.commit
+
+    def commit(self, manifest):
+        commits.append(manifest.version)
+        if len(commits) == (1 if point == "batch" else 2):
+            raise OSError("the driver is lost")
+        return real(self, manifest)
+
+    monkeypatch.setattr(dim_store.SegmentTable, "commit", commit)
+    with pytest.raises(OSError):
+        put(2)
+    monkeypatch.undo()
+    after = {row(ID="0", V="v2"), row(ID="1", V="v1")}
+    assert table(spark, root) == (before if point == "batch" else after)
+    put(2)  # the replay
+    put(3)
+    assert table(spark, root) == {row(ID="0", V="v2"), row(ID="1", V="v3")}
+    levels = sorted(s["level"] for s in dim_store.table(spark, root).current().segments)
+    assert levels == [0, 1] if point == "batch" else levels == [1]
+
+
+def files_read(df):
+    """Rows, and files that the scans of ``df`` opened."""
+    rows = df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    scans = [leaves.apply(i) for i in range(leaves.size())]
+    return rows, sum(s.metrics().get("numFiles").get().value() for s in scans if "Scan" in s.nodeName())
+
+
+def test_lookup_reads_the_buckets_of_its_keys_only(spark, tmpdir_path):
+    root = os.path.join(tmpdir_path, "dim")
+    every = spark.range(20000).select(F.col("id").alias("seq"), F.create_map(F.lit("id"), F.col("id").cast("string"), F.lit("name"), F.concat(F.lit("n"), "id")).alias("after"))
+    for batch in range(2):
+        dim_store.write_segment(spark, every.where(f"seq % 2 = {batch}"), root, "id", "q", batch, ratio=2)
+    assert [s["level"] for s in dim_store.table(spark, root).current().segments] == [1]
+    dim_store.write_segment(spark, changes(spark, [(1, {"id": "7", "name": "new"})]), root, "id", "q", 2, ratio=2)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        keys = spark.createDataFrame([(7,), (7,), (11111,), (-1,), (None,)], "k long")
+        found = dim_store.lookup(spark, root, keys, ["ID", "NAME", "OTHER"])
+        rows, opened = files_read(found)
+        assert sorted(tuple(r) for r in rows) == [("11111", "n11111", None), ("7", "new", None)]
+        assert opened <= 3 + 1  # one file for each key's bucket, and the last batch
+        assert files_read(dim_store.read_dim(spark, root))[1] >= 64
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [bucket" in plan
+        assert "In(pk" in plan
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    many = dim_store.lookup(spark, root, spark.range(3000).toDF("k"), ["ID", "NAME"])
+    assert many.count() == 3000 and {r.NAME for r in many.where("ID in ('7', '8')").collect()} == {"new", "n8"}
+
+
+def test_lookups_before_a_dimension_exists_give_nulls(spark, tmpdir_path):
+    names = {k: k for k in ("user", "province", "sku", "spu", "tm", "category3")}
+    stored = warehouse.stored_dims(os.path.join(tmpdir_path, "dims"), names)
+    merged = catalog.merged_orders(spark, "/root/testdata/sf0.001").limit(50).cache()
+    plain = wide.order_wide_lookups(merged, stored(spark), catalog.as_of())
+    batch = wide.order_wide_lookups(merged, stored.for_batch(merged), catalog.as_of())
+    assert batch.count() == plain.count() == 50
+    assert batch.where("user_gender is not null or province_name is not null or spu_name is not null or tm_name is not null").count() == 0
+
+
+def test_stored_lookups_equal_whole_tables(spark, tmpdir_path):
+    d, root = "/root/testdata/sf0.001", os.path.join(tmpdir_path, "dims")
+    inp = catalog.Inputs(spark, d)
+    names = {k: k for k in ("user", "province", "sku", "spu", "tm", "category3")}
+    for k in names:
+        cols = [F.lit(x) for c in inp.dims()[k].columns for x in (c,)]
+        pairs = [x for c, n in zip(inp.dims()[k].columns, cols) for x in (n, F.col(c).cast("string"))]
+        rows = inp.dims()[k].select(F.lit(1).cast("long").alias("seq"), F.create_map(*pairs).alias("after"))
+        dim_store.write_segment(spark, rows, f"{root}/{k}", "ID", "q", 0)
+    merged = inp.merged_orders().where("order_id % 50 = 0").cache()
+    stored = warehouse.stored_dims(root, names)
+    show = lambda df: sorted(map(str, df.drop("detail_id").collect()))
+    want = show(wide.order_wide_lookups(merged, {k: v for k, v in inp.dims().items() if k != "product"}, catalog.as_of()))
+    assert show(wide.order_wide_lookups(merged, stored.for_batch(merged), catalog.as_of())) == want != []
+
+
+def test_keys_of_a_table_cannot_change(spark, tmpdir_path):
+    root = os.path.join(tmpdir_path, "dim")
+    dim_store.create_dim(spark, root, ["id", "name"], "id", "SALT_BUCKETS = 7")
+    assert dim_store.table(spark, root).current().buckets == 7
+    with pytest.raises(ValueError):
+        dim_store.create_dim(spark, root, ["code"], "code")
+    with pytest.raises(ValueError):
+        dim_store.write_segment(spark, changes(spark, [(1, {"code": "1"})]), root, "code", "q", 0)
+    config = spark.createDataFrame([("a", "insert", "hbase", "dim_a", "id,name", "id", None, 1), ("b", "insert", "hbase", "dim_a", "code,name", "code", None, 1)], S.TABLE_PROCESS)
+    none = spark.createDataFrame([], "database string, tableName string, before map<string,string>, after map<string,string>, type string, ts_ms long, seq long")
+    with pytest.raises(ValueError, match="different keys"):
+        sinks.route_batch(spark, none, config, tmpdir_path, 0, "q")
+
+
+def test_replayed_batch_is_read_once(spark, tmpdir_path):
+    """A stream that has read a batch of a topic does not read it again when the batch is replayed."""
+    topic, ck, out = (os.path.join(tmpdir_path, x) for x in ("topic", "ck", "out"))
+    shape = "a int, b string"
+    rows = spark.createDataFrame([(1, "x"), (2, "y")], shape)
+    t = warehouse.Topic.of(topic)
+    t.write_batch(rows, 0, "q")
+
+    def read():
+        stream = warehouse.Topic.of(topic).read(spark, rows.schema)
+        warehouse.Topic.of(out).start(stream, ck, {"availableNow": True}).awaitTermination(300)
+        return sorted(tuple(r) for r in spark.read.schema(shape).json(out).collect())
+
+    assert read() == [(1, "x"), (2, "y")]
+    t.write_batch(rows, 0, "q")  # the replay
+
+    def broken(folder):
+        rows.write.json(folder)
+        raise OSError("lost while writing")
+
+    with pytest.raises(OSError):
+        sinks.commit_batch(spark, topic, "q", 1, broken)
+    assert read() == [(1, "x"), (2, "y")]  # half a batch is not there
+    t.write_batch(spark.createDataFrame([(3, "z")], shape), 1, "q")
+    assert read() == [(1, "x"), (2, "y"), (3, "z")]
+
+
+def test_topic_carries_record_time_and_options(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "t")
+    spark.createDataFrame([(1,)], "a int").write.json(path)
+    topic = warehouse.Topic(path=path, record_time="rec")
+    stream = topic.read(spark, spark.createDataFrame([], "a int").schema)
+    assert stream.columns == ["a", "rec"]
+    raw = spark.createDataFrame([('{"a": 1, "b": "x"}', None, 3, 9), ("no json", None, 0, 1)], "value string, timestamp timestamp, partition int, seq long")
+    kafka = warehouse.Topic(name="n", servers="s", options={"kafka.security.protocol": "SSL", "startingOffsets": "earliest"}, record_time="rec", offsets=True)
+    got = kafka.parsed(raw, spark.createDataFrame([], "a int, b string").schema)
+    assert got.columns == ["a", "b", "rec", "topic_partition", "topic_offset"]
+    assert sorted(map(tuple, got.collect()), key=str) == [(1, "x", None, 3, 9), (None, None, None, 0, 1)]
+
+
 def test_two_routes_feed_one_table(spark, tmpdir_path):
     config = spark.createDataFrame([
         ("user_info", "insert", "hbase", "dim_user", "id,name,gender", None, None, 1),
@@ -104,7 +257,7 @@ def test_reports_of_two_checkpoints_stand_side_by_side(spark, tmpdir_path):
     for ck in ("ck1", "ck2", "ck2"):
         stream = spark.readStream.schema("a int, b string").json(src)
         sinks.report_stream(stream, out, ["b", "a"], os.path.join(tmpdir_path, ck), {"availableNow": True}, fmt="json").awaitTermination(300)
-    assert spark.read.json(out).count() == 2 and len(os.listdir(out)) == 2
+    assert spark.read.json(out).count() == 2 and len([f for f in os.listdir(out) if f.startswith("run=")]) == 2
 
 
 def test_running_job_sees_a_dimension_change(spark, tmpdir_path):
