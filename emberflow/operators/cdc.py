@@ -103,7 +103,44 @@ def route_join(envelopes: DataFrame, config: DataFrame) -> DataFrame:
         "inner").drop("source_table", "operate_type")
 
 
+def config_from_changes(envelopes: DataFrame, table: str = "table_process") -> DataFrame:
+    """Configuration rows from the change records of their table, with
+    ``effective_ms``, the time of the change. A deleted row keeps its route's
+    key with no sink, so later records of that key have no route."""
+    image = F.when(F.col("type") == "delete", F.col("before")).otherwise(F.col("after"))
+    rows = envelopes.filter(F.col("tableName") == table).select("type", "ts_ms", image.alias("image"))
+    out = []
+    for f in S.TABLE_PROCESS.fields:
+        value = F.col("image")[f.name].cast(f.dataType)
+        out.append((F.when(F.col("type") != "delete", value) if f.name.startswith("sink") else value).alias(f.name))
+    return rows.select(*out, F.col("ts_ms").alias("effective_ms"))
+
+
+def route_join_as_of(envelopes: DataFrame, config_log: DataFrame, at: str = "ts_ms") -> DataFrame:
+    """``route_join`` by the configuration as it was at each record's ``at``.
+
+    ``config_log`` has every version of a route with its ``effective_ms``; the
+    last one not after the record counts (of equal times the highest version).
+    So a record is routed in the same way whenever it is processed: late, again
+    after a failure, or in a backfill. A key's versions are one sorted array on
+    the broadcast side (as many as it was configured times), so no row is
+    joined to several.
+    """
+    fields = [c for c in config_log.columns if c not in ("source_table", "operate_type", "effective_ms")]
+    version = F.struct("effective_ms", *(["version"] if "version" in fields else []), F.struct(*fields).alias("c"))
+    history = config_log.groupBy("source_table", "operate_type").agg(F.sort_array(F.collect_set(version)).alias("_versions"))
+    joined = envelopes.join(F.broadcast(history), (F.col("tableName") == F.col("source_table")) & (F.col("type") == F.col("operate_type")), "inner")
+    known = F.filter("_versions", lambda v: v["effective_ms"] <= F.col(at))
+    routed = joined.withColumn("_c", F.when(F.size(known) > 0, F.element_at(known, -1)["c"]))
+    return (routed.where("_c.sink_type is not null").select(*envelopes.columns, *[F.col(f"_c.{c}").alias(c) for c in fields]))
+
+
 def route_unmatched(envelopes: DataFrame, config: DataFrame) -> DataFrame:
+    if "effective_ms" in config.columns:
+        every = config.groupBy("source_table", "operate_type").agg(F.sort_array(F.collect_set(F.struct("effective_ms", "version", "sink_type"))).alias("_v"))
+        joined = envelopes.join(F.broadcast(every), (F.col("tableName") == F.col("source_table")) & (F.col("type") == F.col("operate_type")), "left")
+        known = F.filter("_v", lambda v: v["effective_ms"] <= F.col("ts_ms"))
+        return joined.where(F.when(F.size(known) > 0, F.element_at(known, -1)["sink_type"]).isNull()).select(*envelopes.columns)
     cfg = current_config(config).select("source_table", "operate_type")
     return envelopes.join(
         F.broadcast(cfg),
@@ -124,8 +161,10 @@ def route_branch(routed: DataFrame, sink_type: str) -> DataFrame:
 
 def route(envelopes: DataFrame, config: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Full routing: drop deletes, match config, prune, split into
-    ``(facts, dims)``."""
-    routed = route_columns(route_join(cdc_drop_deletes(envelopes), config))
+    ``(facts, dims)``. A configuration with ``effective_ms`` is a log of its
+    versions and is read as of each record's time."""
+    join = route_join_as_of if "effective_ms" in config.columns else route_join
+    routed = route_columns(join(cdc_drop_deletes(envelopes), config))
     return route_branch(routed, S.SINK_TYPE_KAFKA), route_branch(routed, S.SINK_TYPE_HBASE)
 
 

@@ -80,6 +80,13 @@ def union_visitor(uv_rows: DataFrame, uj_rows: DataFrame, page_rows: DataFrame)
             .unionByName(visitor_pv_metric(page_rows)))
 
 
+def visitor_metrics(flagged_pages: DataFrame) -> DataFrame:
+    """The rows of ``union_visitor``, those of one page row added up, from ``visits.visit_flags``."""
+    sv = F.when(is_entry_page("page.last_page_id"), 1).otherwise(0)
+    return _visitor_row(flagged_pages, F.col("uv").cast("int"), F.lit(1), sv, F.col("uj").cast("int"),
+                        F.coalesce(F.col("page.during_time"), _zero_l()))
+
+
 def visitor_stats(metric_rows: DataFrame, delay: str | None = "11 seconds") -> DataFrame:
     """Sum of the five counters per (10 s window, vc, ch, ar, is_new).
 
@@ -129,6 +136,18 @@ def page_display_metric(page_rows: DataFrame) -> DataFrame:
     return _product_row(d, F.col("d.item"), F.col("ts"), display_ct=F.lit(1))
 
 
+def page_metrics(page_rows: DataFrame) -> DataFrame:
+    """``page_click_metric`` and ``page_display_metric`` in one pass over the pages."""
+    def hit(item: Column, click: int) -> Column:
+        return F.struct(item.alias("item"), F.lit(click).alias("click"))
+    clicked = (F.col("page.page_id") == "good_detail") & (F.col("page.item_type") == "sku_id")
+    shown = F.transform(F.filter("displays", lambda d: d["item_type"] == "sku_id"), lambda d: hit(d["item"], 0))
+    none = F.array().cast("array<struct<item:string,click:int>>")
+    hits = F.concat(F.when(clicked, F.array(hit(F.col("page.item"), 1))).otherwise(none), F.coalesce(shown, none))
+    rows = page_rows.select(F.explode(hits).alias("h"), "ts")
+    return _product_row(rows, F.col("h.item"), F.col("ts"), click_ct=F.col("h.click"), display_ct=1 - F.col("h.click"))
+
+
 def favor_metric(favor_info: DataFrame) -> DataFrame:
     return _product_row(favor_info, F.col("sku_id"), _ts_of_time_text("create_time"),
                         favor_ct=F.lit(1))

@@ -149,7 +149,7 @@ def product_metric_frames(spark, d, inp: Inputs | None = None):
     # click / display counts read no visitor flag: the page split alone is
     # enough (the repaired and unrepaired page rows give the same metrics)
     pr = logs.split_page(FX.page_log_rows(spark, d))
-    return [stats.page_click_metric(pr), stats.page_display_metric(pr),
+    return [stats.page_metrics(pr),
             stats.favor_metric(FX.favor_info(spark, d)), stats.cart_metric(FX.cart_info(spark, d)),
             # metrics read no dimension column; the lookups are left joins on
             # unique keys, so the un-enriched lines give the same rows
@@ -281,7 +281,7 @@ def q_union_visitor(spark, d):
 
 
 def q_visitor_stats(spark, d):
-    return stats.visitor_stats(stats.union_visitor(*_visitor_inputs(spark, d)))
+    return stats.visitor_stats(stats.visitor_metrics(visits.visit_flags(FX.page_log_rows(spark, d), JUMP_WITHIN_MS)))
 
 
 def q_tumbling_10s(spark, d):

@@ -19,6 +19,9 @@ from emberflow.streaming import sinks
 from emberflow.streaming.processors import (COLS, PAYLOAD_ROW, STREAM_PAGE, IsNewRepair,
                                             JumpDetail, UniqueVisit)
 
+#: Begins the keys under which dirty lines pass the keyed state; no visitor id has a control character.
+DIRTY_KEY = "\x00dirty-"
+
 
 def flat_page_rows(page_logs: DataFrame) -> DataFrame:
     """Page-log structs -> the flat row the stateful operators use."""
@@ -49,12 +52,15 @@ def repair_is_new_stream(flat: DataFrame) -> DataFrame:
         IsNewRepair(), STREAM_PAGE, "append", "None")
 
 
-def unique_visit_stream(flat_pages: DataFrame, tz: str | None = None) -> DataFrame:
-    """Stream form of ``visits.unique_visit`` (last emitted date, 24 h TTL).
-    Days are local to ``tz`` (default: the session time zone)."""
+def unique_visit_stream(flat_pages: DataFrame, tz: str | None = None, delay: str = "1 second") -> DataFrame:
+    """Stream form of ``visits.unique_visit`` (last emitted date, kept until 24 h
+    of event time after it was written). Days are local to ``tz`` (default: the
+    session time zone); rows later than ``delay`` are dropped."""
     tz = tz or flat_pages.sparkSession.conf.get("spark.sql.session.timeZone")
-    return flat_pages.select(*COLS).groupBy("mid").transformWithStateInPandas(
-        UniqueVisit(tz), STREAM_PAGE, "append", "ProcessingTime")
+    src = (flat_pages.select(*COLS).withColumn("rt", F.timestamp_millis("ts"))
+           .withWatermark("rt", delay))
+    return src.groupBy("mid").transformWithStateInPandas(
+        UniqueVisit(tz), STREAM_PAGE, "append", "EventTime")
 
 
 def jump_detail_stream(flat_pages: DataFrame, within_ms: int = 10_000, times: int = 2,
@@ -83,8 +89,13 @@ def repair_log_rows_stream(clean_rows: DataFrame) -> DataFrame:
         F.to_json(F.struct("common", "page", "displays", "start", "ts")).alias("payload"))
     fixed = payload.groupBy("mid").transformWithStateInPandas(
         IsNewRepair([f.name for f in PAYLOAD_ROW.fields]), PAYLOAD_ROW, "append", "None")
+    return log_rows(fixed)
+
+
+def log_rows(fixed: DataFrame) -> DataFrame:
+    """Log rows rebuilt from their JSON text and the repaired flag."""
     r = F.from_json("payload", S.PAGE_LOG)
-    return fixed.select("seq", "is_new", r.alias("r")).select(
+    return fixed.select("seq", "is_new", F.inline(F.array(F.struct(r.alias("r"))))).select(
         "seq", F.col("r.common").withField("is_new", F.col("is_new")).alias("common"),
         "r.page", "r.displays", "r.start", "r.ts")
 
@@ -102,16 +113,37 @@ def write_log_split(batch: DataFrame, out_root: str, batch_id: int, run: str = "
         batch.unpersist()
 
 
+def tagged_log_stream(raw: DataFrame, salts: int = 64) -> DataFrame:
+    """Every line of a stream ``(seq, value)``, parsed once: dirty lines as they
+    are (``value``), the others with the repaired flag (``payload``).
+
+    Dirty lines belong to no visitor; they pass under ``salts`` keys of their
+    own, which hold no state.
+    """
+    parsed = logs.parse_log(raw)
+    # dirty lines go through the keyed state untouched, spread over some keys
+    mid = F.when(F.col("is_dirty"), F.concat(F.lit(DIRTY_KEY), F.pmod(F.xxhash64("seq"), F.lit(salts)).cast("string"))).otherwise(F.col("common.mid"))
+    payload = F.when(F.col("is_dirty"), F.col("_line")).otherwise(F.to_json(F.struct("common", "page", "displays", "start", "ts")))
+    rows = parsed.select(mid.alias("mid"), "seq", F.when(F.col("is_dirty"), F.lit(0).cast("bigint")).otherwise(F.col("ts")).alias("ts"), F.when(~F.col("is_dirty"), F.col("common.is_new")).alias("is_new"), payload.alias("payload"))
+    return rows.groupBy("mid").transformWithStateInPandas(IsNewRepair([f.name for f in PAYLOAD_ROW.fields]), PAYLOAD_ROW, "append", "None")
+
+
+def write_tagged(batch: DataFrame, out_root: str, batch_id: int, run: str = "batch") -> None:
+    """One micro-batch of tagged lines -> dirty / start / page / display outputs."""
+    batch.persist()
+    try:
+        dirty = F.coalesce(F.col("mid").startswith(DIRTY_KEY), F.lit(False))
+        lines = batch.where(dirty).select("seq", F.col("payload").alias("value"))
+        sinks.commit_batch(batch.sparkSession, f"{out_root}/dirty", run, batch_id, lines.write.json)
+        write_log_split(log_rows(batch.where(~dirty)), out_root, batch_id, run)
+    finally:
+        batch.unpersist()
+
+
 def log_stage_stream(raw: DataFrame, out_root: str, checkpoint_root: str,
                      trigger: dict | None = None) -> list:
     """The whole log stage on a stream of ``(seq, value)`` lines: dirty lines
-    to their own output, the rest repaired (keyed state) and split three ways.
-    Returns the two running queries."""
-    parsed = logs.parse_log(raw)
-    dirty = (logs.dirty_lines(parsed).writeStream.format("json")
-             .option("path", os.path.join(out_root, "dirty"))
-             .option("checkpointLocation", os.path.join(checkpoint_root, "dirty")))
-    repaired = repair_log_rows_stream(logs.clean_rows(parsed))
-    split = sinks.foreach_batch(repaired, lambda b, i, run: write_log_split(b, out_root, i, run),
-                                os.path.join(checkpoint_root, "split"), trigger)
-    return [(dirty.trigger(**trigger) if trigger else dirty).start(), split]
+    to their own output, the rest repaired (keyed state) and split three ways,
+    by one query that reads and parses every line once."""
+    return [sinks.foreach_batch(tagged_log_stream(raw), lambda b, i, run: write_tagged(b, out_root, i, run),
+                                os.path.join(checkpoint_root, "split"), trigger)]

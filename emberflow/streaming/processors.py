@@ -83,14 +83,15 @@ class IsNewRepair(StatefulProcessor):
 
 class UniqueVisit(StatefulProcessor):
     """Emit an entry page when its local date differs from the visitor's last
-    emitted date. The date state lives 24 h after its last write (TTL, so
-    the query must run with ``timeMode='ProcessingTime'``)."""
+    emitted date. A timer clears the date 24 h of event time after the page
+    that wrote it, so state follows the data's clock, also in a replay."""
 
     def __init__(self, tz: str = "UTC", ttl_ms: int = DAY_MS):
         self.tz, self.ttl_ms = tz, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last_date", "d string", self.ttl_ms)
+        self.handle = handle
+        self.last = handle.getValueState("last_date", "d string, due bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _rows(rows)
@@ -99,15 +100,25 @@ class UniqueVisit(StatefulProcessor):
             return
         days = (pd.to_datetime(pdf["ts"], unit="ms", utc=True).dt.tz_convert(self.tz)
                 .dt.strftime("%Y-%m-%d"))
-        last = self.last.get()[0] if self.last.exists() else None
+        last, due = self.last.get() if self.last.exists() else (None, None)
         keep = []
         for i, d in zip(pdf.index, days):
             if d != last:
                 keep.append(i)
                 last = d
-        self.last.update((last,))
+        if keep:
+            if due is not None:
+                self.handle.deleteTimer(due)
+            due = int(pdf.loc[keep[-1], "ts"]) + self.ttl_ms
+            self.handle.registerTimer(due)
+            self.last.update((last, due))
         yield pdf.loc[keep, COLS]
 
+    def handleExpiredTimer(self, key, timerValues: TimerValues,
+                           expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.last.clear()
+        return iter([])
+
     def close(self) -> None:
         pass
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from emberflow.operators import cdc
 from emberflow.sources import files
-from emberflow.streaming import dim_store
+from emberflow.streaming import dim_store, images
 
 
 def batch_folder(root: str, run: str, batch_id: int) -> str:
@@ -100,7 +100,8 @@ def route_batch(spark: SparkSession, envelopes: DataFrame, config: DataFrame, ou
     """One micro-batch of change routing: facts per topic, dims upserted.
 
     The config is re-read for every batch, so a new route applies from the
-    next batch on. The parsed batch is persisted because the outputs read it.
+    next batch on; a log of its versions (``effective_ms``) is read as of each
+    record's time, so a replay or a backfill routes as the first run did. The parsed batch is persisted because the outputs read it.
     Each dimension gets one segment, whatever number of routes feed it.
     """
     batch = envelopes.persist()
@@ -108,7 +109,8 @@ def route_batch(spark: SparkSession, envelopes: DataFrame, config: DataFrame, ou
         facts, dims = cdc.route(batch, config)
         write_topic_per_row(facts, f"{out_root}/topics", batch_id, run)
         # config rows are a handful per table
-        tables = (cdc.current_config(config).filter(F.col("sink_type") == "hbase").groupBy("sink_table")
+        versions = config if "effective_ms" in config.columns else cdc.current_config(config)
+        tables = (versions.filter(F.col("sink_type") == "hbase").groupBy("sink_table")
                   .agg(F.collect_set(F.coalesce("sink_pk", F.lit("id"))).alias("keys"), F.max("sink_extend").alias("extend"),
                        F.collect_set("sink_columns").alias("lists")).collect())
         for row in tables:
@@ -131,6 +133,18 @@ def route_stream(envelope_stream: DataFrame, config_path: str, out_root: str,
         b.sparkSession, b, b.sparkSession.read.parquet(config_path), out_root, i, run), checkpoint, trigger)
 
 
+def config_log_stream(envelope_stream: DataFrame, log_path: str, checkpoint: str, table: str = "table_process",
+                      trigger: dict | None = None):
+    """Land the change records of the configuration table as the log of its versions, which ``route_stream`` reads."""
+    changes = cdc.config_from_changes(envelope_stream, table)
+    return foreach_batch(changes, lambda b, i, run: commit_batch(b.sparkSession, log_path, run, i, b.write.parquet), checkpoint, trigger)
+
+
+def current_image_stream(envelope_stream: DataFrame, root: str, checkpoint: str, trigger: dict | None = None, pk: str = "id"):
+    """``cdc.cdc_current_image`` kept as a table below ``root`` by a stream of envelopes."""
+    return foreach_batch(envelope_stream, lambda b, i, run: images.write_images(b.sparkSession, b, root, run, i, pk), checkpoint, trigger)
+
+
 def console(df: DataFrame, checkpoint: str | None = None):
     w = df.writeStream.format("console").option("truncate", "false")
     if checkpoint:
