@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emberflow.functions import scalars as SC
-from emberflow.functions.words import split_words, word_segments
+from emberflow.functions.words import dictionary_segments, split_words, word_segments
 from emberflow.operators import cdc, joins, logs, report, stats, visits, wide
 from emberflow.plans import sql_jobs
 from emberflow.sources import fixtures as FX
@@ -545,6 +545,25 @@ def q_word_segments(spark, d):
         .groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
+def q_dictionary_segments(spark, d):
+    """Words of a dictionary (of the benchmark's texts) at every place of the search terms."""
+    words = FX.read_table(spark, d, "benchmark").select(F.explode(split_words("text")).alias("word")).where("length(word) >= 5").distinct()
+    terms = FX.read_table(spark, d, "documents").select("doc_id", "text")
+    found = dictionary_segments(terms, words, "text").groupBy("word")
+    return found.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("docs"))
+
+
+def q_order_sketches(spark, d):
+    """Distinct orders of each day: sketches of windows and skus rolled up, beside the exact count."""
+    metrics = stats.order_metric(Inputs(spark, d).order_lines())
+    day = F.substring("stt", 1, 10).alias("dt")
+    rolled = stats.roll_up_orders(stats.order_sketches(metrics), day).select("dt", "order_ct")
+    exact = (metrics.groupBy(F.date_format(F.timestamp_millis("ts"), "yyyy-MM-dd").alias("dt"))
+             .agg(F.count_distinct("order_oid").alias("exact_ct")))
+    near = F.abs(F.col("order_ct") - F.col("exact_ct")) <= F.col("exact_ct") * (4 * 1.04 / 2 ** (stats.SKETCH_K / 2))
+    return exact.join(rolled, "dt", "left").select("dt", "exact_ct", near.alias("within_bound"))
+
+
 def q_keyword_stats(spark, d):
     return stats.keyword_stats(FX.search_page_rows(spark, d), stamp="window_end")
 

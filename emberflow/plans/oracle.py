@@ -488,6 +488,17 @@ SELECT CAST(id AS VARCHAR) AS "ID", birthday AS "BIRTHDAY",
   CAST(floor(datediff('day', CAST(birthday AS DATE), DATE '{AGE_AS_OF}') / 365) AS INTEGER)
     AS age
 FROM dim_user""",
+    "dictionary_segments": f"""
+WITH words AS (
+  SELECT DISTINCT word FROM (SELECT unnest(regexp_extract_all(lower(text), '{WORD_RE}')) AS word FROM benchmark) WHERE length(word) >= 5),
+sizes AS (SELECT DISTINCT length(word) AS n FROM words),
+places AS (
+  SELECT doc_id, lower(text) AS t, n, unnest(range(1, length(text) - n + 2)) AS i FROM documents, sizes WHERE length(text) >= n)
+SELECT word, count(*) AS n, count(DISTINCT doc_id) AS docs
+FROM (SELECT doc_id, substr(t, i, n) AS piece FROM places) JOIN words ON word = piece GROUP BY word""",
+    "order_sketches": ORDERS_Q + """
+SELECT strftime(CAST(create_time AS TIMESTAMP), '%Y-%m-%d') AS dt, count(DISTINCT order_id) AS exact_ct, TRUE AS within_bound
+FROM od_join GROUP BY 1""",
     "order_time_parts": _with(ORDER_INFO) + """
 SELECT id, create_time, create_date, create_hour, epoch_ms(ort) AS create_ts FROM order_info""",
     "order_interval_join": ORDERS_Q + """

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from emberflow import schemas as S
 from emberflow.functions import scalars as SC
-from emberflow.functions.words import split_words, word_segments
+from emberflow.functions.words import dictionary_segments, split_words, word_segments
 from emberflow.operators import cdc, joins, logs, report, stats, visits, wide
 from emberflow.plans.catalog import QUERIES
 
@@ -328,3 +328,25 @@ def test_dim_table_columns_of_uncarried_columns(spark):
     got = sorted(tuple(r) for r in cdc.dim_table_columns(dims, config).collect())
     assert got == [("dim_t", 1, "ID", "string", True, "x", 2, 2), ("dim_t", 2, "A", "string", False, "x", 1, 0), ("dim_t", 3, "B", "string", False, "x", 0, 0)]
     assert cdc.dim_table_columns(dims.limit(0), config).count() == 3
+
+
+@pytest.mark.parametrize("most", [500_000, 3])
+def test_dictionary_segments_equal_substring_search(spark, most):
+    words = ["ab", "abc", "bc", "c", "灯塔", "塔", "AB", "xyz", "aa", None, ""]
+    texts = [(1, "abcabc"), (2, "ABC xyzz"), (3, "木星灯塔灯塔"), (4, None), (5, ""), (6, "aaaa"), (6, "aaaa")]
+    got = dictionary_segments(spark.createDataFrame(texts, "id long, t string"), spark.createDataFrame([(w,) for w in words], "word string"), "t", most_words=most)
+    known = {w.lower() for w in words if w}
+    want = [(i, t, t.lower()[a:b]) for i, t in texts if t for a in range(len(t)) for b in range(a + 1, len(t) + 1) if t.lower()[a:b] in known]
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+
+
+def test_order_sketches_merge_like_the_direct_count(spark):
+    rows = spark.range(60_000).select((F.col("id") % 7).alias("sku"), (F.col("id") % 86_400_000 * 10).alias("t"), (F.col("id") * 3 % 41_000).alias("oid"))
+    metrics = stats._product_row(rows, F.col("sku"), F.col("t"), order_oid=F.col("oid"), paid_oid=F.when(F.col("oid") % 2 == 0, F.col("oid")))
+    rolled = stats.roll_up_orders(stats.order_sketches(metrics), F.substring("stt", 1, 10).alias("dt")).first()
+    direct = metrics.agg(F.hll_sketch_estimate(F.hll_sketch_agg("order_oid", stats.SKETCH_K)).alias("n"), F.count_distinct("order_oid").alias("exact"),
+                         F.count_distinct("paid_oid").alias("paid")).first()
+    bound = 4 * 1.04 / 2 ** (stats.SKETCH_K / 2)
+    assert rolled.order_ct == direct.n or abs(rolled.order_ct - direct.n) <= bound * direct.exact
+    assert abs(rolled.order_ct - direct.exact) <= bound * direct.exact and abs(rolled.paid_order_ct - direct.paid) <= bound * direct.paid
+    assert rolled.refund_order_ct == 0 and len(rolled.order_sketch) < 2 ** (stats.SKETCH_K + 1)
