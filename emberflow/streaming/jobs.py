@@ -64,12 +64,20 @@ def unique_visit_stream(flat_pages: DataFrame, tz: str | None = None, delay: str
 
 
 def jump_detail_stream(flat_pages: DataFrame, within_ms: int = 10_000, times: int = 2,
-                       delay: str = "1 second") -> DataFrame:
+                       delay: str = "1 second", bucket_ms: int | None = None) -> DataFrame:
     """Stream form of ``visits.jump_detail``: event-time timers at
-    ``ts + within``, watermark ``delay`` (1 s bound in the original)."""
+    ``ts + within``, watermark ``delay`` (1 s bound in the original). State is
+    keyed by visitor and time bucket, as the batch form's windows are."""
+    bucket_ms = bucket_ms or max(within_ms * 16, 60_000)
+    if bucket_ms < within_ms:
+        raise ValueError("bucket must be at least the lookahead range")
     src = (flat_pages.select(*COLS).withColumn("rt", F.timestamp_millis("ts"))
            .withWatermark("rt", delay))
-    return src.groupBy("mid").transformWithStateInPandas(
+    b = F.floor(F.col("ts") / bucket_ms)
+    own, copy = F.struct(b.alias("bucket"), F.lit(True).alias("own")), F.struct((b - 1).alias("bucket"), F.lit(False).alias("own"))
+    places = F.when(F.col("ts") - b * bucket_ms < within_ms, F.array(own, copy)).otherwise(F.array(own))
+    src = src.select("*", F.inline(places))
+    return src.groupBy("mid", "bucket").transformWithStateInPandas(
         JumpDetail(within_ms, times), STREAM_PAGE, "append", "EventTime")
 
 

@@ -23,6 +23,9 @@ STREAM_PAGE = T.StructType([
     T.StructField("during_time", L_),
 ])
 COLS = [f.name for f in STREAM_PAGE.fields]
+# A page row in the jump state, and whether it is in its own time bucket.
+JUMP_ROW = T.StructType([*STREAM_PAGE.fields, T.StructField("own", T.BooleanType())])
+JUMP_COLS = [f.name for f in JUMP_ROW.fields]
 DAY_MS = 86_400_000
 
 
@@ -34,12 +37,12 @@ def _rows(frames: Iterator[pd.DataFrame]) -> pd.DataFrame:
 _LONGS = {f.name for f in STREAM_PAGE.fields if isinstance(f.dataType, T.LongType)}
 
 
-def _tuples(pdf: pd.DataFrame) -> list[tuple]:
+def _tuples(pdf: pd.DataFrame, columns: list[str]) -> list[tuple]:
     """State values are tuples of plain Python values (None for missing)."""
     out = []
-    for row in pdf[COLS].itertuples(index=False, name=None):
-        out.append(tuple(None if pd.isna(v) else (int(v) if c in _LONGS else v)
-                         for c, v in zip(COLS, row)))
+    for row in pdf[columns].itertuples(index=False, name=None):
+        out.append(tuple(None if pd.isna(v) else (int(v) if c in _LONGS else bool(v) if c == "own" else v)
+                         for c, v in zip(columns, row)))
     return out
 
 
@@ -126,13 +129,16 @@ class UniqueVisit(StatefulProcessor):
 class JumpDetail(StatefulProcessor):
     """Bounce pattern: ``times`` consecutive entry pages within ``within_ms``.
 
-    Rows are buffered per visitor (``ListState``). An entry row is decided when
+    Keys are (visitor, time bucket); rows in the first ``within`` of a bucket
+    also come, as copies, to the bucket before, so a visitor with very many rows
+    is spread over buckets. Only a bucket's own rows are decided there. Rows are
+    buffered per key (``ListState``), frame by frame as they come. An entry row is decided when
     the watermark passes its ``ts + within``: every successor that can still
     arrive on time is in the buffer by then. It is emitted on a match or a
     timeout, dropped when a successor inside the range is not an entry page.
     Other rows are held only until the watermark passes their ``ts`` (an earlier
     entry can still arrive) or, after a pending entry, until that is decided.
-    One timer per visitor stands at the earliest row due; when it fires all due
+    One timer per key stands at the earliest row due; when it fires all due
     rows are handled and it is set for the next.
     """
 
@@ -141,11 +147,12 @@ class JumpDetail(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.buf = handle.getListState("buf", STREAM_PAGE)
+        self.buf = handle.getListState("buf", JUMP_ROW)
         self.timer = handle.getValueState("timer", "at bigint")
 
     def _due(self, pdf: pd.DataFrame) -> pd.Series:
-        return pdf["ts"] + _is_entry(pdf["last_page_id"]).map({True: self.within, False: 1})
+        open_ = _is_entry(pdf["last_page_id"]) & pdf["own"].astype(bool)
+        return pdf["ts"] + open_.map({True: self.within, False: 1})
 
     def _set_timer(self, at: int) -> None:
         now = self.timer.get()[0] if self.timer.exists() else None
@@ -157,24 +164,25 @@ class JumpDetail(StatefulProcessor):
         self.timer.update((at,))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _rows(rows)
-        self.buf.appendList(_tuples(pdf))
-        self._set_timer(int(self._due(pdf).min()))
+        for pdf in rows:
+            self.buf.appendList(_tuples(pdf, JUMP_COLS))
+            self._set_timer(int(self._due(pdf).min()))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues: TimerValues,
                            expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
         wm = timerValues.getCurrentWatermarkInMs()
         self.timer.clear()
-        buf = pd.DataFrame(list(self.buf.get()) if self.buf.exists() else [], columns=COLS)
+        buf = pd.DataFrame(list(self.buf.get()) if self.buf.exists() else [], columns=JUMP_COLS)
         self.buf.clear()
         if buf.empty:
             return
         buf = buf.sort_values(["ts", "seq"], kind="stable").reset_index(drop=True)
         entry, ts, n = _is_entry(buf["last_page_id"]).to_numpy(), buf["ts"].to_numpy(), len(buf)
+        open_ = entry & buf["own"].astype(bool).to_numpy()
         emit, rest, pending = [], [], None  # pending: time of the last undecided entry
         for i in range(n):
-            if not entry[i]:
+            if not open_[i]:
                 if ts[i] > wm or pending is not None and ts[i] - pending < self.within:
                     rest.append(i)
                 continue
@@ -187,7 +195,7 @@ class JumpDetail(StatefulProcessor):
                 emit.append(i)
         if rest:
             held = buf.loc[rest]
-            self.buf.put(_tuples(held))
+            self.buf.put(_tuples(held, JUMP_COLS))
             due = self._due(held)
             # rows kept for a pending entry are looked at again when it is due
             self._set_timer(int(due[due > wm].min()))

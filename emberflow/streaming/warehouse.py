@@ -189,6 +189,19 @@ def start_visitor_stats(spark: SparkSession, unique_topic: str | Topic, jump_top
                                os.path.join(checkpoint_root, "visitor_stats"), trigger, **report)
 
 
+#: The product metric of each input topic.
+PRODUCT_METRICS = {"page": stats.page_metrics, "favor": stats.favor_metric, "cart": stats.cart_metric, "order_wide": stats.order_metric,
+                   "payment_wide": stats.payment_metric, "refund": stats.refund_metric, "comment": stats.comment_metric}
+
+
+def product_metric_streams(spark: SparkSession, inputs: dict[str, str | Topic], schemas: dict[str, T.StructType]) -> list[DataFrame]:
+    """The metric rows of every input topic (names as in ``PRODUCT_METRICS``), for ``start_product_stats``."""
+    unknown = set(inputs) - set(PRODUCT_METRICS)
+    if unknown:
+        raise ValueError(f"no product metric for {sorted(unknown)}")
+    return [PRODUCT_METRICS[name](Topic.of(topic).read(spark, schemas[name])) for name, topic in inputs.items()]
+
+
 def start_product_stats(spark: SparkSession, metric_streams: list[DataFrame], lookups: Lookups | StoredDims, report_path: str | None,
                         checkpoint_root: str, trigger: dict | None = None, **report) -> StreamingQuery:
     """The product metric streams -> product_stats report; lookups of each micro-batch."""

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from emberflow import schemas as S
-from emberflow.operators import cdc, joins, wide
+from emberflow.operators import cdc, joins, logs, wide
 from emberflow.plans import catalog
 from emberflow.sources import fixtures as FX
 from emberflow.sources import topics
@@ -315,6 +315,7 @@ def test_jump_state_does_not_outlive_the_watermark(spark, tmpdir_path):
     q.processAllAvailable()
     q.stop()
     assert [r.mid for r in spark.table("jumps").collect()] == ["bouncer"]
+    # keys are (visitor, bucket)
     held = (spark.read.format("statestore").option("path", ck).option("stateVarName", "buf")
             .option("flattenCollectionTypes", "true").load())
     assert held.count() <= 2 and not held.where("key.mid in ('walker', 'bouncer')").count()
@@ -354,13 +355,22 @@ def test_payment_wide_and_product_jobs(spark, tmpdir_path):
     key = lambda df: sorted((r.payment_id, r.sku_id, r.user_id, float(r.split_total_amount)) for r in df.select("payment_id", "sku_id", "user_id", "split_total_amount").collect())
     want = wide.payment_wide(pay, orders)
     assert key(spark.read.schema(want.schema).json(out)) == key(want)
-    metrics = catalog.product_metric_frames(spark, d, inp)
-    streams = []
-    for i, m in enumerate(metrics):
-        folder = os.path.join(tmpdir_path, f"m{i}")
-        last = m.limit(1).withColumn("sku_id", F.lit(-1).cast(m.schema["sku_id"].dataType)).withColumn("ts", F.lit(4_102_444_800_000))
-        m.unionByName(last).coalesce(1).write.json(folder)
-        streams.append(spark.readStream.schema(m.schema).json(folder))
+    tables = {"page": logs.split_page(FX.page_log_rows(spark, d)).select("common", "page", "displays", "ts"), "favor": FX.favor_info(spark, d), "cart": FX.cart_info(spark, d),
+              "order_wide": orders, "payment_wide": want, "refund": FX.order_refund_info(spark, d), "comment": FX.comment_info(spark, d)}
+    time = {"payment_wide": "payment_create_time"}
+    folders = {}
+    for name, df in tables.items():
+        folders[name] = os.path.join(tmpdir_path, f"in_{name}")
+        last = df.limit(1)
+        if name == "page":  # a detail page long after: closes the windows
+            last = last.withColumn("ts", F.lit(4_102_444_800_000)).withColumn("page", F.col("page").withField("page_id", F.lit("good_detail")).withField("item_type", F.lit("sku_id")).withField("item", F.lit("-1")))
+            last = last.withColumn("displays", F.lit(None).cast(df.schema["displays"].dataType))
+        else:
+            last = last.withColumn(time.get(name, "create_time"), F.lit(far)).withColumn("sku_id", F.lit(-1).cast("long"))
+        df.unionByName(last).coalesce(1).write.json(folders[name])
+    streams = warehouse.product_metric_streams(spark, folders, {n: t.schema for n, t in tables.items()})
+    with pytest.raises(ValueError):
+        warehouse.product_metric_streams(spark, {"other": "x"}, {})
     report = os.path.join(tmpdir_path, "report")
     warehouse.start_product_stats(spark, streams, lambda _: inp.dims(), report, ck, {"availableNow": True}).awaitTermination(600)
     columns = ["stt", "sku_id", "order_ct", "order_amount", "tm_name", "spu_name"]

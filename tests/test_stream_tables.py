@@ -140,3 +140,18 @@ def test_log_stage_is_one_query_that_parses_each_line_once(spark, tmpdir_path):
     assert physical.count("from_json") == 1
     dirty = spark.read.json(os.path.join(out, "dirty"))
     assert dirty.count() == FX.raw_log_lines(spark, SF_SMALL).where("seq >= 1000000000000").count() and dirty.where("value is null").count() == 0
+
+
+def test_hot_visitor_is_spread_over_keys(spark, tmpdir_path):
+    """20,000 rows of one visitor in one batch: many keys with few rows each, and the batch result."""
+    rows = [("hot", i, 7_000 * i, "0", "v", "c", "a", "home", None if i % 3 else "x", None, None, 1) for i in range(20_000)]
+    src, ck = os.path.join(tmpdir_path, "src"), os.path.join(tmpdir_path, "ck")
+    flat = spark.createDataFrame(rows + [("zz", -1, 4_102_444_800_000, "0", "v", "c", "a", "home", "home", None, None, 1)], STREAM_PAGE)
+    flat.coalesce(1).write.json(src)
+    stream = spark.readStream.schema(STREAM_PAGE).json(src)
+    q = (jobs.jump_detail_stream(stream, 10_000).writeStream.format("memory").queryName("hot_jumps").option("checkpointLocation", ck)
+         .trigger(availableNow=True).start())
+    q.awaitTermination(600)
+    want = visits.jump_detail(jobs.struct_page_rows(flat), 10_000)
+    assert shown(spark.table("hot_jumps"), "seq") == shown(want, "seq") != []
+    assert max(p["stateOperators"][0]["numRowsUpdated"] for p in q.recentProgress) > 500  # keys, not one visitor
