@@ -105,16 +105,15 @@ def _hinge(rows: list[np.ndarray], labels: np.ndarray, ratios: np.ndarray, cost:
     """Dual coordinate descent for a linear hinge-loss model with an intercept."""
     w, bias = np.zeros(SLOTS), 0.0
     alpha = np.zeros(len(rows))
-    values = []
-    for codes in rows:
-        x = ratios[codes].astype(np.float64)
-        values.append(x / max(np.sqrt(x @ x), 1e-12))
+    ratios = ratios.astype(np.float64)
+    norms = [max(np.sqrt(ratios[codes] @ ratios[codes]), 1e-12) for codes in rows]
     sign = np.where(labels > 0, 1.0, -1.0)
     weight = cost * len(rows) / (2 * np.maximum(np.where(labels > 0, labels.sum(), (labels == 0).sum()), 1))
     rng = np.random.Generator(np.random.PCG64(7))
     for _ in range(epochs):
         for i in rng.permutation(len(rows)):
-            codes, x = rows[i], values[i]
+            codes = rows[i]
+            x = ratios[codes] / norms[i]  # made anew each time: the rows' values together would take more than the rows
             gradient = sign[i] * (w[codes] @ x + bias) - 1
             new = min(max(alpha[i] - gradient / 2, 0.0), weight[i])  # |x|^2 + 1 = 2
             if new != alpha[i]:
