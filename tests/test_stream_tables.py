@@ -102,6 +102,30 @@ def test_unique_visits_from_topic_to_topic(spark, tmpdir_path):
     assert held.count() == 0 and found.count() == spark.read.schema(STREAM_PAGE).json(out).count()
 
 
+def test_visitor_jobs_chained_from_topic_to_topic(spark, tmpdir_path):
+    """Page topic -> visits and bounces topics -> visitor report, each job by its starter; the report is that of the batch operators."""
+    within = 3_600_000
+    pages = logs.split_page(FX.page_log_rows(spark, SF_SMALL))
+    page_topic, visit_topic, jump_topic, report, ck = (os.path.join(tmpdir_path, x) for x in ("pages", "visits", "jumps", "report", "ck"))
+    jobs.flat_page_rows(pages).orderBy("ts", "seq").coalesce(1).write.json(page_topic)
+    last = pages.agg(F.max("ts")).first()[0]
+    # a day later an entry page, which becomes a visit and a bounce; two days later a page that lets the bounce time out
+    for days, before in ((1, None), (2, "home")):
+        row = ("closer", -days, last + days * 86_400_000, "0", "closer", "c", "a", "home", before, None, None, 0)
+        spark.createDataFrame([row], STREAM_PAGE).coalesce(1).write.mode("append").json(page_topic)
+    now = {"availableNow": True}
+    warehouse.start_unique_visit(spark, page_topic, STREAM_PAGE, visit_topic, ck, now).awaitTermination(300)
+    warehouse.start_jump_detail(spark, page_topic, STREAM_PAGE, jump_topic, ck, within, trigger=now).awaitTermination(300)
+    found, jumped = visits.unique_visit(pages), visits.jump_detail(pages, within)
+    for topic, want in ((visit_topic, found), (jump_topic, jumped)):
+        got = spark.read.schema(STREAM_PAGE).json(topic)
+        assert shown(got.where("mid != 'closer'"), "seq") == shown(want, "seq") != []
+        assert shown(got.where("mid = 'closer'"), "seq") == ["Row(seq=-1)"]
+    warehouse.start_visitor_stats(spark, visit_topic, jump_topic, page_topic, STREAM_PAGE, report, ck, now).awaitTermination(300)
+    want = stats.visitor_stats(stats.union_visitor(found, jumped, pages))
+    assert shown(spark.read.parquet(report).where("vc != 'closer'"), *S.VISITOR_STATS_COLUMNS) == shown(want, *S.VISITOR_STATS_COLUMNS) != []
+
+
 def test_visit_flags_equal_the_three_operators(spark):
     rows = FX.page_log_rows(spark, SF_SMALL)
     odd = rows.limit(40).withColumn("common", F.col("common").withField("mid", F.lit(None).cast("string"))).withColumn("seq", F.col("seq") + 10**9)
