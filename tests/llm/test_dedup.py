@@ -225,6 +225,37 @@ def test_directory_splits_overfull_buckets(spark):
     assert all(r.depth <= depth for r in rows)
 
 
+def test_rows_find_their_text_through_the_directory(spark):
+    docs = spark.range(600).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), (F.col("id") % 200).cast("string")).alias("text"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        index = exact_dedup.build_index(docs, bucket_keys=8)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    links = index.links.select("*", F.input_file_name().alias("file")).collect()
+    buckets, files = {}, {}
+    for r in links:
+        buckets.setdefault(r.bucket, set()).add(r.key)
+        files.setdefault(r.file, []).append((r.bucket, r.key))
+    assert len(links) == 200 and len(buckets) > 20 and max(map(len, buckets.values())) <= 8
+    ranges = sorted((min(v), max(v)) for v in files.values())  # every owner has a range of its own
+    assert len(ranges) > 1 and all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+
+    asks = docs.select("doc_id", exact_dedup._key(F.col("text")).alias("key"), F.sha2("text", 256).alias("digest"))
+    assert exact_dedup.look_up(asks, index).where("group_size = 3 and keep_id >= 400 and keep_id % 200 = doc_id % 200").count() == 600
+    gone = index.slots.orderBy("slot").first()
+    without = exact_dedup.Index(index.slots.where(F.col("slot") != gone.slot), index.depth, index.links)
+    lost = {r.key for r in links if r.key >> (63 - index.depth) == gone.slot}
+    assert lost and {r.key for r in asks.join(exact_dedup.look_up(asks, without), "key", "left_anti").collect()} == lost
+
+
+def test_large_directory_is_joined_by_shuffle(spark, monkeypatch):
+    rows = corpus(6)
+    want = sorted(map(str, exact_dedup.exact_duplicates(frame(spark, rows), bucket_keys=4).collect()))
+    monkeypatch.setattr(exact_dedup, "SENT_SLOTS", 0)
+    assert sorted(map(str, exact_dedup.exact_duplicates(frame(spark, rows), bucket_keys=4).collect())) == want
+
+
 def test_components_of_a_path_and_a_star(spark):
     links = [(i + 1, i) for i in range(30)] + [(100, 100 + i) for i in range(1, 20)] + [(50, 50)]
     got = {r.v: r.label for r in components.connected(spark.createDataFrame(links, "a long, b long")).collect()}
