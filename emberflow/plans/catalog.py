@@ -83,11 +83,13 @@ class Inputs:
         return self._get("merged", lambda: merged_orders(self.spark, self.d))
 
     def order_lines(self):
-        """The columns the order metric and the payment join read, as one
-        projection, so the two branches are the same subtree (reused
-        exchanges)."""
-        return self._get("lines", lambda: self.merged_orders().select(
-            "order_id", "sku_id", "sku_num", "split_total_amount", "create_time"))
+        """The columns the order metric and the payment join read.
+
+        Built as one struct, so that neither branch drops columns below it:
+        both are the same subtree, and the shuffles under it run once.
+        """
+        return self._get("lines", lambda: self.merged_orders().select(F.inline(F.array(F.struct(
+            "order_id", "sku_id", "sku_num", "split_total_amount", "create_time")))))
 
     def paid_lines(self):
         def build():

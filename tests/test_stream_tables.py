@@ -151,6 +151,21 @@ def test_reports_read_few_times(spark):
     assert plan("jump_detail").count("Union") == 0
 
 
+def test_order_lines_are_read_once_by_product_reports(spark):
+    """Where orders and lines are joined by shuffle, the payments read the shuffled lines of the order metric."""
+    fixed = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in fixed}
+    try:
+        for k, v in fixed.items():
+            spark.conf.set(k, v)
+        for name in ("product_stats", "gmv_by_brand", "gmv_total"):
+            plan = catalog.QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("lineitem.parquet") == 1, name
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_log_stage_is_one_query_that_parses_each_line_once(spark, tmpdir_path):
     src, out = os.path.join(tmpdir_path, "src"), os.path.join(tmpdir_path, "out")
     FX.raw_log_lines(spark, SF_SMALL).where("seq < 50 or seq >= 1000000000000").write.json(src)
