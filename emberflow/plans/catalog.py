@@ -85,11 +85,16 @@ class Inputs:
     def order_lines(self):
         """The columns the order metric and the payment join read.
 
-        Built as one struct, so that neither branch drops columns below it:
-        both are the same subtree, and the shuffles under it run once.
+        Built as one struct beside the order id, so that neither branch drops
+        columns below it: both are the same subtree, and the shuffles under it
+        run once. The id stays a column of its own, so the lines are still
+        known to be dealt by it and the payments meet them where they lie.
         """
-        return self._get("lines", lambda: self.merged_orders().select(F.inline(F.array(F.struct(
-            "order_id", "sku_id", "sku_num", "split_total_amount", "create_time")))))
+        def build():
+            line = F.array(F.struct("sku_id", "sku_num", "split_total_amount", "create_time")).alias("_line")
+            dealt = self.merged_orders().select("order_id", line).repartition("order_id")
+            return dealt.select("order_id", F.inline("_line"))
+        return self._get("lines", build)
 
     def paid_lines(self):
         def build():

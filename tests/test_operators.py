@@ -1,6 +1,7 @@
 """Per-operator edge cases on tiny hand-made rows."""
 
 import json
+import re
 
 import pandas as pd
 import pytest
@@ -284,6 +285,36 @@ def test_product_stats_distinct_orders_exact(spark):
                    ("1970-01-01 00:00:00", 2): (1, 1)}
 
 
+def _static_plan(spark, make):
+    """The plan as it is made, without changes at run time."""
+    fixed = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in fixed}
+    try:
+        for k, v in fixed.items():
+            spark.conf.set(k, v)
+        return make()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_product_stats_shuffles_its_rows_once(spark):
+    rows = [(1, 1000, 5), (1, None, 5), (None, -1, 6), (None, 1000, None)]
+    df = spark.createDataFrame(rows, "sku long, t long, oid long")
+    m = stats._product_row(df, F.col("sku"), F.col("t"), order_oid=F.col("oid"))
+    assert _static_plan(spark, lambda: stats.product_stats_core(m)).count("Exchange hashpartitioning") == 1
+    got = {(r.stt, r.edt, r.sku_id, r.order_ct) for r in stats.product_stats_core(m).collect()}
+    assert got == {("1970-01-01 00:00:00", "1970-01-01 00:00:10", 1, 1), ("1969-12-31 23:59:50", "1970-01-01 00:00:00", None, 1),
+                   ("1970-01-01 00:00:00", "1970-01-01 00:00:10", None, 0)}
+
+
+def test_payments_meet_order_lines_without_a_further_shuffle(spark):
+    for name in ("product_stats", "gmv_total"):
+        plan = _static_plan(spark, lambda: QUERIES[name](spark, SF_SMALL))
+        assert len(re.findall(r"SortMergeJoin \[p_order_id#\d+L?\], \[order_id#", plan)) == 1, name
+        assert not re.search(r"Exchange hashpartitioning\(order_id#", plan), name
+
+
 def test_gmv_reports(spark):
     ps = spark.createDataFrame(
         [("2024-01-01 10:00:00", "A", 5.0), ("2024-01-01 11:00:00", "B", 7.0),
