@@ -321,10 +321,12 @@ def split_words_lateral(terms: DataFrame, splitter=split_words) -> DataFrame:
 def keyword_stats(page_table: DataFrame, delay: str | None = "1 second",
                   stamp: str = "wall", splitter=split_words) -> DataFrame:
     words = split_words_lateral(search_term_filter(page_table), splitter)
-    if words.isStreaming and delay is not None:
-        words = words.withWatermark("rt", delay)
-    agg = words.groupBy(F.window("rt", WINDOW).alias("w"), "word").agg(
-        F.count(F.lit(1)).alias("ct"))
+    if words.isStreaming:
+        words = words.withWatermark("rt", delay) if delay is not None else words
+        agg = words.groupBy(F.window("rt", WINDOW).alias("w"), "word").agg(F.count(F.lit(1)).alias("ct"))
+    else:
+        words = words.where("rt is not null")
+        agg = _both_ends(words.groupBy(window_start("rt").alias("w"), "word").agg(F.count(F.lit(1)).alias("ct")))
     ts = now_millis() if stamp == "wall" else F.unix_millis(F.col("w.end"))
     return agg.select(F.col("word").alias("keyword"), "ct", F.lit("search").alias("source"),
                       *_window_text(), ts.alias("ts"))

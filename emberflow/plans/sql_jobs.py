@@ -29,20 +29,28 @@ def register_view(df: DataFrame, prefix: str) -> str:
 def keyword_stats_sql(spark: SparkSession, page_rows: DataFrame, stamp: str = "wall",
                       delay: str | None = "1 second") -> DataFrame:
     """``page_view(common MAP, page MAP, ts BIGINT, rt AS whole seconds of ts,
-    WATERMARK rt - 1 s)`` -> keyword stats by SQL."""
-    view = register_view(topic_table(page_rows, "ts", delay), "page_view")
-    ts = "unix_timestamp() * 1000" if stamp == "wall" else "unix_millis(window.end)"
+    WATERMARK rt - 1 s)`` -> keyword stats by SQL.
+
+    Nearly every group of a word and a window goes through the shuffle, so in
+    batch its key has the window's start alone."""
+    src = topic_table(page_rows, "ts", delay)
+    view = register_view(src, "page_view")
+    time, key, start, end = "rt", "window(rt, '10 seconds')", "window.start", "window.end"
+    if not src.isStreaming:
+        time = "timestamp_micros(unix_micros(rt) - pmod(unix_micros(rt), 10000000)) AS start"
+        key, start, end = "start", "start", "start + INTERVAL 10 SECONDS"
+    ts = "unix_timestamp() * 1000" if stamp == "wall" else f"unix_millis({end})"
     pattern = WORD_PATTERN.replace("\\", "\\\\")
     return spark.sql(f"""
         SELECT word AS keyword, count(*) AS ct, 'search' AS source,
-               date_format(window.start, 'yyyy-MM-dd HH:mm:ss') AS stt,
-               date_format(window.end, 'yyyy-MM-dd HH:mm:ss') AS edt,
+               date_format({start}, 'yyyy-MM-dd HH:mm:ss') AS stt,
+               date_format({end}, 'yyyy-MM-dd HH:mm:ss') AS edt,
                {ts} AS ts
         FROM (SELECT explode(regexp_extract_all(lower(page['item']), '{pattern}', 0)) AS word,
-                     rt
+                     {time}
               FROM {view}
-              WHERE page['last_page_id'] = 'search' AND page['item'] IS NOT NULL)
-        GROUP BY word, window(rt, '10 seconds')""")
+              WHERE page['last_page_id'] = 'search' AND page['item'] IS NOT NULL AND rt IS NOT NULL)
+        GROUP BY word, {key}""")
 
 
 def province_stats_sql(spark: SparkSession, order_wide_rows: DataFrame, stamp: str = "wall",

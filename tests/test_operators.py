@@ -12,6 +12,7 @@ from emberflow import schemas as S
 from emberflow.functions import scalars as SC
 from emberflow.functions.words import dictionary_segments, split_words, word_segments
 from emberflow.operators import cdc, joins, logs, report, stats, visits, wide
+from emberflow.plans import sql_jobs
 from emberflow.plans.catalog import QUERIES
 
 SF_SMALL = "/root/testdata/sf0.001"
@@ -315,6 +316,19 @@ def test_payments_meet_order_lines_without_a_further_shuffle(spark):
         assert not re.search(r"Exchange hashpartitioning\(order_id#", plan), name
 
 
+def test_keyword_windows_are_keyed_by_their_start(spark):
+    rows = [("search", "b a a", -1), ("search", "a", 0), ("search", "A", 9999), ("search", "a", None), ("search", None, 0), ("home", "a", 0)]
+    pages = spark.createDataFrame(rows, "l string, i string, ts long").select(
+        F.create_map(F.lit("last_page_id"), "l", F.lit("item"), "i").alias("page"), "ts")
+    for make in (lambda: stats.keyword_stats(pages, stamp="window_end"), lambda: sql_jobs.keyword_stats_sql(spark, pages, stamp="window_end")):
+        key, = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", _static_plan(spark, make))
+        assert "window" not in key and len(key.split(", ")) == 3
+        assert {(r.keyword, r.ct, r.stt, r.edt, r.ts) for r in make().collect()} == {
+            ("a", 2, "1969-12-31 23:59:50", "1970-01-01 00:00:00", 0), ("b", 1, "1969-12-31 23:59:50", "1970-01-01 00:00:00", 0),
+            ("a", 2, "1970-01-01 00:00:00", "1970-01-01 00:00:10", 10000)}
+        assert "struct" not in " ".join(t for _, t in make().dtypes) and make().columns == ["keyword", "ct", "source", "stt", "edt", "ts"]
+
+
 def test_gmv_reports(spark):
     ps = spark.createDataFrame(
         [("2024-01-01 10:00:00", "A", 5.0), ("2024-01-01 11:00:00", "B", 7.0),
