@@ -36,6 +36,8 @@ from . import common, textbytes
 SLOTS = 1 << 18
 _TWO, _THREE, _GRADED = 256, 256 + 65536, SLOTS - 64
 _THREE_SLOTS = 1 << 17
+#: Parts in which the sample comes to the driver.
+SAMPLE_PARTS = 16
 
 
 @dataclass(frozen=True)
@@ -182,7 +184,9 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = 6000, cost: float
     chosen_bits = common.bitmap(chosen.select(F.xxhash64("id").alias("h")), "h")
     sample = (texts.where(common.passes(chosen_bits)(F.xxhash64("doc_id"))).join(chosen, F.col("doc_id") == F.col("id"))
               .select("text", "label", "order").orderBy("order", F.xxhash64("text")).limit(most)
-              .mapInArrow(codes_of, "order long, label int, codes binary").collect())
+              .mapInArrow(codes_of, "order long, label int, codes binary").repartition(SAMPLE_PARTS))
+    # part by part: the driver's JVM holds one of them, not the whole sample in each of its forms
+    sample = list(sample.toLocalIterator())
     sample.sort(key=lambda r: (r["order"], r["label"], bytes(r["codes"])))
     lists = [np.frombuffer(r["codes"], np.int32) for r in sample]
     y = np.array([r["label"] > 0 for r in sample], dtype=np.int64)

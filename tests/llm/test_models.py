@@ -167,6 +167,27 @@ def test_quality_learns_from_rows_that_are_not_held_out(spark):
     assert sum(a > b for a, b in pairs) / len(pairs) > 0.98
 
 
+def test_quality_sample_comes_part_by_part(spark, monkeypatch):
+    """The driver gets the sample's codes in parts, never in one collect."""
+    docs = spark.createDataFrame([(i, f"word{i} other words") for i in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    kind, parts = type(docs), []
+    collect, stream = kind.collect, kind.toLocalIterator
+
+    def watched(df):
+        assert "codes" not in df.columns
+        return collect(df)
+
+    def streamed(df, *args):
+        parts.append(df.rdd.getNumPartitions())
+        return stream(df, *args)
+
+    monkeypatch.setattr(kind, "collect", watched)
+    monkeypatch.setattr(kind, "toLocalIterator", streamed)
+    quality.train(docs, labels)
+    assert parts == [quality.SAMPLE_PARTS]
+
+
 def test_quality_edges(spark):
     docs = spark.createDataFrame([(1, "x"), (2, None), (None, ""), (3, "word " * 50000), (3, "word " * 50000)], "doc_id long, text string").withColumn("score", F.lit("s"))
     for labels, expected in (([], 0.5), ([(1, 1), (2, None), (None, 0)], None), ([(1, 0), (1, 1), (3, 0), (2, 1)], None)):
